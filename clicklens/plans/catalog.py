@@ -52,3 +52,199 @@ def stash_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.sum("y").cast("bigint").alias("clicks"),
         F.round(F.avg("y"), 6).alias("ctr")))
+
+
+# ---------------------------------------------------------------- profiles
+from clicklens.operators import metrics, profile  # noqa: E402
+from clicklens.functions import scalar  # noqa: E402
+
+IMP_COLS = ["id", "y", "n1", "n2", "n3", "n4", "n5", "cat1", "cat2", "cat3", "cat4"]
+FEATURES = list(IMP.numeric) + list(IMP.categorical)
+NUMS = list(IMP.numeric)
+IMP_TYPES = {"id": "bigint", "y": "int", "n1": "int", "n2": "int", "n3": "int", "n4": "int",
+             "n5": "bigint", "cat1": "string", "cat2": "string", "cat3": "string", "cat4": "string"}
+
+
+def _union(parts):
+    return " UNION ALL ".join(parts)
+
+
+@register("null_profile", sq.with_impressions(
+    "SELECT col_name, CAST(nulls AS BIGINT) AS nulls, round(CAST(nulls AS DOUBLE) * 100.0 / rows, 6) AS null_pct "
+    "FROM (" + _union([f"SELECT '{c}' AS col_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+                       f"count(*) AS rows FROM imp" for c in IMP_COLS]) + ") t"))
+def q_null_profile(spark, sf_dir):
+    return profile.null_profile(fx.impressions(spark, sf_dir), IMP_COLS)
+
+
+@register("schema_profile", sq.with_impressions(
+    _union([f"SELECT '{c}' AS col_name, '{IMP_TYPES[c]}' AS data_type, CAST(count({c}) AS BIGINT) AS non_null "
+            f"FROM imp" for c in IMP_COLS])))
+def q_schema_profile(spark, sf_dir):
+    return profile.schema_profile(fx.impressions(spark, sf_dir), IMP_COLS)
+
+
+@register("class_balance", sq.with_impressions(
+    "SELECT y AS label, CAST(count(*) AS BIGINT) AS n, "
+    "round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (), 6) AS share FROM imp GROUP BY y"))
+def q_class_balance(spark, sf_dir):
+    return profile.class_balance(fx.impressions(spark, sf_dir), "y")
+
+
+@register("mean_by_label", sq.with_impressions(
+    _union([f"SELECT y AS label, '{c}' AS col_name, round(avg({c}), 6) AS mean FROM imp "
+            f"WHERE y IS NOT NULL GROUP BY y" for c in NUMS])))
+def q_mean_by_label(spark, sf_dir):
+    return profile.mean_by_label(fx.impressions(spark, sf_dir), "y", NUMS)
+
+
+@register("median_by_label", sq.with_impressions(
+    _union([f"SELECT y AS label, '{c}' AS col_name, round(CAST(median({c}) AS DOUBLE), 6) AS median FROM imp "
+            f"WHERE y IS NOT NULL GROUP BY y" for c in NUMS])))
+def q_median_by_label(spark, sf_dir):
+    return profile.median_by_label(fx.impressions(spark, sf_dir), "y", NUMS)
+
+
+_PAIRS = [(a, b) for i, a in enumerate(NUMS) for b in NUMS[i + 1:]]
+_CORR_SQL = _union([f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 3) AS corr FROM imp"
+                    for a, b in _PAIRS])
+
+
+@register("correlation_matrix", sq.with_impressions(_CORR_SQL))
+def q_correlation_matrix(spark, sf_dir):
+    return profile.correlation_matrix(fx.impressions(spark, sf_dir), NUMS)
+
+
+@register("correlated_pairs", sq.with_impressions(
+    """SELECT direction, CAST(rank AS INTEGER) AS rank, col_a, col_b, corr FROM (
+         SELECT 'positive' AS direction, row_number() OVER (ORDER BY corr DESC, col_a, col_b) AS rank, *
+         FROM cm WHERE corr > 0
+         UNION ALL
+         SELECT 'negative' AS direction, row_number() OVER (ORDER BY corr ASC, col_a, col_b) AS rank, *
+         FROM cm WHERE corr < 0) t WHERE rank <= 5""",
+    f"cm AS ({_CORR_SQL})"))
+def q_correlated_pairs(spark, sf_dir):
+    return profile.correlated_pairs(q_correlation_matrix(spark, sf_dir), 5)
+
+
+_COUNTS = f"counts AS ({sq.counts_sql(FEATURES, 'imp')})"
+
+
+@register("top_values", sq.with_impressions(
+    """SELECT col_name, CAST(rn AS INTEGER) AS rank, value, CAST(n AS BIGINT) AS n,
+              round(CAST(n AS DOUBLE) * 100.0 / total, 6) AS pct
+       FROM (SELECT *, row_number() OVER (PARTITION BY col_name ORDER BY n DESC, value ASC NULLS LAST) AS rn,
+                    sum(n) OVER (PARTITION BY col_name) AS total FROM counts) r
+       WHERE rn <= 5""", _COUNTS))
+def q_top_values(spark, sf_dir):
+    return profile.top_values(fx.impressions(spark, sf_dir), FEATURES, 5)
+
+
+@register("cardinality_profile", sq.with_impressions(
+    """SELECT col_name, CAST(count(*) FILTER (WHERE value IS NOT NULL) AS BIGINT) AS distinct_values,
+              round(CAST(count(*) FILTER (WHERE value IS NOT NULL) AS DOUBLE) * 100.0 / sum(n), 6) AS distinct_pct
+       FROM counts GROUP BY col_name""", _COUNTS))
+def q_cardinality_profile(spark, sf_dir):
+    return profile.cardinality_profile(fx.impressions(spark, sf_dir), FEATURES)
+
+
+@register("feature_flags", sq.with_impressions(
+    """SELECT col_name, round(null_share, 6) AS null_share, round(top_share, 6) AS top_share,
+              round(distinct_share, 6) AS distinct_share,
+              null_share > 0.20 AS many_nulls, null_share > 0.33 AS mostly_null,
+              top_share > 0.20 AS dominated, distinct_share > 0.20 AS many_distinct
+       FROM (SELECT col_name,
+                    CAST(coalesce(sum(n) FILTER (WHERE value IS NULL), 0) AS DOUBLE) / sum(n) AS null_share,
+                    CAST(max(n) AS DOUBLE) / sum(n) AS top_share,
+                    CAST(count(*) FILTER (WHERE value IS NOT NULL) AS DOUBLE) / sum(n) AS distinct_share
+             FROM counts GROUP BY col_name) t""", _COUNTS))
+def q_feature_flags(spark, sf_dir):
+    return profile.feature_flags(fx.impressions(spark, sf_dir), FEATURES)
+
+
+# ---------------------------------------------------------------- metrics
+@register("confusion_counts", sq.with_scored(
+    """SELECT tp, tn, fp, fn, positives, negatives,
+              CASE WHEN tp + fp = 0 THEN NULL ELSE round(CAST(tp AS DOUBLE) * 100.0 / (tp + fp), 6) END AS precision_pct,
+              CASE WHEN tp + fn = 0 THEN NULL ELSE round(CAST(tp AS DOUBLE) * 100.0 / (tp + fn), 6) END AS recall_pct
+       FROM (SELECT CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS BIGINT) AS tp,
+                    CAST(count(*) FILTER (WHERE label = 0 AND prediction = 0) AS BIGINT) AS tn,
+                    CAST(count(*) FILTER (WHERE label = 0 AND prediction = 1) AS BIGINT) AS fp,
+                    CAST(count(*) FILTER (WHERE label = 1 AND prediction = 0) AS BIGINT) AS fn,
+                    CAST(count(*) FILTER (WHERE label = 1) AS BIGINT) AS positives,
+                    CAST(count(*) FILTER (WHERE label = 0) AS BIGINT) AS negatives FROM sc) t"""))
+def q_confusion_counts(spark, sf_dir):
+    return metrics.confusion_counts(fx.scored(spark, sf_dir))
+
+
+@register("baseline_log_loss", sq.with_impressions(
+    """SELECT rows, round(p, 6) AS base_rate,
+              round(rate * -ln(p + 1e-16) + (1.0 - rate) * -ln(1.0 - p + 1e-16), 6) AS baseline_log_loss
+       FROM (SELECT CAST(count(*) AS BIGINT) AS rows, avg(CAST(y AS DOUBLE)) AS p,
+                    avg(CAST(y > 0 AS DOUBLE)) AS rate FROM imp WHERE y IS NOT NULL) t"""))
+def q_baseline_log_loss(spark, sf_dir):
+    return metrics.baseline_log_loss(fx.labelled(fx.impressions(spark, sf_dir)), "y")
+
+
+_CLIPPED = "least(greatest(prob, 1e-15), 1.0 - 1e-15)"
+
+
+@register("mean_log_loss", sq.with_scored(
+    f"""SELECT CAST(count(*) AS BIGINT) AS rows,
+               round(avg(CASE WHEN label = 1 THEN -ln({_CLIPPED}) ELSE -ln(1.0 - {_CLIPPED}) END), 6) AS log_loss
+        FROM sc"""))
+def q_mean_log_loss(spark, sf_dir):
+    return metrics.mean_log_loss(fx.scored(spark, sf_dir), "label", "prob")
+
+
+@register("sql_log_loss", sq.with_scored(
+    f"""SELECT CAST(count(*) AS BIGINT) AS rows,
+               round(avg(CASE WHEN label = 1 THEN -ln({_CLIPPED}) ELSE -ln(1.0 - {_CLIPPED}) END), 6) AS log_loss
+        FROM sc"""))
+def q_sql_log_loss(spark, sf_dir):
+    """K2: the loss as a SQL-registered function called from SQL text."""
+    scalar.register_sql_functions(spark)
+    fx.scored(spark, sf_dir).createOrReplaceTempView("clicklens_scored")
+    return spark.sql("SELECT CAST(count(*) AS BIGINT) AS rows, "
+                     "round(avg(log_loss(label, prob)), 6) AS log_loss FROM clicklens_scored")
+
+
+@register("eps_log_loss", sq.with_scored(
+    """SELECT CAST(count(*) AS BIGINT) AS rows,
+              round(avg(CASE WHEN label > 0 THEN -ln(prob + 1e-16) ELSE -ln(1.0 - prob + 1e-16) END), 6) AS log_loss
+       FROM sc"""))
+def q_eps_log_loss(spark, sf_dir):
+    """The LR scripts' loss, epsilon inside the log, label > 0 branch."""
+    sc = fx.scored(spark, sf_dir)
+    return sc.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                  F.round(F.avg(scalar.log_loss_eps("label", "prob")), 6).alias("log_loss"))
+
+
+@register("sigmoid_residuals", sq.with_scored(
+    """SELECT id, label, round(1.0 / (1.0 + exp(-raw)), 6) AS calc_prob,
+              round(CAST(label AS DOUBLE) - prob, 6) AS residual, round(exp(raw), 6) AS odds
+       FROM sc"""))
+def q_sigmoid_residuals(spark, sf_dir):
+    """X3 sigmoid of the raw score, X5 odds and M14 residual per row."""
+    sc = metrics.residuals(fx.scored(spark, sf_dir), "label", "prob")
+    return sc.select("id", "label", F.round(scalar.sigmoid("raw"), 6).alias("calc_prob"),
+                     F.round("residual", 6).alias("residual"),
+                     F.round(scalar.odds("raw"), 6).alias("odds"))
+
+
+@register("durbin_watson", sq.with_scored(
+    """SELECT CAST(count(*) AS BIGINT) AS rows, round(sum(d2) / sum(e * e), 6) AS dw
+       FROM (SELECT e, (e - lag(e) OVER (ORDER BY id)) * (e - lag(e) OVER (ORDER BY id)) AS d2
+             FROM (SELECT id, CAST(label AS DOUBLE) - prob AS e FROM sc) a) b"""))
+def q_durbin_watson(spark, sf_dir):
+    return metrics.durbin_watson(fx.scored(spark, sf_dir), "id", "label", "prob")
+
+
+@register("auroc", sq.with_scored(
+    """SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+              round(sum(CAST(pos AS DOUBLE) * (below + neg * 0.5)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auroc
+       FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+             FROM (SELECT prob AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+                   FROM sc WHERE label IN (0, 1) AND prob IS NOT NULL GROUP BY prob) p) c"""))
+def q_auroc(spark, sf_dir):
+    return metrics.auroc(fx.scored(spark, sf_dir), "label", "prob")
