@@ -144,3 +144,33 @@ def wide_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("suppkey"),
         F.col("l_linestatus").alias("linestatus"),
     )
+
+
+IMPRESSION_SENTINELS = {c: IMPRESSIONS.numeric_sentinel(c) for c in IMPRESSIONS.numeric}
+# Extra coefficient row whose name looks like a numeric stash but is not one.
+NEAR_MISS_FEATURE = ("n1v_10000", 0.25)
+
+
+def coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture D: one coefficient per (column, stashed label) of fixture A.
+
+    coeff = ln((rate + 0.01) / (1.01 - rate)), rate = click rate of the label
+    over labelled rows; the stash is fitted on all rows. Equal rates give
+    tied coefficients. One near-miss row (``n1v_10000``) is appended.
+    Output: ``feature string, coeff double``.
+    """
+    from clicklens.operators.features import StashEncoder
+
+    imp = impressions(spark, sf_dir)
+    cols = list(IMPRESSIONS.numeric) + list(IMPRESSIONS.categorical)
+    model = StashEncoder(cols, FIXTURE_THRESHOLDS, IMPRESSION_SENTINELS).fit(imp)
+    st = labelled(model.stash(imp))
+    text = st.select("y", *[F.col(c + "_t").cast("string").alias(c) for c in cols])
+    long = text.unpivot(["y"], cols, "col_name", "label")
+    rates = long.groupBy("col_name", "label").agg(F.avg("y").alias("rate"))
+    coef = rates.select(
+        F.concat(F.col("col_name"), F.lit("v_"), F.col("label")).alias("feature"),
+        F.log((F.col("rate") + F.lit(0.01)) / (F.lit(1.01) - F.col("rate"))).alias("coeff"))
+    extra = spark.range(1).select(F.lit(NEAR_MISS_FEATURE[0]).alias("feature"),
+                                  F.lit(NEAR_MISS_FEATURE[1]).alias("coeff"))
+    return coef.unionByName(extra)

@@ -158,7 +158,7 @@ def stash_labels(vocab: DataFrame, cols: Sequence[str],
                  stash_values: Mapping[str, object]) -> DataFrame:
     """Labels of the stashed columns with their ``StringIndexer`` order.
 
-    Output: ``col_name, label, n, idx, size, offset, slot, feature``. ``idx``
+    Output: ``col_name, label, n, idx, size, base_slot, slot, feature``. ``idx``
     follows frequency descending then label ascending; ``slot`` is the
     position in the assembled one-hot vector (columns in the given order,
     each column one slot per label, since the invalid bucket is dropped).
@@ -179,13 +179,13 @@ def stash_labels(vocab: DataFrame, cols: Sequence[str],
     # offsets come from one row per column, so this window sees #columns rows
     sizes = labels.select("col_name", "size").distinct().withColumn("pos", position[F.col("col_name")])
     sizes = sizes.withColumn(
-        "offset",
+        "base_slot",
         F.coalesce(F.sum("size").over(Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).cast("int"))
-    labels = labels.join(F.broadcast(sizes.select("col_name", "offset")), "col_name")
+    labels = labels.join(F.broadcast(sizes.select("col_name", "base_slot")), "col_name")
     return labels.select(
-        "col_name", "label", "n", "idx", "size", "offset",
-        (F.col("offset") + F.col("idx")).alias("slot"),
+        "col_name", "label", "n", "idx", "size", "base_slot",
+        (F.col("base_slot") + F.col("idx")).alias("slot"),
         F.concat(F.col("col_name"), F.lit(VECTOR_SUFFIX + "_"), F.col("label")).alias("feature"),
     )
 

@@ -248,3 +248,282 @@ def q_durbin_watson(spark, sf_dir):
                    FROM sc WHERE label IN (0, 1) AND prob IS NOT NULL GROUP BY prob) p) c"""))
 def q_auroc(spark, sf_dir):
     return metrics.auroc(fx.scored(spark, sf_dir), "label", "prob")
+
+
+# ---------------------------------------------------------------- vocabulary and encoding
+from clicklens.operators import features as fe  # noqa: E402
+from clicklens.operators import ordered, report, split  # noqa: E402
+
+SENT = fx.IMPRESSION_SENTINELS
+_VOCAB = f"vocab AS ({sq.vocab_sql(FEATURES, T, 'imp')})"
+
+
+def _encoder(imp):
+    return fe.StashEncoder(FEATURES, T, SENT).fit(imp)
+
+
+@register("vocabulary", sq.with_impressions(
+    "SELECT col_name, value, CAST(n AS BIGINT) AS n, kept FROM vocab", _VOCAB))
+def q_vocabulary(spark, sf_dir):
+    """A3 + P9: all nine columns counted in one scan and one shuffle."""
+    v = vocab.vocabulary(fx.impressions(spark, sf_dir), FEATURES, T)
+    return v.select("col_name", "value", F.col("n").cast("bigint").alias("n"), "kept")
+
+
+@register("stash_all", sq.with_impressions(sq.stash_sql(FEATURES, SENT), _VOCAB))
+def q_stash_all(spark, sf_dir):
+    """F1 + F2: every column stashed (strings to ``stash_<col>``, numerics to
+    their typed sentinel), null always stashed."""
+    imp = fx.impressions(spark, sf_dir)
+    return vocab.stash_rare(imp, FEATURES, T, sentinels=SENT).select(
+        "id", "y", *[c + "_t" for c in FEATURES])
+
+
+@register("stash_labels", sq.with_impressions(sq.labels_sql(FEATURES, SENT), _VOCAB))
+def q_stash_labels(spark, sf_dir):
+    """StringIndexer order (count desc, label asc) and one-hot slots."""
+    return _encoder(fx.impressions(spark, sf_dir)).labels
+
+
+@register("onehot_long", sq.with_impressions(
+    "SELECT s.id, l.col_name, l.slot, l.feature, CAST(1.0 AS DOUBLE) AS value FROM (" + " UNION ALL ".join(
+        f"SELECT id, '{c}' AS col_name, CAST({c}_t AS VARCHAR) AS label FROM st" for c in FEATURES)
+    + ") s JOIN lab l ON s.col_name = l.col_name AND s.label = l.label",
+    f"{_VOCAB}, st AS ({sq.stash_sql(FEATURES, SENT)}), lab AS ({sq.labels_sql(FEATURES, SENT)})"))
+def q_onehot_long(spark, sf_dir):
+    """F5 + F6 long form: one row per active slot of the assembled vector."""
+    imp = fx.impressions(spark, sf_dir)
+    model = _encoder(imp)
+    return model.long_form(model.stash(imp), "id")
+
+
+@register("onehot_vector", sq.with_impressions(
+    "SELECT s.id, CAST(l.slot AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value FROM (" + " UNION ALL ".join(
+        f"SELECT id, '{c}' AS col_name, CAST({c}_t AS VARCHAR) AS label FROM st" for c in FEATURES)
+    + ") s JOIN lab l ON s.col_name = l.col_name AND s.label = l.label",
+    f"{_VOCAB}, st AS ({sq.stash_sql(FEATURES, SENT)}), lab AS ({sq.labels_sql(FEATURES, SENT)})"))
+def q_onehot_vector(spark, sf_dir):
+    """The Spark ML vector itself (StringIndexer + OneHotEncoder +
+    VectorAssembler), read back as sparse entries."""
+    imp = fx.impressions(spark, sf_dir)
+    out = _encoder(imp).transform(imp)
+    return fe.vector_entries(out, "id")
+
+
+@register("feature_catalog", sq.with_impressions(
+    "SELECT CAST(slot AS INTEGER) AS idx, feature AS name FROM lab",
+    f"{_VOCAB}, lab AS ({sq.labels_sql(FEATURES, SENT)})"))
+def q_feature_catalog(spark, sf_dir):
+    """F8 + T3: vector index to feature name from the vector's metadata."""
+    imp = fx.impressions(spark, sf_dir)
+    return fe.feature_catalog(_encoder(imp).transform(imp))
+
+
+@register("encoded_width", sq.with_impressions(
+    """SELECT col_name, kept_values, stash_rows, CAST(kept_values + CASE WHEN stash_rows > 0 THEN 1 ELSE 0 END AS BIGINT) AS width
+       FROM (SELECT col_name, CAST(count(*) FILTER (WHERE kept) AS BIGINT) AS kept_values,
+                    CAST(coalesce(sum(n) FILTER (WHERE NOT kept), 0) AS BIGINT) AS stash_rows
+             FROM vocab GROUP BY col_name) p
+       UNION ALL
+       SELECT '*' AS col_name, CAST(sum(kept_values) AS BIGINT), CAST(sum(stash_rows) AS BIGINT), CAST(sum(width) AS BIGINT)
+       FROM (SELECT count(*) FILTER (WHERE kept) AS kept_values,
+                    coalesce(sum(n) FILTER (WHERE NOT kept), 0) AS stash_rows,
+                    count(*) FILTER (WHERE kept) + CASE WHEN coalesce(sum(n) FILTER (WHERE NOT kept), 0) > 0 THEN 1 ELSE 0 END AS width
+             FROM vocab GROUP BY col_name) q""", _VOCAB))
+def q_encoded_width(spark, sf_dir):
+    """One-hot width per column and in total."""
+    return vocab.encoded_width(vocab.vocabulary(fx.impressions(spark, sf_dir), FEATURES, T))
+
+
+SWEEP = [10, 45, 100, 330, 420]
+
+
+@register("threshold_sweep", sq.with_impressions(
+    f"""SELECT CAST(t.threshold AS INTEGER) AS threshold, c.col_name,
+               CAST(count(*) FILTER (WHERE c.value IS NOT NULL AND c.n > t.threshold) AS BIGINT) AS kept_values,
+               CAST(coalesce(sum(c.n) FILTER (WHERE c.value IS NOT NULL AND c.n > t.threshold), 0) AS BIGINT) AS kept_rows,
+               CAST(sum(c.n) AS BIGINT) AS total_rows,
+               CAST(count(*) FILTER (WHERE c.value IS NOT NULL AND c.n > t.threshold)
+                    + CASE WHEN coalesce(sum(c.n) FILTER (WHERE c.value IS NOT NULL AND c.n > t.threshold), 0) < sum(c.n)
+                           THEN 1 ELSE 0 END AS BIGINT) AS width
+        FROM counts c, (SELECT unnest([{', '.join(map(str, SWEEP))}]) AS threshold) t
+        GROUP BY t.threshold, c.col_name""", _COUNTS))
+def q_threshold_sweep(spark, sf_dir):
+    """width and coverage at several thresholds from one count table."""
+    counts = vocab.value_counts(fx.impressions(spark, sf_dir), FEATURES)
+    return vocab.threshold_sweep(counts, SWEEP)
+
+
+HASH_SLOTS = 256
+
+
+@register("hash_collisions", sq.with_impressions(
+    f"""SELECT CAST(slot AS BIGINT) AS slot, CAST(count(*) AS BIGINT) AS features, CAST(sum(n) AS BIGINT) AS rows
+        FROM (SELECT ('0x' || substr(md5(col_name || '=' || value), 1, 8))::BIGINT % {HASH_SLOTS} AS slot, n
+              FROM counts WHERE value IS NOT NULL) s
+        GROUP BY slot HAVING count(*) > 1""", _COUNTS))
+def q_hash_collisions(spark, sf_dir):
+    """features sharing a hashed slot (md5 slot, m = 256)."""
+    counts = vocab.value_counts(fx.impressions(spark, sf_dir), FEATURES)
+    return vocab.hash_collisions(counts, HASH_SLOTS)
+
+
+HOURS = [f"h{i}" for i in range(24)]
+
+
+@register("dummy_matrix", sq.with_impressions(
+    "SELECT id, cat3, " + ", ".join(f"CASE WHEN cat3 = '{v}' THEN 1 ELSE 0 END AS cat3_{v}" for v in HOURS[1:])
+    + " FROM imp"))
+def q_dummy_matrix(spark, sf_dir):
+    """0/1 columns for ``cat3`` with the base level h0 dropped."""
+    imp = fx.impressions(spark, sf_dir).select("id", "cat3")
+    return fe.dummy_columns(imp, "cat3", HOURS, drop=["h0"])
+
+
+@register("impute_sentinel", sq.with_impressions(
+    "SELECT id, " + ", ".join(f"CAST(coalesce({c}, -1) AS {'BIGINT' if c in ('n5',) else 'INTEGER'}) AS {c}, "
+                              f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in ["y"] + NUMS)
+    + " FROM imp"))
+def q_impute_sentinel(spark, sf_dir):
+    """Numerics without nulls (sentinel -1 plus a missing flag)."""
+    imp = fx.impressions(spark, sf_dir).select("id", "y", *NUMS)
+    return fe.impute_numeric(imp, ["y"] + NUMS, sentinel=-1)
+
+
+# ---------------------------------------------------------------- split and sampling
+@register("hash_split", sq.with_impressions(
+    """SELECT split, CAST(count(*) AS BIGINT) AS rows, CAST(sum(y) AS BIGINT) AS clicks
+       FROM (SELECT *, CASE WHEN ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 6))::BIGINT < 13421773
+                            THEN 'train' ELSE 'test' END AS split FROM imp WHERE y IS NOT NULL) s
+       GROUP BY split"""))
+def q_hash_split(spark, sf_dir):
+    """SP2 + P7: labelled rows split 80/20 by md5 of the key."""
+    imp = fx.labelled(fx.impressions(spark, sf_dir))
+    return split.hash_split(imp, "id", (0.8, 0.2)).groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum("y").cast("bigint").alias("clicks"))
+
+
+@register("oversample", sq.with_impressions(
+    """SELECT id, y, CAST(unnest(generate_series(1, CASE WHEN y = 1 THEN 3 ELSE 1 END)) AS INTEGER) AS copy
+       FROM imp WHERE y IS NOT NULL"""))
+def q_oversample(spark, sf_dir):
+    """Clicks appear three times (minority duplicated twice)."""
+    imp = fx.labelled(fx.impressions(spark, sf_dir)).select("id", "y")
+    return split.oversample(imp, "y", 1, times=2, copy_col="copy").withColumn("copy", F.col("copy").cast("int"))
+
+
+@register("sample_n", sq.with_impressions(
+    "SELECT id, y, cat4 FROM imp ORDER BY md5(CAST(id AS VARCHAR)) LIMIT 100"))
+def q_sample_n(spark, sf_dir):
+    """SP3: 100 rows chosen by md5 of the key (the limit is the feature)."""
+    return split.sample_n(fx.impressions(spark, sf_dir).select("id", "y", "cat4"), 100, key="id")
+
+
+@register("label_binarize", sq.with_impressions(
+    "SELECT CASE WHEN y > 0 THEN 1 ELSE 0 END AS labels, CAST(count(*) AS BIGINT) AS rows FROM imp GROUP BY 1"))
+def q_label_binarize(spark, sf_dir):
+    """P2 + P4: ``y > 0`` to 1, everything else (null too) to 0, renamed."""
+    imp = fx.impressions(spark, sf_dir)
+    return imp.select(scalar.binarize("y").alias("labels")).groupBy("labels").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+@register("row_counts", sq.with_impressions(
+    """SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(y) AS BIGINT) AS labelled,
+              CAST(count(*) - count(y) AS BIGINT) AS null_labels, round(avg(y), 6) AS click_rate FROM imp"""))
+def q_row_counts(spark, sf_dir):
+    """A1 + A4/A5: rows, labelled rows and mean label in one aggregate."""
+    imp = fx.impressions(spark, sf_dir)
+    return imp.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                   F.count("y").cast("bigint").alias("labelled"),
+                   (F.count(F.lit(1)) - F.count("y")).cast("bigint").alias("null_labels"),
+                   F.round(F.avg("y"), 6).alias("click_rate"))
+
+
+@register("preview_head", sq.with_impressions("SELECT * FROM imp ORDER BY id LIMIT 5"))
+def q_preview_head(spark, sf_dir):
+    """First rows in key order (explicit order, then limit)."""
+    return fx.impressions(spark, sf_dir).orderBy("id").limit(5)
+
+
+@register("preview_tail", sq.with_impressions("SELECT * FROM imp ORDER BY id DESC LIMIT 5"))
+def q_preview_tail(spark, sf_dir):
+    """Last rows in key order."""
+    return fx.impressions(spark, sf_dir).orderBy(F.desc("id")).limit(5)
+
+
+@register("forward_fill", sq.with_impressions(
+    """SELECT id, cat1, last_value(cat1 IGNORE NULLS) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              AS cat1_ffill FROM imp"""))
+def q_forward_fill(spark, sf_dir):
+    """Forward fill over the whole table in key order, in key ranges."""
+    imp = fx.impressions(spark, sf_dir).select("id", "cat1")
+    return ordered.forward_fill(imp, "cat1", "id", out_col="cat1_ffill")
+
+
+# ---------------------------------------------------------------- coefficient reports
+_COEF = f"coef AS {sq.coefficients_sql(FEATURES, T, SENT, fx.NEAR_MISS_FEATURE)}"
+STASH_NAMES = report.stash_feature_names(list(IMP.categorical), SENT)
+_STASH_IN = ", ".join(f"'{n}'" for n in STASH_NAMES)
+
+
+@register("coefficient_report", sq.with_impressions(
+    """SELECT feature, round(coeff, 6) AS coeff, round(exp(coeff), 6) AS odds,
+              CAST(rank() OVER (ORDER BY coeff DESC) + (count(*) OVER (PARTITION BY coeff) - 1) / 2.0 AS DOUBLE) AS rank
+       FROM coef""", _COEF))
+def q_coefficient_report(spark, sf_dir):
+    """M9 + W1 + X5: odds and average-tie rank of each coefficient."""
+    rep = report.coefficient_report(fx.coefficients(spark, sf_dir))
+    return rep.select("feature", F.round("coeff", 6).alias("coeff"), F.round("odds", 6).alias("odds"),
+                      F.col("rank").cast("double").alias("rank"))
+
+
+@register("top_coefficients", sq.with_impressions(
+    """SELECT direction, CAST(position AS INTEGER) AS position, feature, round(coeff, 6) AS coeff FROM (
+         SELECT 'largest' AS direction, row_number() OVER (ORDER BY coeff DESC, feature ASC) AS position, * FROM coef
+         UNION ALL
+         SELECT 'smallest' AS direction, row_number() OVER (ORDER BY coeff ASC, feature ASC) AS position, * FROM coef) t
+       WHERE position <= 10""", _COEF))
+def q_top_coefficients(spark, sf_dir):
+    """T1 + T2: ten largest and ten smallest weights."""
+    tb = report.top_bottom(fx.coefficients(spark, sf_dir), 10)
+    return tb.withColumn("coeff", F.round("coeff", 6))
+
+
+@register("stash_report", sq.with_impressions(
+    f"""SELECT feature, round(coeff, 6) AS coeff, round(exp(coeff), 6) AS odds, coeff > 1 AS large
+        FROM coef WHERE feature IN ({_STASH_IN})""", _COEF))
+def q_stash_report(spark, sf_dir):
+    """M10 + P12 + U3: stash features by exact name (the near miss
+    ``n1v_10000`` is not one)."""
+    st = report.stash_report(fx.coefficients(spark, sf_dir), STASH_NAMES)
+    return st.select("feature", F.round("coeff", 6).alias("coeff"), F.round("odds", 6).alias("odds"), "large")
+
+
+@register("coef_share", sq.with_impressions(
+    """SELECT CAST(count(*) AS BIGINT) AS features, CAST(count(*) FILTER (WHERE coeff > 1) AS BIGINT) AS large,
+              round(avg(CAST(coeff > 1 AS DOUBLE)), 6) AS share FROM coef""", _COEF))
+def q_coef_share(spark, sf_dir):
+    """A21 + P13: share of weights above 1."""
+    return report.coef_share(fx.coefficients(spark, sf_dir)).withColumn("share", F.round("share", 6))
+
+
+@register("linearity_view", sq.with_impressions(
+    """SELECT CAST(floor(coeff / 0.1) AS INTEGER) AS weight_bin, CAST(floor(exp(coeff) / 0.2) AS INTEGER) AS odds_bin,
+              CAST(count(*) AS BIGINT) AS features
+       FROM coef WHERE coeff BETWEEN -1.0 AND 1.0 AND exp(coeff) BETWEEN 0.4 AND 3.0
+       GROUP BY 1, 2""", _COEF))
+def q_linearity_view(spark, sf_dir):
+    """Weight-against-odds grid counts inside the plotted window."""
+    return report.linearity_view(fx.coefficients(spark, sf_dir))
+
+
+@register("sorted_curve", sq.with_impressions(
+    f"""SELECT CAST(row_number() OVER (ORDER BY coeff ASC, feature ASC) AS INTEGER) AS position, feature,
+               round(coeff, 6) AS coeff, round(exp(coeff), 6) AS odds, feature IN ({_STASH_IN}) AS is_stash
+        FROM coef""", _COEF))
+def q_sorted_curve(spark, sf_dir):
+    """Sorted weights with stash points marked."""
+    sc = report.sorted_curve(fx.coefficients(spark, sf_dir), STASH_NAMES)
+    return sc.select("position", "feature", F.round("coeff", 6).alias("coeff"),
+                     F.round("odds", 6).alias("odds"), "is_stash")

@@ -37,3 +37,54 @@ def with_impressions(body: str, extra: str = "") -> str:
 def with_scored(body: str, extra: str = "") -> str:
     extra = (",\n" + extra) if extra else ""
     return f"WITH sc AS ({SCORED_SQL}){extra}\n{body}"
+
+
+def stash_sql(cols: Sequence[str], sentinels: Mapping[str, int], src: str = "imp",
+              vocab: str = "vocab", keep_cols: Sequence[str] = ("id", "y")) -> str:
+    """SELECT of ``keep_cols`` plus ``<c>_t`` per column (null and rare to
+    the stash value) from ``src`` joined to the keep lists of ``vocab``."""
+    sel = [f"{src}.{k}" for k in keep_cols]
+    joins = []
+    for i, c in enumerate(cols):
+        stash = str(int(sentinels[c])) if c in sentinels else f"'stash_{c}'"
+        sel.append(f"CASE WHEN k{i}.value IS NOT NULL THEN {src}.{c} ELSE {stash} END AS {c}_t")
+        joins.append(f"LEFT JOIN (SELECT value FROM {vocab} WHERE kept AND col_name = '{c}') k{i} "
+                     f"ON CAST({src}.{c} AS VARCHAR) = k{i}.value")
+    return f"SELECT {', '.join(sel)} FROM {src} " + " ".join(joins)
+
+
+def labels_sql(cols: Sequence[str], sentinels: Mapping[str, int], vocab: str = "vocab") -> str:
+    """Stashed labels with index, size, base slot, slot and feature name."""
+    stash_case = "CASE col_name " + " ".join(
+        f"WHEN '{c}' THEN '{sentinels[c] if c in sentinels else 'stash_' + c}'" for c in cols) + " END"
+    pos_case = "CASE col_name " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(cols)) + " END"
+    return f"""
+SELECT i.col_name, i.label, CAST(i.n AS BIGINT) AS n, CAST(i.idx AS INTEGER) AS idx,
+       CAST(i.size AS INTEGER) AS size, CAST(o.base_slot AS INTEGER) AS base_slot,
+       CAST(o.base_slot + i.idx AS INTEGER) AS slot, i.col_name || 'v_' || i.label AS feature
+FROM (SELECT *, row_number() OVER (PARTITION BY col_name ORDER BY n DESC, label ASC) - 1 AS idx,
+             count(*) OVER (PARTITION BY col_name) AS size
+      FROM (SELECT col_name, value AS label, n FROM {vocab} WHERE kept
+            UNION ALL
+            SELECT col_name, {stash_case} AS label, sum(n) AS n FROM {vocab} WHERE NOT kept
+            GROUP BY col_name) l) i
+JOIN (SELECT col_name, coalesce(sum(size) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS base_slot
+      FROM (SELECT DISTINCT col_name, size, {pos_case} AS pos
+            FROM (SELECT col_name, count(*) OVER (PARTITION BY col_name) AS size
+                  FROM (SELECT col_name FROM {vocab} WHERE kept
+                        UNION ALL SELECT DISTINCT col_name FROM {vocab} WHERE NOT kept) a) b) c) o
+  ON i.col_name = o.col_name"""
+
+
+def coefficients_sql(cols: Sequence[str], thresholds: Mapping[str, int], sentinels: Mapping[str, int],
+                     near_miss: tuple) -> str:
+    """Fixture D in SQL: needs the ``imp`` CTE."""
+    st = stash_sql(cols, sentinels)
+    long = " UNION ALL ".join(
+        f"SELECT y, '{c}' AS col_name, CAST({c}_t AS VARCHAR) AS label FROM st" for c in cols)
+    return f"""(WITH vocab AS ({vocab_sql(cols, thresholds, 'imp')}),
+st AS ({st} WHERE imp.y IS NOT NULL)
+SELECT col_name || 'v_' || label AS feature, ln((rate + 0.01) / (1.01 - rate)) AS coeff
+FROM (SELECT col_name, label, avg(y) AS rate FROM ({long}) u GROUP BY col_name, label) r
+UNION ALL SELECT '{near_miss[0]}' AS feature, {near_miss[1]} AS coeff)"""
