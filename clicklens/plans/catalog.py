@@ -527,3 +527,75 @@ def q_sorted_curve(spark, sf_dir):
     sc = report.sorted_curve(fx.coefficients(spark, sf_dir), STASH_NAMES)
     return sc.select("position", "feature", F.round("coeff", 6).alias("coeff"),
                      F.round("odds", 6).alias("odds"), "is_stash")
+
+
+# ---------------------------------------------------------------- sources and sinks
+from pyspark.sql import types as _T  # noqa: E402
+
+from clicklens.session import scratch_path  # noqa: E402
+from clicklens.sources import io  # noqa: E402
+
+IMP_SCHEMA = _T.StructType([
+    _T.StructField("id", _T.LongType()), _T.StructField("y", _T.IntegerType()),
+    *[_T.StructField(c, _T.LongType() if c == "n5" else _T.IntegerType()) for c in NUMS],
+    *[_T.StructField(c, _T.StringType()) for c in IMP.categorical]])
+_LINE_SQL = "concat_ws(chr(9), " + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '')" for c in IMP_COLS) + ")"
+LINE_FRACTION = 0.1
+
+
+@register("tsv_round_trip", sq.with_impressions("SELECT * FROM imp"))
+def q_tsv_round_trip(spark, sf_dir):
+    """S1 + S3: impressions written as headerless TSV, read back under the
+    explicit schema through a part-file glob."""
+    path = io.write_tsv(fx.impressions(spark, sf_dir), scratch_path(spark, "tsv"))
+    return io.read_tsv(spark, f"{path}/part-*", IMP_SCHEMA)
+
+
+@register("null_marker_round_trip", sq.with_impressions("SELECT * FROM imp"))
+def q_null_marker_round_trip(spark, sf_dir):
+    """S8 + S2: nulls exported as the text ``null`` and read back strictly."""
+    path = io.write_tsv(fx.impressions(spark, sf_dir), scratch_path(spark, "nulltsv"), null_value="null")
+    return io.read_tsv(spark, path, IMP_SCHEMA, strict=True, null_value="null")
+
+
+@register("sample_lines", sq.with_impressions(
+    f"""SELECT line AS value FROM (SELECT {_LINE_SQL} AS line FROM imp) t
+        WHERE line <> '' AND ('0x' || substr(md5(line), 1, 4))::INTEGER < {int(round(LINE_FRACTION * 65536))}"""))
+def q_sample_lines(spark, sf_dir):
+    """Repeatable 10 % line sample of the exported log text."""
+    path = io.write_tsv(fx.impressions(spark, sf_dir), scratch_path(spark, "lines"))
+    return io.sample_lines(spark, path, LINE_FRACTION)
+
+
+@register("parquet_round_trip", sq.with_impressions(
+    _union([f"""SELECT '{c}' AS col_name, CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after,
+                       CAST(count({c}) AS BIGINT) AS non_null_before, CAST(count({c}) AS BIGINT) AS non_null_after,
+                       CAST(coalesce(sum(length(CAST({c} AS VARCHAR))), 0) AS BIGINT) AS length_before,
+                       CAST(coalesce(sum(length(CAST({c} AS VARCHAR))), 0) AS BIGINT) AS length_after,
+                       true AS equal FROM imp""" for c in IMP_COLS])))
+def q_parquet_round_trip(spark, sf_dir):
+    """S4 + S5 + S12: snappy Parquet write, pruned read, per-column checks."""
+    imp = fx.impressions(spark, sf_dir)
+    path = io.write_parquet(imp, scratch_path(spark, "pq"))
+    back = io.read_parquet(spark, path, IMP_COLS)
+    return io.round_trip_check(imp, back, IMP_COLS)
+
+
+@register("file_inventory",
+          "SELECT 'events.parquet' AS file_name, CAST(count(*) AS BIGINT) AS rows FROM events "
+          "UNION ALL SELECT 'lineitem.parquet' AS file_name, CAST(count(*) AS BIGINT) AS rows FROM lineitem")
+def q_file_inventory(spark, sf_dir):
+    """Part files and their row counts from the scan's metadata column."""
+    inv = io.file_inventory(spark, [f"{sf_dir}/events.parquet", f"{sf_dir}/lineitem.parquet"])
+    return inv.select("file_name", "rows")
+
+
+@register("csv_results_read", sq.with_impressions(
+    "SELECT feature, round(coeff, 6) AS coeff FROM coef", _COEF))
+def q_csv_results_read(spark, sf_dir):
+    """S6 + S7 + S9: coefficient table as one headerless CSV part (size
+    checked), read back under named columns."""
+    path = io.write_csv_single(fx.coefficients(spark, sf_dir), scratch_path(spark, "coef"))
+    back = io.read_csv(spark, path, "feature string, coeff double")
+    return back.withColumn("coeff", F.round("coeff", 6))
