@@ -18,18 +18,21 @@ from pyspark.sql import functions as F
 HASH_BITS = 24
 
 
-def hash_fraction_key(key) -> Column:
-    """Integer in [0, 2^24): the first 6 hex digits of md5(key as string)."""
+def hash_fraction_key(key, salt: str = "") -> Column:
+    """Integer in [0, 2^24): the first 6 hex digits of md5(salt + key as
+    string). A salt makes the split independent of other md5(key) rules."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.conv(F.substring(F.md5(k.cast("string")), 1, 6), 16, 10).cast("bigint")
+    text = F.concat(F.lit(salt), k.cast("string")) if salt else k.cast("string")
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("bigint")
 
 
 def hash_split(df: DataFrame, key: str, fractions: Sequence[float] = (0.8, 0.2),
-               names: Sequence[str] = ("train", "test"), split_col: str = "split") -> DataFrame:
+               names: Sequence[str] = ("train", "test"), split_col: str = "split",
+               salt: str = "") -> DataFrame:
     """SP2: add ``split`` by comparing 24 bits of md5(key) to cumulative
     fractions (normalised). A row's split never depends on partitioning."""
     total = float(sum(fractions))
-    h = hash_fraction_key(key)
+    h = hash_fraction_key(key, salt)
     expr = None
     acc = 0.0
     for frac, name in zip(fractions[:-1], names[:-1]):
@@ -41,9 +44,10 @@ def hash_split(df: DataFrame, key: str, fractions: Sequence[float] = (0.8, 0.2),
     return df.withColumn(split_col, expr)
 
 
-def split_frames(df: DataFrame, key: str, fractions: Sequence[float] = (0.8, 0.2)) -> tuple[DataFrame, ...]:
+def split_frames(df: DataFrame, key: str, fractions: Sequence[float] = (0.8, 0.2),
+                 salt: str = "") -> tuple[DataFrame, ...]:
     names = [f"part{i}" for i in range(len(fractions))]
-    tagged = hash_split(df, key, fractions, names, "__split")
+    tagged = hash_split(df, key, fractions, names, "__split", salt)
     return tuple(tagged.filter(F.col("__split") == n).drop("__split") for n in names)
 
 

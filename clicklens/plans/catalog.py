@@ -599,3 +599,130 @@ def q_csv_results_read(spark, sf_dir):
     path = io.write_csv_single(fx.coefficients(spark, sf_dir), scratch_path(spark, "coef"))
     back = io.read_csv(spark, path, "feature string, coeff double")
     return back.withColumn("coeff", F.round("coeff", 6))
+
+
+# ---------------------------------------------------------------- models (Spark ML)
+from clicklens.operators import models  # noqa: E402
+from clicklens.plans import jobs  # noqa: E402
+
+
+@register("lr_category_rate", sq.with_impressions(
+    """SELECT cat2, CAST(count(*) AS BIGINT) AS rows, round(avg(y), 5) AS prob
+       FROM imp WHERE y IS NOT NULL GROUP BY cat2"""))
+def q_lr_category_rate(spark, sf_dir):
+    """M1 + M3 + M4 closed form: unregularised LR on one one-hot column,
+    run to convergence, predicts each category's click rate."""
+    lab = fx.labelled(fx.impressions(spark, sf_dir)).select("id", "y", "cat2")
+    enc = fe.StashEncoder(["cat2"], 0).fit(lab)
+    x = enc.transform(lab, keep_stashed=True).withColumn("label", F.col("y"))
+    model = models.train_lr(x, max_iter=200, tol=1e-10, threshold=0.5)
+    scored = models.score(model, x)
+    return scored.groupBy(F.col("cat2_t").alias("cat2")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"), F.round(F.avg("prob"), 5).alias("prob"))
+
+
+def _onehot_job(spark, sf_dir):
+    return jobs.onehot_lr(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES, T, SENT)
+
+
+@register("lr_onehot_metrics")
+def q_lr_onehot_metrics(spark, sf_dir):
+    """02a: one-hot LR on the signal fixture; baseline, test losses,
+    confusion counts, precision, recall, AUROC (model output: rows only)."""
+    return _onehot_job(spark, sf_dir).metrics
+
+
+@register("lr_hashed_metrics")
+def q_lr_hashed_metrics(spark, sf_dir):
+    """02b: LR on 2^18 hashed features (FeatureHasher)."""
+    return jobs.hashed_lr(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES,
+                          list(IMP.categorical)).metrics
+
+
+def _rf_job(spark, sf_dir):
+    return jobs.random_forest(fx.signal_impressions(spark, sf_dir), "id", "y", NUMS,
+                              list(IMP.categorical), T)
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    """transform + train + rf_score: imputed numerics, oversampled clicks,
+    40 trees of depth 5, clipped loss of P(click)."""
+    return _rf_job(spark, sf_dir).metrics
+
+
+@register("lr_training_curve")
+def q_lr_training_curve(spark, sf_dir):
+    """M7: objective per L-BFGS iteration of the one-hot LR."""
+    return models.training_curve(_onehot_job(spark, sf_dir).model, spark, "onehot_lr")
+
+
+@register("lr_coefficients")
+def q_lr_coefficients(spark, sf_dir):
+    """M8: fitted coefficients named through the vector metadata."""
+    res = _onehot_job(spark, sf_dir)
+    return models.coefficient_table(res.model, res.encoded_train)
+
+
+@register("lr_coefficient_report")
+def q_lr_coefficient_report(spark, sf_dir):
+    """M9 + M10 on the fitted model: odds, average rank, stash flags."""
+    res = _onehot_job(spark, sf_dir)
+    coef = models.coefficient_table(res.model, res.encoded_train).select("feature", "coeff")
+    rep = report.coefficient_report(coef)
+    return rep.withColumn("is_stash", F.col("feature").isin(STASH_NAMES))
+
+
+@register("rf_importance")
+def q_rf_importance(spark, sf_dir):
+    """Forest feature importances, descending."""
+    res = _rf_job(spark, sf_dir)
+    return models.feature_importance(res.model, res.encoded_train)
+
+
+@register("lr_grid")
+def q_lr_grid(spark, sf_dir):
+    """L1 against L2 and two strengths, validated by AUROC."""
+    lab = fx.signal_impressions(spark, sf_dir)
+    train, _ = split.split_frames(lab, "id", (0.8, 0.2), jobs.SPLIT_SALT)
+    enc = fe.StashEncoder(FEATURES, T, SENT).fit(train)
+    x = enc.transform(train).withColumn("label", F.col("y"))
+    _, table = models.grid_search(x)
+    return table
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """One row per model: train rows, baseline, test loss, lift."""
+    sig = fx.signal_impressions(spark, sf_dir)
+    results = [jobs.onehot_lr(sig, "id", "y", FEATURES, T, SENT),
+               jobs.hashed_lr(sig, "id", "y", FEATURES, list(IMP.categorical)),
+               jobs.random_forest(sig, "id", "y", NUMS, list(IMP.categorical), T)]
+    m = results[0].metrics
+    for r in results[1:]:
+        m = m.unionByName(r.metrics)
+    wide = m.groupBy("model").pivot("metric", ["rows", "baseline_log_loss", "log_loss", "auroc"]).agg(
+        F.max(F.when(F.col("split") == "test", F.col("value"))
+              .when(F.col("metric").isin("rows", "baseline_log_loss"), F.col("value"))))
+    return wide.select(
+        "model", F.col("baseline_log_loss"), F.col("log_loss").alias("test_log_loss"), "auroc",
+        F.round((F.col("baseline_log_loss") - F.col("log_loss")) / F.col("baseline_log_loss"), 6).alias("lift"))
+
+
+@register("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    """Encoder + LR saved as one pipeline, loaded, rescored; the
+    largest probability difference must be 0."""
+    from pyspark.ml import PipelineModel
+
+    res = _onehot_job(spark, sf_dir)
+    enc = res.extras["encoder"]
+    lab = fx.signal_impressions(spark, sf_dir)
+    stashed = enc.stash(lab)
+    pipe = PipelineModel(stages=enc.ml_pipeline(stashed).stages + [res.model])
+    path = io.save_model(pipe, scratch_path(spark, "model"))
+    again = io.load_model(path)
+    a = models.score(pipe, stashed).select("id", F.col("prob").alias("p1"))
+    b = models.score(again, stashed).select("id", F.col("prob").alias("p2"))
+    return a.join(b, "id").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                               F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
