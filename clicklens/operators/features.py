@@ -38,6 +38,7 @@ class StashEncoderModel:
     stash_values: dict
     kept_sizes: dict
     broadcast_cap: int = V.DEFAULT_BROADCAST_CAP
+    null_to_stash: bool = True
 
     @property
     def stashed_cols(self) -> list[str]:
@@ -47,7 +48,7 @@ class StashEncoderModel:
         """F1/F2 on any frame with the fitted keep lists (unseen -> stash)."""
         return V.apply_stash(df, self.vocab, self.cols, self.stash_values,
                              broadcast_cap=self.broadcast_cap, drop_input=drop_input,
-                             sizes=self.kept_sizes)
+                             sizes=self.kept_sizes, null_to_stash=self.null_to_stash)
 
     def long_form(self, stashed: DataFrame, key: str) -> DataFrame:
         """F5/F6 long form: one row per active one-hot slot.
@@ -108,18 +109,20 @@ class StashEncoder:
     """Fit the vocabulary once; thresholds strictly greater are kept."""
 
     def __init__(self, cols: Sequence[str], threshold, sentinels: Mapping[str, int] | None = None,
-                 broadcast_cap: int = V.DEFAULT_BROADCAST_CAP):
+                 broadcast_cap: int = V.DEFAULT_BROADCAST_CAP, null_to_stash: bool = True):
         self.cols = list(cols)
         self.threshold = threshold
         self.sentinels = dict(sentinels or {})
         self.broadcast_cap = broadcast_cap
+        self.null_to_stash = null_to_stash
 
     def fit(self, df: DataFrame) -> StashEncoderModel:
         vocab = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels)
         stash_values = {c: V.stash_value(df, c, self.sentinels.get(c)) for c in self.cols}
-        labels = V.stash_labels(vocab, self.cols, stash_values)
+        labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash)
         sizes = V.kept_counts(vocab)
-        return StashEncoderModel(self.cols, vocab, labels, stash_values, sizes, self.broadcast_cap)
+        return StashEncoderModel(self.cols, vocab, labels, stash_values, sizes, self.broadcast_cap,
+                                 self.null_to_stash)
 
 
 def feature_catalog(df: DataFrame, features_col: str = "features") -> DataFrame:

@@ -99,11 +99,14 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
                 stash_values: Mapping[str, object], *,
                 broadcast_cap: int = DEFAULT_BROADCAST_CAP,
                 drop_input: bool = True,
-                sizes: Mapping[str, int] | None = None) -> DataFrame:
+                sizes: Mapping[str, int] | None = None,
+                null_to_stash: bool = True) -> DataFrame:
     """F1/F2 apply step: ``<col>_t`` = value if kept, else the stash value.
 
-    Null is always stashed (``x IN (...)`` is never true for null). One
-    left equi-join per column against that column's keep list.
+    Null is stashed by default, as in the reference (``x IN (...)`` is
+    never true for null); ``null_to_stash=False`` leaves null as null (the
+    indexer's invalid bucket, i.e. no active slot). One left equi-join per
+    column against that column's keep list.
     """
     sizes = dict(sizes) if sizes is not None else kept_counts(vocab)
     out = df
@@ -122,9 +125,10 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
                 "__jk", F.coalesce(key, F.concat(F.lit("\u0000null#"), salt.cast("string"))))
             joined = out.join(keep, F.col("__jk") == F.col("__keep"), "left").drop("__jk")
         stash = F.lit(stash_values[c]).cast(df.schema[c].dataType)
-        joined = joined.withColumn(
-            c + STASHED_SUFFIX,
-            F.when(F.col("__keep").isNotNull(), F.col(c)).otherwise(stash)).drop("__keep")
+        value = F.when(F.col("__keep").isNotNull(), F.col(c))
+        if not null_to_stash:
+            value = value.when(F.col(c).isNull(), F.lit(None).cast(df.schema[c].dataType))
+        joined = joined.withColumn(c + STASHED_SUFFIX, value.otherwise(stash)).drop("__keep")
         if drop_input:
             joined = joined.drop(c)
         out = joined
@@ -155,7 +159,7 @@ def stash_rare(df: DataFrame, cols: Sequence[str], threshold, *,
 
 
 def stash_labels(vocab: DataFrame, cols: Sequence[str],
-                 stash_values: Mapping[str, object]) -> DataFrame:
+                 stash_values: Mapping[str, object], null_to_stash: bool = True) -> DataFrame:
     """Labels of the stashed columns with their ``StringIndexer`` order.
 
     Output: ``col_name, label, n, idx, size, base_slot, slot, feature``. ``idx``
@@ -168,7 +172,8 @@ def stash_labels(vocab: DataFrame, cols: Sequence[str],
     stash_text = _literal_map({c: str(stash_values[c]) for c in cols})
     position = _literal_map({c: i for i, c in enumerate(cols)})
     kept = vocab.filter("kept").select("col_name", F.col("value").alias("label"), "n")
-    rare = (vocab.filter(~F.col("kept")).groupBy("col_name").agg(F.sum("n").alias("n"))
+    rare_rows = ~F.col("kept") if null_to_stash else (~F.col("kept") & F.col("value").isNotNull())
+    rare = (vocab.filter(rare_rows).groupBy("col_name").agg(F.sum("n").alias("n"))
             .select("col_name", stash_text[F.col("col_name")].alias("label"), "n"))
     labels = kept.unionByName(rare)
     by_col = Window.partitionBy("col_name")
