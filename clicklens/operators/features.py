@@ -67,7 +67,11 @@ class StashEncoderModel:
         return joined.select(key, "col_name", "slot", "feature", F.lit(1.0).alias("value"))
 
     def label_arrays(self) -> list[list[str]]:
-        """Labels per column in index order (driver side, size checked)."""
+        """Labels per column in index order (driver side, size checked,
+        collected once per fitted model)."""
+        cached = getattr(self, "_label_arrays", None)
+        if cached is not None:
+            return cached
         total = sum(self.kept_sizes.values()) + len(self.cols)
         if total > MAX_DRIVER_LABELS:
             raise ValueError(f"{total} labels exceed the driver cap; use long_form or hashing")
@@ -75,7 +79,8 @@ class StashEncoderModel:
         by = {c: [] for c in self.cols}
         for r in rows:
             by[r["col_name"]].append((r["idx"], r["label"]))
-        return [[lab for _, lab in sorted(by[c])] for c in self.cols]
+        self._label_arrays = [[lab for _, lab in sorted(by[c])] for c in self.cols]
+        return self._label_arrays
 
     def ml_pipeline(self, stashed_sample: DataFrame, output_col: str = "features",
                     extra_inputs: Sequence[str] = ()) -> PipelineModel:
@@ -117,10 +122,9 @@ class StashEncoder:
         self.null_to_stash = null_to_stash
 
     def fit(self, df: DataFrame) -> StashEncoderModel:
-        vocab = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels)
+        vocab, sizes = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels, with_sizes=True)
         stash_values = {c: V.stash_value(df, c, self.sentinels.get(c)) for c in self.cols}
         labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash)
-        sizes = V.kept_counts(vocab)
         return StashEncoderModel(self.cols, vocab, labels, stash_values, sizes, self.broadcast_cap,
                                  self.null_to_stash)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.functions.scalar import LOG_EPSILON, log_loss_clipped
+from clicklens.functions.scalar import LOG_EPSILON, log_loss_clipped, log_loss_eps
 from clicklens.operators.ordered import BUCKET, range_buckets, with_previous
 
 
@@ -110,3 +110,29 @@ def auroc(scored: DataFrame, label: str = "label", score: str = "prob",
     return agg.select("positives", "negatives",
                       F.round(F.try_divide(F.col("__num"), F.col("positives") * F.col("negatives")), 6)
                       .alias("auroc"))
+
+
+def scored_summary(scored: DataFrame, label: str = "label", prob: str = "prob",
+                   prediction: str = "prediction") -> DataFrame:
+    """M6 + X1 + A16 + A17 fused: every per-row metric of a scored table in
+    one aggregate (one scan instead of one job per number).
+
+    Output (one row): ``rows, log_loss_eps, log_loss, tp, tn, fp, fn,
+    positives, negatives, precision_pct, recall_pct``.
+    """
+    y = F.col(label).cast("int")
+    p = F.col(prediction).cast("int")
+    agg = scored.agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"),
+        F.avg(log_loss_eps(label, prob)).alias("log_loss_eps"),
+        F.avg(log_loss_clipped(label, prob)).alias("log_loss"),
+        F.count_if((y == 1) & (p == 1)).cast("bigint").alias("tp"),
+        F.count_if((y == 0) & (p == 0)).cast("bigint").alias("tn"),
+        F.count_if((y == 0) & (p == 1)).cast("bigint").alias("fp"),
+        F.count_if((y == 1) & (p == 0)).cast("bigint").alias("fn"),
+        F.count_if(y == 1).cast("bigint").alias("positives"),
+        F.count_if(y == 0).cast("bigint").alias("negatives"))
+    return agg.select(
+        "*",
+        F.try_divide(F.col("tp") * 100.0, F.col("tp") + F.col("fp")).alias("precision_pct"),
+        F.try_divide(F.col("tp") * 100.0, F.col("tp") + F.col("fn")).alias("recall_pct"))

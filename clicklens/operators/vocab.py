@@ -110,37 +110,59 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     """
     sizes = dict(sizes) if sizes is not None else kept_counts(vocab)
     out = df
-    for c in cols:
+    keeps = []
+    for i, c in enumerate(cols):
+        kname = f"__keep{i}"
         keep = (vocab.filter(F.col("kept") & (F.col("col_name") == c))
-                .select(F.col("value").alias("__keep")))
+                .select(F.col("value").alias(kname)))
         key = F.col(c).cast("string")
-        size = sizes.get(c, 0)
-        if size <= broadcast_cap:
-            joined = out.join(F.broadcast(keep), key == F.col("__keep"), "left")
+        if sizes.get(c, 0) <= broadcast_cap:
+            out = out.join(F.broadcast(keep), key == F.col(kname), "left")
         else:
             # Shuffle join: nulls can never match, so give them salted keys that
             # cannot occur in the keep list instead of one hot null partition.
-            salt = F.pmod(F.xxhash64(*[F.col(x) for x in out.columns]), F.lit(NULL_SALT_BUCKETS))
-            out = out.withColumn(
-                "__jk", F.coalesce(key, F.concat(F.lit("\u0000null#"), salt.cast("string"))))
-            joined = out.join(keep, F.col("__jk") == F.col("__keep"), "left").drop("__jk")
-        stash = F.lit(stash_values[c]).cast(df.schema[c].dataType)
-        value = F.when(F.col("__keep").isNotNull(), F.col(c))
+            salt = F.pmod(F.xxhash64(*[F.col(x) for x in df.columns]), F.lit(NULL_SALT_BUCKETS))
+            jk = F.coalesce(key, F.concat(F.lit("\u0000null#"), salt.cast("string")))
+            out = out.withColumn("__jk", jk).join(keep, F.col("__jk") == F.col(kname), "left").drop("__jk")
+        keeps.append(kname)
+    # one projection for all columns (instead of a withColumn/drop per column)
+    stashed = []
+    for c, kname in zip(cols, keeps):
+        dtype = df.schema[c].dataType
+        value = F.when(F.col(kname).isNotNull(), F.col(c))
         if not null_to_stash:
-            value = value.when(F.col(c).isNull(), F.lit(None).cast(df.schema[c].dataType))
-        joined = joined.withColumn(c + STASHED_SUFFIX, value.otherwise(stash)).drop("__keep")
-        if drop_input:
-            joined = joined.drop(c)
-        out = joined
-    return out
+            value = value.when(F.col(c).isNull(), F.lit(None).cast(dtype))
+        stashed.append(value.otherwise(F.lit(stash_values[c]).cast(dtype)).alias(c + STASHED_SUFFIX))
+    dropped = set(cols) if drop_input else set()
+    return out.select(*[F.col(x) for x in df.columns if x not in dropped], *stashed)
+
+
+def vocabulary_stats(vocab: DataFrame, sentinels: Mapping[str, int] | None = None) -> dict:
+    """Kept-value count per column, and D14 (a numeric sentinel that already
+    occurs in its column raises), from one aggregate with one row per column.
+    """
+    sentinels = dict(sentinels or {})
+    sent = _literal_map({c: str(s) for c, s in sentinels.items()}) if sentinels else None
+    clash = (F.col("value") == sent[F.col("col_name")]) if sent is not None else F.lit(False)
+    rows = vocab.groupBy("col_name").agg(
+        F.count_if("kept").alias("kept"), F.max(F.coalesce(clash, F.lit(False))).alias("clash")).collect()
+    bad = sorted(r["col_name"] for r in rows if r["clash"])
+    if bad:
+        raise ValueError(f"stash sentinel occurs as a real value in {bad}")
+    return {r["col_name"]: r["kept"] for r in rows}
 
 
 def fit_vocabulary(df: DataFrame, cols: Sequence[str], threshold,
-                   sentinels: Mapping[str, int] | None = None) -> DataFrame:
-    """Vocabulary persisted once so the size check and the joins share it."""
+                   sentinels: Mapping[str, int] | None = None, *,
+                   with_sizes: bool = False):
+    """Vocabulary persisted once so the size check and the joins share it.
+
+    With ``with_sizes`` also returns the kept count per column (the same
+    one-row-per-column job that checks the sentinels).
+    """
     vocab = vocabulary(df, cols, threshold).persist(StorageLevel.MEMORY_AND_DISK)
-    check_sentinels(vocab, sentinels or {})
-    return vocab
+    sizes = vocabulary_stats(vocab, sentinels)
+    return (vocab, sizes) if with_sizes else vocab
 
 
 def stash_rare(df: DataFrame, cols: Sequence[str], threshold, *,
@@ -153,9 +175,12 @@ def stash_rare(df: DataFrame, cols: Sequence[str], threshold, *,
     ``vocab`` may come from a different frame (fit on train, apply to test).
     """
     sentinels = dict(sentinels or {})
-    vocab = vocab if vocab is not None else fit_vocabulary(df, cols, threshold, sentinels)
+    sizes = None
+    if vocab is None:
+        vocab, sizes = fit_vocabulary(df, cols, threshold, sentinels, with_sizes=True)
     values = {c: stash_value(df, c, sentinels.get(c)) for c in cols}
-    return apply_stash(df, vocab, cols, values, broadcast_cap=broadcast_cap, drop_input=drop_input)
+    return apply_stash(df, vocab, cols, values, broadcast_cap=broadcast_cap, drop_input=drop_input,
+                       sizes=sizes)
 
 
 def stash_labels(vocab: DataFrame, cols: Sequence[str],

@@ -15,10 +15,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.functions.scalar import log_loss_eps
 from clicklens.operators import features as fe
 from clicklens.operators import metrics, models, split
 
@@ -37,34 +37,31 @@ class JobResult:
     encoded_train: DataFrame | None = None
     extras: dict = field(default_factory=dict)
 
+    def release(self) -> None:
+        """Drop the persisted scored rows once the metrics are read."""
+        self.scored.unpersist()
 
-def _metric_rows(name: str, parts: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
-    """Union of one-row aggregates as ``model, split, metric, value``."""
-    out = None
-    for split_name, metric, df, col in parts:
-        row = df.select(F.lit(name).alias("model"), F.lit(split_name).alias("split"),
-                        F.lit(metric).alias("metric"), F.col(col).cast("double").alias("value"))
-        out = row if out is None else out.unionByName(row)
-    return out
+
+def _long_metrics(name: str, split_name: str, one_row: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A one-row aggregate as ``model, split, metric, value`` rows."""
+    typed = one_row.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    long = typed.unpivot([], list(cols), "metric", "value")
+    return long.select(F.lit(name).alias("model"), F.lit(split_name).alias("split"), "metric", "value")
 
 
 def _common_metrics(name: str, train: DataFrame, scored: DataFrame, label: str,
                     train_loss: float | None) -> DataFrame:
+    """Baseline on train; every per-row test metric in one fused aggregate
+    over the persisted scored rows; AUROC by its own rank-sum plan."""
     spark = scored.sparkSession
     base = metrics.baseline_log_loss(train, label)
-    test_eps = scored.agg(F.avg(log_loss_eps(label, "prob")).alias("v"))
-    test_clip = metrics.mean_log_loss(scored, label, "prob")
-    conf = metrics.confusion_counts(scored, label, "prediction")
+    summary = metrics.scored_summary(scored, label, "prob", "prediction")
     auc = metrics.auroc(scored, label, "prob")
-    parts = [("train", "rows", base, "rows"), ("train", "base_rate", base, "base_rate"),
-             ("train", "baseline_log_loss", base, "baseline_log_loss"),
-             ("test", "rows", test_clip, "rows"),
-             ("test", "log_loss_eps", test_eps, "v"), ("test", "log_loss", test_clip, "log_loss"),
-             ("test", "precision_pct", conf, "precision_pct"), ("test", "recall_pct", conf, "recall_pct"),
-             ("test", "tp", conf, "tp"), ("test", "fp", conf, "fp"),
-             ("test", "tn", conf, "tn"), ("test", "fn", conf, "fn"),
-             ("test", "auroc", auc, "auroc")]
-    out = _metric_rows(name, parts)
+    out = (_long_metrics(name, "train", base, ["rows", "base_rate", "baseline_log_loss"])
+           .unionByName(_long_metrics(name, "test", summary,
+                                      ["rows", "log_loss_eps", "log_loss", "precision_pct", "recall_pct",
+                                       "tp", "fp", "tn", "fn"]))
+           .unionByName(_long_metrics(name, "test", auc, ["auroc"])))
     if train_loss is not None:
         out = out.unionByName(spark.createDataFrame(
             [(name, "train", "final_objective", float(train_loss))],
@@ -72,6 +69,13 @@ def _common_metrics(name: str, train: DataFrame, scored: DataFrame, label: str,
     return out
 
 
+def _persist_scored(scored: DataFrame, key: str) -> DataFrame:
+    """Keep only what the metrics read and persist it: the fused summary and
+    the AUROC plan then share one evaluation of the model over the test rows."""
+    keep = [c for c in (key, "label", "prob", "prediction", "rawPrediction") if c in scored.columns]
+    return scored.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshold,
               sentinels: Mapping[str, int] | None = None, *, fractions=(0.8, 0.2),
               max_iter: int = models.LR_MAX_ITER, reg_param: float = 0.0) -> JobResult:
@@ -84,7 +88,7 @@ def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshol
     train_x = enc.transform(train)
     test_x = enc.transform(test)
     model = models.train_lr(train_x, max_iter=max_iter, reg_param=reg_param)
-    scored = models.score(model, test_x)
+    scored = _persist_scored(models.score(model, test_x), key)
     hist = model.summary.objectiveHistory
     m = _common_metrics("onehot_lr", train, scored, "label", hist[-1] if hist else None)
     return JobResult("onehot_lr", m, scored, model, train_x, {"encoder": enc})
@@ -100,7 +104,7 @@ def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
     train = train.withColumn("label", (F.col(label) > 0).cast("int"))
     test = test.withColumn("label", F.col(label).cast("int"))
     model = models.train_lr(train, max_iter=max_iter, reg_param=reg_param)
-    scored = models.score(model, test)
+    scored = _persist_scored(models.score(model, test), key)
     hist = model.summary.objectiveHistory
     m = _common_metrics("hashed_lr", train, scored, "label", hist[-1] if hist else None)
     return JobResult("hashed_lr", m, scored, model, train)
@@ -125,6 +129,6 @@ def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
     test_x = test_x.withColumn("label", F.col(label).cast("double"))
     balanced = split.oversample(train_x, "label", 1.0, times)
     model = models.train_rf(balanced, num_trees=num_trees, max_depth=max_depth, max_bins=max_bins, seed=seed)
-    scored = models.score(model, test_x)
+    scored = _persist_scored(models.score(model, test_x), key)
     m = _common_metrics("random_forest", train_x, scored, "label", None)
     return JobResult("random_forest", m, scored, model, train_x)
