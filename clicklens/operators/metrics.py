@@ -95,7 +95,7 @@ def auroc(scored: DataFrame, label: str = "label", score: str = "prob",
     rows = scored.select(s.alias("s"), y.alias("y")).filter(F.col("y").isin(0, 1) & F.col("s").isNotNull())
     per = rows.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"),
                                 F.count_if(F.col("y") == 0).alias("neg"))
-    per = range_buckets(per, "s", n_buckets)
+    per = range_buckets(per, "s", n_buckets, bounds_from=rows)
     within = F.coalesce(F.sum("neg").over(
         Window.partitionBy(BUCKET).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per = per.withColumn("__below_in", within)

@@ -23,23 +23,27 @@ def _bucket_count(df: DataFrame, n_buckets: int | None) -> int:
 
 
 def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                  accuracy: int = 10000) -> DataFrame:
-    """Add ``__bucket``: contiguous, ordered ranges of ``order_col``.
+                  accuracy: int = 10000, bounds_from: DataFrame | None = None) -> DataFrame:
+    """Add ``__bucket`` (int): contiguous, ordered ranges of ``order_col``.
 
-    Bounds are approximate quantiles computed in one map-side pass; only the
-    bound array (``n_buckets`` doubles) reaches the driver.
+    Bounds are approximate quantiles computed in one map-side pass (over
+    ``bounds_from`` when given, e.g. the raw rows before an aggregation);
+    only the bound array (``n_buckets`` doubles) reaches the driver. Equal
+    keys share a range, so the order key should be unique, or aggregated per
+    key first (as the AUROC plan does) when one value may be hot.
     """
     n = _bucket_count(df, n_buckets)
     if n <= 1:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, F.lit(0))
     qs = [i / n for i in range(1, n)]
-    bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy)).first()[0]
+    src = bounds_from if bounds_from is not None else df
+    bounds = src.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy)).first()[0]
     splits = sorted({float(b) for b in (bounds or []) if b is not None})
     splits = [float("-inf")] + splits + [float("inf")]
     tmp = "__order_d"
     with_d = df.withColumn(tmp, F.col(order_col).cast("double"))
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep").transform(with_d)
-    return out.drop(tmp)
+    return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(tmp)
 
 
 def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None = None,
@@ -59,8 +63,9 @@ def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None =
     within = F.last(col, ignorenulls=True).over(
         Window.partitionBy(BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0))
     b = b.withColumn("__within", within)
-    tail = (b.filter(F.col(col).isNotNull()).groupBy(BUCKET)
-            .agg(F.max_by(F.col(col), F.col(order_col)).alias("__tail")))
+    # one row per range, all-null ranges included (they take the carry on)
+    last_set = F.max(F.when(F.col(col).isNotNull(), F.struct(F.col(order_col).alias("o"), F.col(col).alias("v"))))
+    tail = b.groupBy(BUCKET).agg(last_set["v"].alias("__tail"))
     carry = tail.select(BUCKET, F.last("__tail", ignorenulls=True).over(
         Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
     filled = b.join(F.broadcast(carry), BUCKET, "left")

@@ -21,8 +21,11 @@ from pyspark.sql import types as T
 
 from clicklens.schema import STASH_PREFIX, STASHED_SUFFIX, VECTOR_SUFFIX
 
-# A keep list above this many values per column is joined by shuffle, not broadcast.
+# A keep list above this many values per column is joined by shuffle, not
+# broadcast; and all broadcast keep lists of one frame together stay under
+# the total cap (smallest columns are broadcast first).
 DEFAULT_BROADCAST_CAP = 500_000
+TOTAL_BROADCAST_CAP = 2_000_000
 # Null keys of a shuffle join are spread over this many salt values.
 NULL_SALT_BUCKETS = 256
 
@@ -109,6 +112,13 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     column against that column's keep list.
     """
     sizes = dict(sizes) if sizes is not None else kept_counts(vocab)
+    broadcast_cols = set()
+    budget = min(TOTAL_BROADCAST_CAP, broadcast_cap * max(1, len(cols)))
+    for c in sorted(cols, key=lambda x: sizes.get(x, 0)):
+        size = sizes.get(c, 0)
+        if size <= broadcast_cap and size <= budget:
+            broadcast_cols.add(c)
+            budget -= size
     out = df
     keeps = []
     for i, c in enumerate(cols):
@@ -116,7 +126,7 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
         keep = (vocab.filter(F.col("kept") & (F.col("col_name") == c))
                 .select(F.col("value").alias(kname)))
         key = F.col(c).cast("string")
-        if sizes.get(c, 0) <= broadcast_cap:
+        if c in broadcast_cols:
             out = out.join(F.broadcast(keep), key == F.col(kname), "left")
         else:
             # Shuffle join: nulls can never match, so give them salted keys that

@@ -75,3 +75,10 @@ def test_oversample_counts(spark):
     pos = lab.filter("y = 1").count()
     neg = lab.filter("y = 0").count()
     assert split.oversample(lab, "y", 1, 2).count() == neg + 3 * pos
+
+
+def test_forward_fill_across_all_null_ranges(spark):
+    rows = [(i, "a" if i == 0 else None) for i in range(40)] + [(40, "b"), (41, None)]
+    df = spark.createDataFrame(rows, "id long, c string")
+    got = {r["id"]: r["f"] for r in ordered.forward_fill(df, "c", "id", "f", n_buckets=8).collect()}
+    assert all(got[i] == "a" for i in range(40)) and got[40] == "b" and got[41] == "b"
