@@ -726,3 +726,36 @@ def q_model_save_load(spark, sf_dir):
     b = models.score(again, stashed).select("id", F.col("prob").alias("p2"))
     return a.join(b, "id").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
                                F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
+
+
+# ---------------------------------------------------------------- vectors, hashing, random split
+@register("vector_element", sq.with_impressions(
+    "SELECT st.id, CASE WHEN CAST(st.n1_t AS VARCHAR) = (SELECT label FROM lab WHERE slot = 0) "
+    "THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS slot0 FROM st",
+    f"{_VOCAB}, st AS ({sq.stash_sql(FEATURES, SENT)}), lab AS ({sq.labels_sql(FEATURES, SENT)})"))
+def q_vector_element(spark, sf_dir):
+    """One element of the assembled ML vector per row (slot 0)."""
+    imp = fx.impressions(spark, sf_dir)
+    out = _encoder(imp).transform(imp)
+    return out.select("id", scalar.vector_element("features", 0).alias("slot0"))
+
+
+@register("hash_feature_stats")
+def q_hash_feature_stats(spark, sf_dir):
+    """FeatureHasher vectors (2^18 slots): width and active slots per
+    row (murmur3 slots have no SQL twin, so rows only)."""
+    hashed = fe.hash_features(fx.impressions(spark, sf_dir), FEATURES, 1 << 18,
+                              categorical_cols=list(IMP.categorical))
+    entries = fe.vector_entries(hashed, "id")
+    return entries.groupBy("id").agg(F.count(F.lit(1)).cast("bigint").alias("active_slots"),
+                                     F.round(F.sum("value"), 6).alias("value_sum"))
+
+
+@register("random_split_counts")
+def q_random_split_counts(spark, sf_dir):
+    """SP1: Spark's seeded 70/30 ``randomSplit`` (depends on partitioning,
+    so rows only)."""
+    lab = fx.labelled(fx.impressions(spark, sf_dir))
+    train, test = split.random_split(lab, [0.7, 0.3], seed=0)
+    return (train.agg(F.lit("train").alias("split"), F.count(F.lit(1)).cast("bigint").alias("rows"))
+            .unionByName(test.agg(F.lit("test").alias("split"), F.count(F.lit(1)).cast("bigint").alias("rows"))))
