@@ -11,10 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as _T
 
 from clicklens import fixtures as fx
-from clicklens.operators import vocab
+from clicklens.functions import scalar
+from clicklens.operators import features as fe
+from clicklens.operators import metrics, models, ordered, profile, report, split, vocab
+from clicklens.plans import jobs
 from clicklens.plans import sqltext as sq
+from clicklens.session import scratch_path
+from clicklens.sources import io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,8 +61,6 @@ def stash_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- profiles
-from clicklens.operators import metrics, profile  # noqa: E402
-from clicklens.functions import scalar  # noqa: E402
 
 IMP_COLS = ["id", "y", "n1", "n2", "n3", "n4", "n5", "cat1", "cat2", "cat3", "cat4"]
 FEATURES = list(IMP.numeric) + list(IMP.categorical)
@@ -251,8 +255,6 @@ def q_auroc(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- vocabulary and encoding
-from clicklens.operators import features as fe  # noqa: E402
-from clicklens.operators import ordered, report, split  # noqa: E402
 
 SENT = fx.IMPRESSION_SENTINELS
 _VOCAB = f"vocab AS ({sq.vocab_sql(FEATURES, T, 'imp')})"
@@ -530,10 +532,6 @@ def q_sorted_curve(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sources and sinks
-from pyspark.sql import types as _T  # noqa: E402
-
-from clicklens.session import scratch_path  # noqa: E402
-from clicklens.sources import io  # noqa: E402
 
 IMP_SCHEMA = _T.StructType([
     _T.StructField("id", _T.LongType()), _T.StructField("y", _T.IntegerType()),
@@ -602,8 +600,6 @@ def q_csv_results_read(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models (Spark ML)
-from clicklens.operators import models  # noqa: E402
-from clicklens.plans import jobs  # noqa: E402
 
 
 @register("lr_category_rate", sq.with_impressions(
