@@ -174,3 +174,16 @@ def coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(1).select(F.lit(NEAR_MISS_FEATURE[0]).alias("feature"),
                                   F.lit(NEAR_MISS_FEATURE[1]).alias("coeff"))
     return coef.unionByName(extra)
+
+
+WIDE_SQL = """
+SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y,
+       CAST(l_quantity AS DOUBLE) AS q, CAST(l_extendedprice AS DOUBLE) AS price,
+       CAST(l_discount AS DOUBLE) AS discount, CAST(l_tax AS DOUBLE) AS tax,
+       CAST(l_linenumber AS INTEGER) AS line,
+       CAST(l_partkey AS VARCHAR) AS partkey, CAST(l_suppkey AS VARCHAR) AS suppkey,
+       l_linestatus AS linestatus
+FROM lineitem
+"""
+# Fixed thresholds for the wide fixture at sf0.01 (strictly greater is kept).
+WIDE_THRESHOLDS = {"partkey": 30, "suppkey": 600, "linestatus": 0}

@@ -64,16 +64,16 @@ def class_balance(df: DataFrame, label: str = "y") -> DataFrame:
     return grouped.select("label", "n", F.round(F.col("n") / total, 6).alias("share"))
 
 
-def mean_by_label(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+def mean_by_label(df: DataFrame, label: str, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
     """A10: mean of each numeric per label; nulls skipped; null label dropped.
 
-    Output: ``label, col_name, mean double``.
+    Output: ``label, col_name, mean double`` (rounded unless ``digits`` is None).
     """
     cols = list(cols)
     agg = (df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("label"))
            .agg(*[F.avg(c).alias(c) for c in cols]))
-    return agg.unpivot(["label"], cols, "col_name", "mean").select(
-        "label", "col_name", F.round("mean", 6).alias("mean"))
+    mean = F.round("mean", digits) if digits is not None else F.col("mean")
+    return agg.unpivot(["label"], cols, "col_name", "mean").select("label", "col_name", mean.alias("mean"))
 
 
 def median_by_label(df: DataFrame, label: str, cols: Sequence[str], *,

@@ -755,3 +755,59 @@ def q_random_split_counts(spark, sf_dir):
     train, test = split.random_split(lab, [0.7, 0.3], seed=0)
     return (train.agg(F.lit("train").alias("split"), F.count(F.lit(1)).cast("bigint").alias("rows"))
             .unionByName(test.agg(F.lit("test").alias("split"), F.count(F.lit(1)).cast("bigint").alias("rows"))))
+
+
+# ---------------------------------------------------------------- wide fixture (lineitem)
+WIDE_CATS = ["partkey", "suppkey", "linestatus"]
+WT = fx.WIDE_THRESHOLDS
+
+
+def _with_wide(body, extra=""):
+    extra = (",\n" + extra) if extra else ""
+    return f"WITH w AS ({fx.WIDE_SQL}){extra}\n{body}"
+
+
+@register("wide_vocabulary", _with_wide(
+    "SELECT col_name, value, CAST(n AS BIGINT) AS n, kept FROM vocab",
+    f"vocab AS ({sq.vocab_sql(WIDE_CATS, WT, 'w')})"))
+def q_wide_vocabulary(spark, sf_dir):
+    """A3 on the lineitem fixture (6x the events rows, high-cardinality partkey)."""
+    v = vocab.vocabulary(fx.wide_impressions(spark, sf_dir), WIDE_CATS, WT)
+    return v.select("col_name", "value", F.col("n").cast("bigint").alias("n"), "kept")
+
+
+@register("wide_stash_rate", _with_wide(
+    """SELECT CASE WHEN k.value IS NOT NULL THEN w.suppkey ELSE 'stash_suppkey' END AS suppkey_t,
+              CAST(count(*) AS BIGINT) AS rows, CAST(sum(y) AS BIGINT) AS returns, round(avg(y), 6) AS rate
+       FROM w LEFT JOIN (SELECT value FROM vocab WHERE kept AND col_name = 'suppkey') k ON w.suppkey = k.value
+       GROUP BY 1""",
+    f"vocab AS ({sq.vocab_sql(['suppkey'], WT, 'w')})"))
+def q_wide_stash_rate(spark, sf_dir):
+    """F1 on the lineitem fixture: return rate per stashed supplier."""
+    st = vocab.stash_rare(fx.wide_impressions(spark, sf_dir), ["suppkey"], WT)
+    return st.groupBy("suppkey_t").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                                       F.sum("y").cast("bigint").alias("returns"),
+                                       F.round(F.avg("y"), 6).alias("rate"))
+
+
+_WIDE_NUMS = {"q": 6, "price": 2, "discount": 6, "tax": 6, "line": 6}
+
+
+@register("wide_mean_by_label", _with_wide(_union([
+    f"SELECT y AS label, '{c}' AS col_name, round(avg({c}), {d}) AS mean FROM w GROUP BY y"
+    for c, d in _WIDE_NUMS.items()])))
+def q_wide_mean_by_label(spark, sf_dir):
+    """A10 on the lineitem fixture (price means to cents)."""
+    m = profile.mean_by_label(fx.wide_impressions(spark, sf_dir), "y", list(_WIDE_NUMS), digits=None)
+    rounded = F.when(F.col("col_name") == "price", F.round("mean", 2)).otherwise(F.round("mean", 6))
+    return m.select("label", "col_name", rounded.alias("mean"))
+
+
+@register("wide_cardinality", _with_wide(
+    """SELECT col_name, CAST(count(*) FILTER (WHERE value IS NOT NULL) AS BIGINT) AS distinct_values,
+              round(CAST(count(*) FILTER (WHERE value IS NOT NULL) AS DOUBLE) * 100.0 / sum(n), 6) AS distinct_pct
+       FROM counts GROUP BY col_name""",
+    f"counts AS ({sq.counts_sql(WIDE_CATS, 'w')})"))
+def q_wide_cardinality(spark, sf_dir):
+    """A14 on the lineitem fixture."""
+    return profile.cardinality_profile(fx.wide_impressions(spark, sf_dir), WIDE_CATS)
