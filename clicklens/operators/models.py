@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.operators.features import feature_catalog
+from clicklens.session import ensure_checkpoint_dir
 
 # Fixed values that must equal the reference's for equal results:
 # LR with 10 iterations, no standardisation, elastic net 0, decision
@@ -60,6 +61,7 @@ def train_rf(train: DataFrame, features_col: str = "features", label_col: str =
              seed: int = 1, checkpoint_interval: int = 10) -> RandomForestClassificationModel:
     """M2: random forest. Node-id caching with checkpoints to the shared
     checkpoint folder keeps deep lineages short."""
+    ensure_checkpoint_dir(train.sparkSession)
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
                                 maxDepth=max_depth, maxBins=max_bins, seed=seed,
                                 cacheNodeIds=True, checkpointInterval=checkpoint_interval)
