@@ -124,7 +124,7 @@ class StashEncoder:
     def fit(self, df: DataFrame) -> StashEncoderModel:
         vocab, sizes = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels, with_sizes=True)
         stash_values = {c: V.stash_value(df, c, self.sentinels.get(c)) for c in self.cols}
-        labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash)
+        labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash, sizes=sizes)
         return StashEncoderModel(self.cols, vocab, labels, stash_values, sizes, self.broadcast_cap,
                                  self.null_to_stash)
 

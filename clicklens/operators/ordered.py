@@ -86,3 +86,29 @@ def with_previous(df: DataFrame, value: Column | str, order_col: str, out_col: s
     out = b.join(F.broadcast(carry), BUCKET, "left")
     prev = F.when(F.col("__pos") == 1, F.col("__carry")).otherwise(F.col("__prev_in"))
     return out.withColumn(out_col, prev).drop("__prev_in", "__pos", "__carry", BUCKET)
+
+
+def global_position(df: DataFrame, *order, pos_col: str = "__pos") -> tuple[DataFrame, DataFrame]:
+    """0-based position of every row in a total order, computed without a
+    single-task window.
+
+    The frame is sorted once (range-partitioned by Spark) and persisted, so
+    its partitions are fixed; each row's position is the number of rows in
+    earlier partitions (a table with one row per partition, prefix-summed)
+    plus its rank inside its own partition. Returns ``(positioned, sorted)``;
+    unpersist ``sorted`` when done.
+    """
+    from pyspark import StorageLevel
+
+    srt = (df.orderBy(*order)
+           .withColumn("__pid", F.spark_partition_id())
+           .withColumn("__mid", F.monotonically_increasing_id())
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = srt.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    offsets = counts.select(
+        "__pid", "__first",
+        F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__offset"))
+    out = srt.join(F.broadcast(offsets), "__pid")
+    out = out.withColumn(pos_col, (F.col("__offset") + F.col("__mid") - F.col("__first")).cast("long"))
+    return out.drop("__pid", "__mid", "__first", "__offset"), srt

@@ -193,8 +193,15 @@ def stash_rare(df: DataFrame, cols: Sequence[str], threshold, *,
                        sizes=sizes)
 
 
+# Above this many kept labels in one column, the label order is computed by
+# one distributed sort instead of a window per column.
+WINDOW_LABELS_CAP = 1_000_000
+
+
 def stash_labels(vocab: DataFrame, cols: Sequence[str],
-                 stash_values: Mapping[str, object], null_to_stash: bool = True) -> DataFrame:
+                 stash_values: Mapping[str, object], null_to_stash: bool = True,
+                 sizes: Mapping[str, int] | None = None,
+                 window_cap: int = WINDOW_LABELS_CAP) -> DataFrame:
     """Labels of the stashed columns with their ``StringIndexer`` order.
 
     Output: ``col_name, label, n, idx, size, base_slot, slot, feature``. ``idx``
@@ -212,10 +219,23 @@ def stash_labels(vocab: DataFrame, cols: Sequence[str],
             .select("col_name", stash_text[F.col("col_name")].alias("label"), "n"))
     labels = kept.unionByName(rare)
     by_col = Window.partitionBy("col_name")
-    labels = (labels
-              .withColumn("idx", (F.row_number().over(by_col.orderBy(F.desc("n"), F.asc("label"))) - 1)
-                          .cast("int"))
-              .withColumn("size", F.count(F.lit(1)).over(by_col).cast("int")))
+    if sizes is not None and max(list(sizes.values()) or [0]) > window_cap:
+        # large vocabularies: one range-partitioned sort over all columns, then
+        # idx = global position - the column's first position (one row per column)
+        from clicklens.operators.ordered import global_position
+
+        pos, _ = global_position(labels.withColumn("__cpos", position[F.col("col_name")]),
+                                 F.asc("__cpos"), F.desc("n"), F.asc("label"))
+        first = pos.groupBy("col_name").agg(F.min("__pos").alias("__first"),
+                                            F.count(F.lit(1)).cast("int").alias("size"))
+        labels = (pos.join(F.broadcast(first), "col_name")
+                  .withColumn("idx", (F.col("__pos") - F.col("__first")).cast("int"))
+                  .drop("__pos", "__first", "__cpos"))
+    else:
+        labels = (labels
+                  .withColumn("idx", (F.row_number().over(by_col.orderBy(F.desc("n"), F.asc("label"))) - 1)
+                              .cast("int"))
+                  .withColumn("size", F.count(F.lit(1)).over(by_col).cast("int")))
     # offsets come from one row per column, so this window sees #columns rows
     sizes = labels.select("col_name", "size").distinct().withColumn("pos", position[F.col("col_name")])
     sizes = sizes.withColumn(

@@ -96,3 +96,15 @@ def test_threshold_sweep_width(spark):
     counts = V.value_counts(df, ["c"])
     rows = {r["threshold"]: (r["kept_values"], r["width"]) for r in V.threshold_sweep(counts, [0, 1, 5]).collect()}
     assert rows == {0: (2, 3), 1: (1, 2), 5: (0, 1)}
+
+
+def test_distributed_label_order_equals_window_order(spark):
+    from clicklens import fixtures as fx
+
+    imp = fx.impressions(spark, "/root/testdata/sf0.001")
+    cols = fx.IMPRESSIONS.features
+    vocab, sizes = V.fit_vocabulary(imp, cols, 1, fx.IMPRESSION_SENTINELS, with_sizes=True)
+    values = {c: V.stash_value(imp, c, fx.IMPRESSION_SENTINELS.get(c)) for c in cols}
+    a = V.stash_labels(vocab, cols, values, sizes=sizes)
+    b = V.stash_labels(vocab.repartition(5), cols, values, sizes=sizes, window_cap=0)
+    assert sorted(a.collect()) == sorted(b.collect())
