@@ -88,22 +88,31 @@ def with_previous(df: DataFrame, value: Column | str, order_col: str, out_col: s
     return out.withColumn(out_col, prev).drop("__prev_in", "__pos", "__carry", BUCKET)
 
 
+def _materialized_sort(df: DataFrame, *order) -> DataFrame:
+    """Sort (range-partitioned) and write the result with its partition id and
+    in-partition id to the shared checkpoint folder. ``persist`` is not enough:
+    a pruned copy of the plan in a self-join may miss the cache and re-sort
+    into different partitions; the checkpoint files cannot change."""
+    from clicklens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    srt = (df.orderBy(*order)
+           .withColumn("__pid", F.spark_partition_id())
+           .withColumn("__mid", F.monotonically_increasing_id()))
+    return srt.checkpoint(eager=True)
+
+
 def global_position(df: DataFrame, *order, pos_col: str = "__pos") -> tuple[DataFrame, DataFrame]:
     """0-based position of every row in a total order, computed without a
     single-task window.
 
-    The frame is sorted once (range-partitioned by Spark) and persisted, so
-    its partitions are fixed; each row's position is the number of rows in
+    The frame is sorted once (range-partitioned by Spark) and checkpointed,
+    so its partitions are fixed; each row's position is the number of rows in
     earlier partitions (a table with one row per partition, prefix-summed)
-    plus its rank inside its own partition. Returns ``(positioned, sorted)``;
-    unpersist ``sorted`` when done.
+    plus its rank inside its own partition (``monotonically_increasing_id``
+    is contiguous within a partition). Returns ``(positioned, sorted)``.
     """
-    from pyspark import StorageLevel
-
-    srt = (df.orderBy(*order)
-           .withColumn("__pid", F.spark_partition_id())
-           .withColumn("__mid", F.monotonically_increasing_id())
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    srt = _materialized_sort(df, *order)
     counts = srt.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     offsets = counts.select(
         "__pid", "__first",
@@ -112,3 +121,20 @@ def global_position(df: DataFrame, *order, pos_col: str = "__pos") -> tuple[Data
     out = srt.join(F.broadcast(offsets), "__pid")
     out = out.withColumn(pos_col, (F.col("__offset") + F.col("__mid") - F.col("__first")).cast("long"))
     return out.drop("__pid", "__mid", "__first", "__offset"), srt
+
+
+def global_cumsum(df: DataFrame, weight: str, *order, out_col: str = "__before") -> tuple[DataFrame, DataFrame]:
+    """Exclusive running sum of ``weight`` in a total order, without a
+    single-task window: sort once (range-partitioned, checkpointed), total
+    each partition (one row per partition, prefix-summed), and add the
+    running sum inside each sorted partition. Returns
+    ``(with_running_sum, sorted)``."""
+    srt = _materialized_sort(df, *order)
+    totals = srt.groupBy("__pid").agg(F.sum(weight).alias("__w"))
+    offsets = totals.select("__pid", F.coalesce(F.sum("__w").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
+    inside = F.coalesce(F.sum(weight).over(
+        Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = srt.withColumn("__inside", inside).join(F.broadcast(offsets), "__pid")
+    out = out.withColumn(out_col, F.col("__offset") + F.col("__inside"))
+    return out.drop("__pid", "__mid", "__inside", "__offset"), srt

@@ -77,24 +77,52 @@ def mean_by_label(df: DataFrame, label: str, cols: Sequence[str], digits: int |
 
 
 def median_by_label(df: DataFrame, label: str, cols: Sequence[str], *,
-                    exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """Interpolated median per label and column.
+                    method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Interpolated median per label and column (nulls skipped, null
+    label dropped).
+
+    * ``exact``: counts per (label, column, value), one distributed sort and
+      running counts; the middle value(s) are read off their rank. No group
+      is held in one task, whatever the column's domain.
+    * ``map``: Spark's ``median`` (one map of distinct values per group;
+      fine for bounded domains).
+    * ``approx``: the ``percentile_approx`` sketch.
 
-    ``exact`` uses ``median`` (state per group is the map of distinct values,
-    bounded by each column's domain); ``exact=False`` uses the sketch
-    ``percentile_approx`` for unbounded domains.
     Output: ``label, col_name, median double``.
     """
     cols = list(cols)
-    if exact:
+    base = df.filter(F.col(label).isNotNull())
+    if method == "exact":
+        return _exact_median(base, label, cols)
+    if method == "map":
         aggs = [F.median(c).alias(c) for c in cols]
     else:
         aggs = [F.percentile_approx(c, 0.5, accuracy).cast("double").alias(c) for c in cols]
-    agg = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(*aggs)
+    agg = base.groupBy(F.col(label).alias("label")).agg(*aggs)
     return agg.unpivot(["label"], cols, "col_name", "median").select(
         "label", "col_name", F.round(F.col("median").cast("double"), 6).alias("median"))
 
 
+def _exact_median(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    from clicklens.operators.ordered import global_cumsum
+
+    values = df.select(F.col(label).alias("label"), *[F.col(c).cast("double").alias(c) for c in cols])
+    long = values.unpivot(["label"], list(cols), "col_name", "v").filter(F.col("v").isNotNull())
+    counts = long.groupBy("label", "col_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    cum, _ = global_cumsum(counts, "n", "label", "col_name", "v")
+    groups = cum.groupBy("label", "col_name").agg(F.min("__before").alias("__start"),
+                                                  F.sum("n").alias("__total"))
+    cum = cum.join(F.broadcast(groups), ["label", "col_name"])
+    rank = F.col("__before") - F.col("__start")
+    lo = F.floor((F.col("__total") - 1) / 2)
+    hi = F.ceil((F.col("__total") - 1) / 2)
+    at = lambda k: (rank <= k) & (k < rank + F.col("n"))
+    picked = cum.groupBy("label", "col_name").agg(
+        F.max(F.when(at(lo), F.col("v"))).alias("__lo"), F.max(F.when(at(hi), F.col("v"))).alias("__hi"))
+    return picked.select("label", "col_name",
+                         F.round((F.col("__lo") + F.col("__hi")) / 2.0, 6).alias("median"))
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3,
                        full: bool = False) -> DataFrame:
     """Pearson correlation of every pair, pairwise complete, rounded.

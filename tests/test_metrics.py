@@ -82,3 +82,14 @@ def test_forward_fill_across_all_null_ranges(spark):
     df = spark.createDataFrame(rows, "id long, c string")
     got = {r["id"]: r["f"] for r in ordered.forward_fill(df, "c", "id", "f", n_buckets=8).collect()}
     assert all(got[i] == "a" for i in range(40)) and got[40] == "b" and got[41] == "b"
+
+
+def test_exact_median_matches_spark_median(spark):
+    from clicklens.operators import profile
+
+    imp = fx.impressions(spark, "/root/testdata/sf0.01")
+    cols = list(fx.IMPRESSIONS.numeric)
+    a = {(r["label"], r["col_name"]): r["median"] for r in profile.median_by_label(imp, "y", cols).collect()}
+    b = {(r["label"], r["col_name"]): r["median"]
+         for r in profile.median_by_label(imp.repartition(3), "y", cols, method="map").collect()}
+    assert a == b

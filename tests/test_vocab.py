@@ -108,3 +108,15 @@ def test_distributed_label_order_equals_window_order(spark):
     a = V.stash_labels(vocab, cols, values, sizes=sizes)
     b = V.stash_labels(vocab.repartition(5), cols, values, sizes=sizes, window_cap=0)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_distributed_label_order_larger_input(spark):
+    from clicklens import fixtures as fx
+
+    wide = fx.wide_impressions(spark, "/root/testdata/sf0.1")
+    cols = ["partkey", "suppkey", "linestatus"]
+    vocab, sizes = V.fit_vocabulary(wide, cols, 5, with_sizes=True)
+    values = {c: "stash_" + c for c in cols}
+    a = V.stash_labels(vocab, cols, values, sizes=sizes)
+    b = V.stash_labels(vocab, cols, values, sizes=sizes, window_cap=0)
+    assert sorted(a.collect()) == sorted(b.collect())
