@@ -93,3 +93,30 @@ def test_exact_median_matches_spark_median(spark):
     b = {(r["label"], r["col_name"]): r["median"]
          for r in profile.median_by_label(imp.repartition(3), "y", cols, method="map").collect()}
     assert a == b
+
+
+def test_auroc_invariant_under_monotone_transform(spark):
+    sc = fx.scored(spark, SF_SMALL)
+    a = metrics.auroc(sc).first()["auroc"]
+    b = metrics.auroc(sc.withColumn("prob", F.exp(F.col("prob") * 3.0) - 7.0)).first()["auroc"]
+    assert a == b
+
+
+def test_single_class_and_single_row(spark):
+    one_class = spark.createDataFrame([(1, 0.3), (1, 0.9)], "label int, prob double")
+    r = metrics.auroc(one_class).first()
+    assert r["negatives"] == 0 and r["auroc"] is None
+    one_row = spark.createDataFrame([(1, 0.7, 1)], "label int, prob double, prediction int")
+    s = metrics.scored_summary(one_row).first()
+    assert (s["rows"], s["tp"], s["precision_pct"]) == (1, 1, 100.0)
+    assert metrics.durbin_watson(one_row.withColumn("id", F.lit(1)), "id").first()["rows"] == 1
+
+
+def test_all_null_label(spark):
+    from clicklens.operators import profile
+
+    df = spark.createDataFrame([(None, 1), (None, 2)], "y int, n int")
+    bal = profile.class_balance(df, "y").collect()
+    assert len(bal) == 1 and bal[0]["label"] is None and bal[0]["share"] == 1.0
+    assert profile.mean_by_label(df, "y", ["n"]).count() == 0
+    assert profile.median_by_label(df, "y", ["n"]).count() == 0
