@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from clicklens.operators.features import feature_catalog
 from clicklens.session import ensure_checkpoint_dir
+from clicklens.sources.io import table_from_rows
 
 # Fixed values that must equal the reference's for equal results:
 # LR with 10 iterations, no standardisation, elastic net 0, decision
@@ -86,8 +87,8 @@ def training_curve(model: LogisticRegressionModel, spark: SparkSession, name: st
     Output: ``model, iteration, loss``.
     """
     hist = list(model.summary.objectiveHistory)
-    return spark.createDataFrame([(name, i, float(v)) for i, v in enumerate(hist)],
-                                 "model string, iteration int, loss double")
+    return table_from_rows(spark, [(name, i, float(v)) for i, v in enumerate(hist)],
+                           "model string, iteration int, loss double")
 
 
 def coefficient_table(model: LogisticRegressionModel, encoded: DataFrame,
@@ -99,7 +100,7 @@ def coefficient_table(model: LogisticRegressionModel, encoded: DataFrame,
     spark = encoded.sparkSession
     coefs = model.coefficients.toArray().tolist()
     cat = feature_catalog(encoded, features_col)
-    values = spark.createDataFrame([(i, float(c)) for i, c in enumerate(coefs)], "idx int, coeff double")
+    values = table_from_rows(spark, [(i, float(c)) for i, c in enumerate(coefs)], "idx int, coeff double")
     return values.join(F.broadcast(cat), "idx", "left").select(
         "idx", F.coalesce(F.col("name"), F.concat(F.lit("f"), F.col("idx").cast("string"))).alias("feature"),
         "coeff")
@@ -111,7 +112,7 @@ def feature_importance(model: RandomForestClassificationModel, encoded: DataFram
     spark = encoded.sparkSession
     imp = model.featureImportances.toArray().tolist()
     cat = feature_catalog(encoded, features_col)
-    values = spark.createDataFrame([(i, float(s)) for i, s in enumerate(imp)], "idx int, score double")
+    values = table_from_rows(spark, [(i, float(s)) for i, s in enumerate(imp)], "idx int, score double")
     return (values.join(F.broadcast(cat), "idx", "left")
             .select("idx", F.coalesce("name", F.concat(F.lit("f"), F.col("idx").cast("string"))).alias("name"),
                     "score")

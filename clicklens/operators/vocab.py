@@ -75,23 +75,6 @@ def stash_value(df: DataFrame, column: str, sentinel=None):
     return sentinel
 
 
-def check_sentinels(vocab: DataFrame, sentinels: Mapping[str, int]) -> None:
-    """Refuse a numeric sentinel that already occurs in its column.
-
-    Runs one filter over the (already aggregated) vocabulary; the result has
-    at most one row per column.
-    """
-    if not sentinels:
-        return
-    cond = None
-    for c, s in sentinels.items():
-        part = (F.col("col_name") == c) & (F.col("value") == str(s))
-        cond = part if cond is None else (cond | part)
-    clash = [r["col_name"] for r in vocab.filter(cond).select("col_name").distinct().collect()]
-    if clash:
-        raise ValueError(f"stash sentinel occurs as a real value in {sorted(clash)}")
-
-
 def kept_counts(vocab: DataFrame) -> dict:
     """Number of kept values per column (one row per column to the driver)."""
     rows = vocab.filter("kept").groupBy("col_name").count().collect()

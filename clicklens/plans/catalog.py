@@ -694,9 +694,7 @@ def q_model_comparison(spark, sf_dir):
     results = [jobs.onehot_lr(sig, "id", "y", FEATURES, T, SENT),
                jobs.hashed_lr(sig, "id", "y", FEATURES, list(IMP.categorical)),
                jobs.random_forest(sig, "id", "y", NUMS, list(IMP.categorical), T)]
-    m = results[0].metrics
-    for r in results[1:]:
-        m = m.unionByName(r.metrics)
+    m = split.union_all(*[r.metrics for r in results])
     wide = m.groupBy("model").pivot("metric", ["rows", "baseline_log_loss", "log_loss", "auroc"]).agg(
         F.max(F.when(F.col("split") == "test", F.col("value"))
               .when(F.col("metric").isin("rows", "baseline_log_loss"), F.col("value"))))
