@@ -695,11 +695,12 @@ def q_model_comparison(spark, sf_dir):
                jobs.hashed_lr(sig, "id", "y", FEATURES, list(IMP.categorical)),
                jobs.random_forest(sig, "id", "y", NUMS, list(IMP.categorical), T)]
     m = split.union_all(*[r.metrics for r in results])
-    wide = m.groupBy("model").pivot("metric", ["rows", "baseline_log_loss", "log_loss", "auroc"]).agg(
+    wide = m.groupBy("model").pivot("metric", ["width", "baseline_log_loss", "log_loss", "auroc"]).agg(
         F.max(F.when(F.col("split") == "test", F.col("value"))
-              .when(F.col("metric").isin("rows", "baseline_log_loss"), F.col("value"))))
+              .when(F.col("metric").isin("width", "baseline_log_loss"), F.col("value"))))
     return wide.select(
-        "model", F.col("baseline_log_loss"), F.col("log_loss").alias("test_log_loss"), "auroc",
+        "model", F.col("width").cast("bigint").alias("width"), F.col("baseline_log_loss"),
+        F.col("log_loss").alias("test_log_loss"), "auroc",
         F.round((F.col("baseline_log_loss") - F.col("log_loss")) / F.col("baseline_log_loss"), 6).alias("lift"))
 
 
@@ -809,3 +810,24 @@ def q_wide_mean_by_label(spark, sf_dir):
 def q_wide_cardinality(spark, sf_dir):
     """A14 on the lineitem fixture."""
     return profile.cardinality_profile(fx.wide_impressions(spark, sf_dir), WIDE_CATS)
+
+
+@register("oversample_class_counts", sq.with_impressions(
+    """SELECT stage, label, CAST(rows AS BIGINT) AS rows FROM (
+         SELECT 'original' AS stage, y AS label, count(*) AS rows FROM imp WHERE y IS NOT NULL GROUP BY y
+         UNION ALL
+         SELECT 'oversampled' AS stage, y AS label, count(*) * CASE WHEN y = 1 THEN 3 ELSE 1 END AS rows
+         FROM imp WHERE y IS NOT NULL GROUP BY y) t"""))
+def q_oversample_class_counts(spark, sf_dir):
+    """P8 + U2 + A6: rows per class before and after the minority is copied
+    twice (class filters are equality tests on the label)."""
+    lab = fx.labelled(fx.impressions(spark, sf_dir)).select("y")
+    over = split.oversample(lab, "y", 1, times=2)
+
+    def per_class(df, stage):
+        # one aggregate per stage; each class is an equality test on the label
+        one = df.agg(*[F.count_if(F.col("y") == F.lit(v)).cast("bigint").alias(str(v)) for v in (0, 1)])
+        return one.unpivot([], ["0", "1"], "label", "rows").select(
+            F.lit(stage).alias("stage"), F.col("label").cast("int").alias("label"), "rows")
+
+    return split.union_all(per_class(lab, "original"), per_class(over, "oversampled"))

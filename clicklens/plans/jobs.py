@@ -50,7 +50,7 @@ def _long_metrics(name: str, split_name: str, one_row: DataFrame, cols: Sequence
 
 
 def _common_metrics(name: str, train: DataFrame, scored: DataFrame, label: str,
-                    train_loss: float | None) -> DataFrame:
+                    train_loss: float | None, width: int | None = None) -> DataFrame:
     """Baseline on train; every per-row test metric in one fused aggregate
     over the persisted scored rows; AUROC by its own rank-sum plan."""
     spark = scored.sparkSession
@@ -62,10 +62,14 @@ def _common_metrics(name: str, train: DataFrame, scored: DataFrame, label: str,
                                       ["rows", "log_loss_eps", "log_loss", "precision_pct", "recall_pct",
                                        "tp", "fp", "tn", "fn"]))
            .unionByName(_long_metrics(name, "test", auc, ["auroc"])))
+    extra = []
     if train_loss is not None:
+        extra.append((name, "train", "final_objective", float(train_loss)))
+    if width is not None:
+        extra.append((name, "train", "width", float(width)))
+    if extra:
         out = out.unionByName(spark.createDataFrame(
-            [(name, "train", "final_objective", float(train_loss))],
-            "model string, split string, metric string, value double"))
+            extra, "model string, split string, metric string, value double"))
     return out
 
 
@@ -90,7 +94,7 @@ def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshol
     model = models.train_lr(train_x, max_iter=max_iter, reg_param=reg_param)
     scored = _persist_scored(models.score(model, test_x), key)
     hist = model.summary.objectiveHistory
-    m = _common_metrics("onehot_lr", train, scored, "label", hist[-1] if hist else None)
+    m = _common_metrics("onehot_lr", train, scored, "label", hist[-1] if hist else None, model.numFeatures)
     return JobResult("onehot_lr", m, scored, model, train_x, {"encoder": enc})
 
 
@@ -106,7 +110,7 @@ def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
     model = models.train_lr(train, max_iter=max_iter, reg_param=reg_param)
     scored = _persist_scored(models.score(model, test), key)
     hist = model.summary.objectiveHistory
-    m = _common_metrics("hashed_lr", train, scored, "label", hist[-1] if hist else None)
+    m = _common_metrics("hashed_lr", train, scored, "label", hist[-1] if hist else None, model.numFeatures)
     return JobResult("hashed_lr", m, scored, model, train)
 
 
@@ -130,5 +134,5 @@ def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
     balanced = split.oversample(train_x, "label", 1.0, times)
     model = models.train_rf(balanced, num_trees=num_trees, max_depth=max_depth, max_bins=max_bins, seed=seed)
     scored = _persist_scored(models.score(model, test_x), key)
-    m = _common_metrics("random_forest", train_x, scored, "label", None)
+    m = _common_metrics("random_forest", train_x, scored, "label", None, model.numFeatures)
     return JobResult("random_forest", m, scored, model, train_x)
