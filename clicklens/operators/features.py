@@ -85,7 +85,12 @@ class StashEncoderModel:
     def ml_pipeline(self, stashed_sample: DataFrame, output_col: str = "features",
                     extra_inputs: Sequence[str] = ()) -> PipelineModel:
         """Spark ML stages equal to the reference's indexers + encoder +
-        assembler, built from the fitted labels (no refit pass)."""
+        assembler, built from the fitted labels (no refit pass); built once
+        per output layout and reused for every frame (train, test, stream)."""
+        cache = self.__dict__.setdefault("_pipelines", {})
+        layout = (output_col, tuple(extra_inputs))
+        if layout in cache:
+            return cache[layout]
         idx_cols = [c + INDEX_SUFFIX for c in self.stashed_cols]
         vec_cols = [c + VECTOR_SUFFIX for c in self.cols]
         # one model per column: the multi-column factory pads short label
@@ -96,7 +101,8 @@ class StashEncoderModel:
         encoder = OneHotEncoder(inputCols=idx_cols, outputCols=vec_cols, dropLast=True).fit(indexed)
         assembler = VectorAssembler(inputCols=list(extra_inputs) + vec_cols, outputCol=output_col,
                                     handleInvalid="keep")
-        return PipelineModel(stages=indexers + [encoder, assembler])
+        cache[layout] = PipelineModel(stages=indexers + [encoder, assembler])
+        return cache[layout]
 
     def transform(self, df: DataFrame, output_col: str = "features",
                   extra_inputs: Sequence[str] = (), keep_stashed: bool = False) -> DataFrame:
