@@ -623,14 +623,14 @@ def _onehot_job(spark, sf_dir):
 
 @register("lr_onehot_metrics")
 def q_lr_onehot_metrics(spark, sf_dir):
-    """02a: one-hot LR on the signal fixture; baseline, test losses,
+    """One-hot LR on the signal fixture; baseline, test losses,
     confusion counts, precision, recall, AUROC (model output: rows only)."""
     return _onehot_job(spark, sf_dir).metrics
 
 
 @register("lr_hashed_metrics")
 def q_lr_hashed_metrics(spark, sf_dir):
-    """02b: LR on 2^18 hashed features (FeatureHasher)."""
+    """LR on 2^18 hashed features (FeatureHasher)."""
     return jobs.hashed_lr(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES,
                           list(IMP.categorical)).metrics
 
@@ -642,7 +642,7 @@ def _rf_job(spark, sf_dir):
 
 @register("rf_metrics")
 def q_rf_metrics(spark, sf_dir):
-    """transform + train + rf_score: imputed numerics, oversampled clicks,
+    """Random forest end to end: imputed numerics, oversampled clicks,
     40 trees of depth 5, clipped loss of P(click)."""
     return _rf_job(spark, sf_dir).metrics
 

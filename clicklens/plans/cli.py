@@ -58,7 +58,7 @@ def _summary(scored: DataFrame, label: str) -> dict:
 
 
 def cmd_convert(spark: SparkSession, a) -> None:
-    """00_txt2pq: headerless TSV under the reference schema to Parquet, with
+    """Text to Parquet: headerless TSV under the impression-log schema, with
     the row-count and per-column check of the conversion."""
     schema = reference_tsv_schema()
     raw = io.read_tsv(spark, a.input, schema, strict=a.strict)
@@ -69,7 +69,7 @@ def cmd_convert(spark: SparkSession, a) -> None:
 
 
 def cmd_encode(spark: SparkSession, a) -> None:
-    """01a / transform: stash rare values (numerics as categories with
+    """Encoding step: stash rare values (numerics as categories with
     sentinels, or kept raw for trees) and write the assembled vectors."""
     df = io.read_parquet(spark, a.input)
     roles = _roles(df, a.label, a.numeric, a.categorical)
@@ -107,7 +107,7 @@ def _lr(spark: SparkSession, data: DataFrame, a, name: str) -> tuple:
 
 
 def cmd_train_lr(spark: SparkSession, a) -> None:
-    """02a: LR on one-hot vectors; metrics and the coefficient table."""
+    """One-hot LR: metrics and the coefficient table."""
     data = io.read_parquet(spark, a.input, [a.label, "features"] + ([a.key] if a.key else []))
     model, train, out = _lr(spark, data, a, "train-lr")
     if a.coefficients:
@@ -117,7 +117,7 @@ def cmd_train_lr(spark: SparkSession, a) -> None:
 
 
 def cmd_train_lr_hashed(spark: SparkSession, a) -> None:
-    """02b: hashed features (2^18 by default) straight from the raw table."""
+    """Hashed LR: 2^18 hashed features by default, straight from the raw table."""
     df = io.read_parquet(spark, a.input)
     roles = _roles(df, a.label, a.numeric, a.categorical)
     hashed = fe.hash_features(df, roles.features, a.num_features, categorical_cols=list(roles.categorical))
@@ -136,7 +136,7 @@ def _rf_scores(model, test: DataFrame) -> DataFrame:
 
 
 def cmd_train_rf(spark: SparkSession, a) -> None:
-    """train.py: oversample clicks, fit the forest, score, save model and
+    """Forest training: oversample clicks, fit the forest, score, save model and
     predictions."""
     train, test = _rf_split(spark, a)
     balanced = split.oversample(train, "label", 1.0, a.times)
@@ -149,7 +149,7 @@ def cmd_train_rf(spark: SparkSession, a) -> None:
 
 
 def cmd_score_rf(spark: SparkSession, a) -> None:
-    """rf_score.py: load the saved forest, score the same test rows."""
+    """Forest scoring: load the saved forest, score the same test rows."""
     _, test = _rf_split(spark, a)
     model = RandomForestClassificationModel.load(a.model)
     scored = _rf_scores(model, test)

@@ -83,7 +83,7 @@ def _persist_scored(scored: DataFrame, key: str) -> DataFrame:
 def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshold,
               sentinels: Mapping[str, int] | None = None, *, fractions=(0.8, 0.2),
               max_iter: int = models.LR_MAX_ITER, reg_param: float = 0.0) -> JobResult:
-    """The 01a -> 02a workflow with the fit moved onto the training split."""
+    """Stash + one-hot encoding, then LR, with the fit moved onto the training split."""
     data = df.filter(F.col(label).isNotNull())
     train, test = split.split_frames(data, key, fractions, SPLIT_SALT)
     train = train.withColumn("label", (F.col(label) > 0).cast("int"))
@@ -101,7 +101,7 @@ def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshol
 def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
               categorical: Sequence[str], *, width: int = HASH_WIDTH, fractions=(0.8, 0.2),
               max_iter: int = models.LR_MAX_ITER, reg_param: float = 0.0) -> JobResult:
-    """The 02b workflow (null labels dropped first, D7)."""
+    """Hashed features, then LR (null labels dropped first, D7)."""
     data = df.filter(F.col(label).isNotNull())
     hashed = fe.hash_features(data, cols, width, categorical_cols=categorical)
     train, test = split.split_frames(hashed, key, fractions, SPLIT_SALT)
@@ -118,7 +118,7 @@ def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
                   categorical: Sequence[str], threshold, *, fractions=(0.7, 0.3), times: int = 2,
                   num_trees: int = models.RF_TREES, max_depth: int = models.RF_DEPTH,
                   max_bins: int = models.RF_BINS, seed: int = 1) -> JobResult:
-    """transform -> train -> rf_score: numerics imputed (NaN is refused by
+    """Encode, train and score a forest: numerics imputed (NaN is refused by
     the learner), categoricals stashed and one-hot encoded, the minority
     class copied ``times`` more times in the training split only."""
     data = df.filter(F.col(label).isNotNull())
