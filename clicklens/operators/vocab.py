@@ -26,6 +26,10 @@ from clicklens.schema import STASH_PREFIX, STASHED_SUFFIX, VECTOR_SUFFIX
 # the total cap (smallest columns are broadcast first).
 DEFAULT_BROADCAST_CAP = 500_000
 TOTAL_BROADCAST_CAP = 2_000_000
+# A keep list of at most this many values is collected (one small job for all
+# such columns) and tested with ``isin`` (a hash set in the plan): no join and
+# no broadcast job per column.
+INSET_CAP = 1_000
 # Null keys of a shuffle join are spread over this many salt values.
 NULL_SALT_BUCKETS = 256
 
@@ -86,18 +90,27 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
                 broadcast_cap: int = DEFAULT_BROADCAST_CAP,
                 drop_input: bool = True,
                 sizes: Mapping[str, int] | None = None,
-                null_to_stash: bool = True) -> DataFrame:
+                null_to_stash: bool = True,
+                inset_cap: int = INSET_CAP) -> DataFrame:
     """F1/F2 apply step: ``<col>_t`` = value if kept, else the stash value.
 
     Null is stashed by default, as in the reference (``x IN (...)`` is
     never true for null); ``null_to_stash=False`` leaves null as null (the
     indexer's invalid bucket, i.e. no active slot). One left equi-join per
-    column against that column's keep list.
+    column against that column's keep list, except for short keep lists
+    (at most ``inset_cap`` values), which are tested with ``isin``.
     """
     sizes = dict(sizes) if sizes is not None else kept_counts(vocab)
+    inset_cols = [c for c in cols if sizes.get(c, 0) <= inset_cap]
+    inset_values = {c: [] for c in inset_cols}
+    if inset_cols and any(sizes.get(c, 0) for c in inset_cols):
+        rows = (vocab.filter(F.col("kept") & F.col("col_name").isin(inset_cols))
+                .select("col_name", "value").collect())
+        for r in rows:
+            inset_values[r["col_name"]].append(r["value"])
     broadcast_cols = set()
     budget = min(TOTAL_BROADCAST_CAP, broadcast_cap * max(1, len(cols)))
-    for c in sorted(cols, key=lambda x: sizes.get(x, 0)):
+    for c in sorted((c for c in cols if c not in inset_values), key=lambda x: sizes.get(x, 0)):
         size = sizes.get(c, 0)
         if size <= broadcast_cap and size <= budget:
             broadcast_cols.add(c)
@@ -106,6 +119,9 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     keeps = []
     for i, c in enumerate(cols):
         kname = f"__keep{i}"
+        if c in inset_values:
+            keeps.append(None)
+            continue
         keep = (vocab.filter(F.col("kept") & (F.col("col_name") == c))
                 .select(F.col("value").alias(kname)))
         key = F.col(c).cast("string")
@@ -122,7 +138,11 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     stashed = []
     for c, kname in zip(cols, keeps):
         dtype = df.schema[c].dataType
-        value = F.when(F.col(kname).isNotNull(), F.col(c))
+        if kname is None:
+            kept = F.col(c).cast("string").isin(inset_values[c]) if inset_values[c] else F.lit(False)
+            value = F.when(kept, F.col(c))
+        else:
+            value = F.when(F.col(kname).isNotNull(), F.col(c))
         if not null_to_stash:
             value = value.when(F.col(c).isNull(), F.lit(None).cast(dtype))
         stashed.append(value.otherwise(F.lit(stash_values[c]).cast(dtype)).alias(c + STASHED_SUFFIX))
