@@ -41,6 +41,24 @@ def _literal_map(values: Mapping) -> Column:
     return F.create_map(*items)
 
 
+def sql_string(value: str) -> str:
+    """A SQL string literal (backslash escapes, Spark's default parser)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def in_list(column: str, values: Sequence[str], spark=None) -> Column:
+    """``cast(column as string) IN (values)`` sent as one SQL expression: one
+    driver-to-JVM call instead of one per value; Catalyst turns it into a
+    hash-set test. (With raw string literals configured, backslash escapes
+    do not apply, so the values go one by one instead.)"""
+    if not values:
+        return F.lit(False)
+    raw = spark is not None and spark.conf.get("spark.sql.parser.escapedStringLiterals", "false") == "true"
+    if raw:
+        return F.col(column).cast("string").isin(list(values))
+    return F.expr(f"CAST(`{column}` AS STRING) IN ({', '.join(sql_string(v) for v in values)})")
+
+
 def _thresholds(cols: Sequence[str], threshold) -> dict:
     if isinstance(threshold, Mapping):
         return {c: int(threshold[c]) for c in cols}
@@ -139,7 +157,7 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     for c, kname in zip(cols, keeps):
         dtype = df.schema[c].dataType
         if kname is None:
-            kept = F.col(c).cast("string").isin(inset_values[c]) if inset_values[c] else F.lit(False)
+            kept = in_list(c, inset_values[c], df.sparkSession)
             value = F.when(kept, F.col(c))
         else:
             value = F.when(F.col(kname).isNotNull(), F.col(c))

@@ -127,3 +127,12 @@ def test_distributed_label_order_larger_input(spark):
     a = V.stash_labels(vocab, cols, values, sizes=sizes)
     b = V.stash_labels(vocab, cols, values, sizes=sizes, window_cap=0)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_keep_list_with_quotes_backslashes_and_unicode(spark):
+    vals = ["it's", "back\\slash", "ünï", "a'b\\'c", "plain", "tab\there"]
+    rows = [(i, v) for i, v in enumerate(vals * 3)] + [(100, "rare"), (101, None)]
+    df = _frame(spark, rows)
+    out = {r["id"]: r["c_t"] for r in V.stash_rare(df, ["c"], 2).collect()}
+    assert [out[i] for i in range(len(vals))] == vals
+    assert out[100] == "stash_c" and out[101] == "stash_c"
