@@ -136,3 +136,27 @@ def test_keep_list_with_quotes_backslashes_and_unicode(spark):
     out = {r["id"]: r["c_t"] for r in V.stash_rare(df, ["c"], 2).collect()}
     assert [out[i] for i in range(len(vals))] == vals
     assert out[100] == "stash_c" and out[101] == "stash_c"
+
+
+def test_hot_value_and_heavy_nulls(spark):
+    """One value holds a third of the rows and another third is null: every
+    stash path gives the same result and the counts are exact."""
+    from pyspark.sql import functions as F
+
+    from clicklens.operators import profile
+
+    df = spark.range(0, 3000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("v"), (F.col("id") % 50).cast("string"))).alias("c"))
+    vocab = V.fit_vocabulary(df, ["c"], 15)
+    paths = [dict(), dict(inset_cap=0), dict(inset_cap=0, broadcast_cap=0)]
+    results = [sorted(V.apply_stash(df, vocab, ["c"], {"c": "stash_c"}, **kw).collect()) for kw in paths]
+    assert results[0] == results[1] == results[2]
+    out = dict((r["id"], r["c_t"]) for r in results[0])
+    assert sum(1 for v in out.values() if v == "hot") == 1000
+    assert sum(1 for v in out.values() if v == "stash_c") == 1000
+    top = profile.top_values(df, ["c"], 2).collect()
+    # tie on the count: value ascending, null last
+    assert [(r["value"], r["n"]) for r in sorted(top, key=lambda r: r["rank"])] == [("hot", 1000), (None, 1000)]
