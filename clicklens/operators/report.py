@@ -112,13 +112,19 @@ def sorted_curve(coef: DataFrame, stash_names: Sequence[str], feature: str = "fe
                        F.col(feature).isin(list(stash_names)).alias("is_stash"))
 
 
-def model_comparison(rows: Sequence[tuple], spark) -> DataFrame:
-    """One row per model from already-computed metric values.
+def model_comparison(metrics: DataFrame) -> DataFrame:
+    """One row per model from the long metric table of the jobs
+    (``model, split, metric, value``): width, baseline loss, test loss,
+    AUROC and the lift of the test loss over the baseline.
 
-    ``rows``: (model, width, train_rows, baseline_log_loss, train_log_loss,
-    test_log_loss). Adds the lift over the baseline.
+    Output: ``model, width, baseline_log_loss, test_log_loss, auroc, lift``.
+    The pivot runs over a handful of metric rows per model.
     """
-    df = spark.createDataFrame(list(rows), "model string, width bigint, train_rows bigint, "
-                                           "baseline_log_loss double, train_log_loss double, test_log_loss double")
-    return df.withColumn("lift", F.round((F.col("baseline_log_loss") - F.col("test_log_loss"))
-                                         / F.col("baseline_log_loss"), 6))
+    pick = (F.when(F.col("metric").isin("width", "baseline_log_loss"), F.col("value"))
+            .when(F.col("split") == "test", F.col("value")))
+    wide = metrics.groupBy("model").pivot("metric", ["width", "baseline_log_loss", "log_loss", "auroc"]) \
+        .agg(F.max(pick))
+    return wide.select(
+        "model", F.col("width").cast("bigint").alias("width"), "baseline_log_loss",
+        F.col("log_loss").alias("test_log_loss"), "auroc",
+        F.round((F.col("baseline_log_loss") - F.col("log_loss")) / F.col("baseline_log_loss"), 6).alias("lift"))

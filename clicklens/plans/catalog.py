@@ -694,14 +694,7 @@ def q_model_comparison(spark, sf_dir):
     results = [jobs.onehot_lr(sig, "id", "y", FEATURES, T, SENT),
                jobs.hashed_lr(sig, "id", "y", FEATURES, list(IMP.categorical)),
                jobs.random_forest(sig, "id", "y", NUMS, list(IMP.categorical), T)]
-    m = split.union_all(*[r.metrics for r in results])
-    wide = m.groupBy("model").pivot("metric", ["width", "baseline_log_loss", "log_loss", "auroc"]).agg(
-        F.max(F.when(F.col("split") == "test", F.col("value"))
-              .when(F.col("metric").isin("width", "baseline_log_loss"), F.col("value"))))
-    return wide.select(
-        "model", F.col("width").cast("bigint").alias("width"), F.col("baseline_log_loss"),
-        F.col("log_loss").alias("test_log_loss"), "auroc",
-        F.round((F.col("baseline_log_loss") - F.col("log_loss")) / F.col("baseline_log_loss"), 6).alias("lift"))
+    return report.model_comparison(split.union_all(*[r.metrics for r in results]))
 
 
 @register("model_save_load")
