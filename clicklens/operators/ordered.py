@@ -50,25 +50,26 @@ def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None =
                  partition_cols: list[str] | None = None, n_buckets: int | None = None) -> DataFrame:
     """Last non-null value of ``col`` up to each row in ``order_col`` order.
 
-    With ``partition_cols`` the fill restarts per partition (a plain
-    partitioned window). Without, the whole table is one sequence and is
-    processed in order-key ranges.
+    The order key is cut into ranges; each (key, range) is windowed in its
+    own task and the last non-null value of earlier ranges is carried over.
+    With ``partition_cols`` the fill restarts per key, and a key holding a
+    large share of the rows is still spread over all ranges.
     """
     out_col = out_col or col
-    if partition_cols:
-        w = (Window.partitionBy(*partition_cols).orderBy(order_col)
-             .rowsBetween(Window.unboundedPreceding, 0))
-        return df.withColumn(out_col, F.last(col, ignorenulls=True).over(w))
+    keys = list(partition_cols or [])
     b = range_buckets(df, order_col, n_buckets)
     within = F.last(col, ignorenulls=True).over(
-        Window.partitionBy(BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0))
+        Window.partitionBy(*keys, BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0))
     b = b.withColumn("__within", within)
-    # one row per range, all-null ranges included (they take the carry on)
+    # one row per (key, range), all-null ranges included (they take the carry on)
     last_set = F.max(F.when(F.col(col).isNotNull(), F.struct(F.col(order_col).alias("o"), F.col(col).alias("v"))))
-    tail = b.groupBy(BUCKET).agg(last_set["v"].alias("__tail"))
-    carry = tail.select(BUCKET, F.last("__tail", ignorenulls=True).over(
-        Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
-    filled = b.join(F.broadcast(carry), BUCKET, "left")
+    tail = b.groupBy(*keys, BUCKET).agg(last_set["v"].alias("__tail"))
+    carry = tail.select(*keys, BUCKET, F.last("__tail", ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+    # without keys the carry table has one row per range: broadcast it; with
+    # keys it has one row per (key, range) and is joined like any table
+    carry = F.broadcast(carry) if not keys else carry
+    filled = b.join(carry, [*keys, BUCKET], "left")
     return (filled.withColumn(out_col, F.coalesce(F.col("__within"), F.col("__carry")))
             .drop("__within", "__carry", BUCKET))
 

@@ -120,3 +120,15 @@ def test_all_null_label(spark):
     assert len(bal) == 1 and bal[0]["label"] is None and bal[0]["share"] == 1.0
     assert profile.mean_by_label(df, "y", ["n"]).count() == 0
     assert profile.median_by_label(df, "y", ["n"]).count() == 0
+
+
+def test_partitioned_forward_fill_with_hot_key(spark):
+    imp = fx.impressions(spark, SF_SMALL).select("id", "cat1", (F.col("n5") % 3).alias("k"))
+    # one key holds most rows
+    imp = imp.withColumn("k", F.when(F.col("k") < 2, F.lit(0)).otherwise(F.col("k")))
+    pdf = imp.toPandas().sort_values("id")
+    pdf["f"] = pdf.groupby("k")["cat1"].ffill()
+    expected = dict(zip(pdf["id"], pdf["f"]))
+    for b in (1, 6):
+        got = {r["id"]: r["f"] for r in ordered.forward_fill(imp, "cat1", "id", "f", ["k"], n_buckets=b).collect()}
+        assert all((got[k] == v) or (pd.isna(v) and got[k] is None) for k, v in expected.items())
