@@ -38,17 +38,24 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets this to a shared file system. Only when it is unset (local
-    runs and tests) do we pick a fresh local folder.
+    A cluster sets this to a shared file system (Spark applies it to the
+    context at start-up). Only when it is unset (local runs and tests) do we
+    pick a fresh local folder. The context's folder is set once: each
+    ``setCheckpointDir`` call would open a new sub-folder.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="clicklens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - a locked conf still gets the context folder below
+            pass
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
