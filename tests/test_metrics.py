@@ -132,3 +132,25 @@ def test_partitioned_forward_fill_with_hot_key(spark):
     for b in (1, 6):
         got = {r["id"]: r["f"] for r in ordered.forward_fill(imp, "cat1", "id", "f", ["k"], n_buckets=b).collect()}
         assert all((got[k] == v) or (pd.isna(v) and got[k] is None) for k, v in expected.items())
+
+
+def test_three_way_hash_split(spark):
+    imp = fx.impressions(spark, "/root/testdata/sf0.01")
+    tagged = split.hash_split(imp, "id", (0.6, 0.2, 0.2), ("train", "valid", "test"))
+    counts = {r["split"]: r["count"] for r in tagged.groupBy("split").count().collect()}
+    assert sum(counts.values()) == 10000
+    assert abs(counts["train"] - 6000) < 300 and abs(counts["valid"] - 2000) < 200
+    parts = split.split_frames(imp, "id", (0.6, 0.2, 0.2))
+    assert sum(p.count() for p in parts) == 10000
+
+
+def test_sample_lines_seeded_and_hashed(spark, tmp_path):
+    from clicklens.sources import io
+
+    path = str(tmp_path / "lines")
+    io.write_tsv(fx.impressions(spark, SF_SMALL), path)
+    total = spark.read.text(path).count()
+    seeded = io.sample_lines(spark, path, 0.5, seed=3).count()
+    hashed_a = io.sample_lines(spark, path, 0.5).collect()
+    hashed_b = io.sample_lines(spark, path, 0.5).collect()
+    assert 0 < seeded < total and sorted(hashed_a) == sorted(hashed_b) and 0 < len(hashed_a) < total
