@@ -171,13 +171,17 @@ def build_parser() -> argparse.ArgumentParser:
         s.add_argument("--categorical", default=None, help="comma list; default: string columns")
         s.add_argument("--train-fraction", type=float, default=0.8)
 
-    s = sub.add_parser("convert")
+    def doc(fn):
+        text = " ".join((fn.__doc__ or "").split())
+        return text.split(". ")[0].rstrip(".") + "."
+
+    s = sub.add_parser("convert", help=doc(cmd_convert))
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--strict", action="store_true")
     s.set_defaults(fn=cmd_convert)
 
-    s = sub.add_parser("encode")
+    s = sub.add_parser("encode", help=doc(cmd_encode))
     common(s)
     s.add_argument("--output", required=True)
     s.add_argument("--threshold", type=int, default=10_000)
@@ -185,7 +189,7 @@ def build_parser() -> argparse.ArgumentParser:
     s.set_defaults(fn=cmd_encode)
 
     for name, fn in (("train-lr", cmd_train_lr), ("train-lr-hashed", cmd_train_lr_hashed)):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=doc(fn))
         common(s)
         s.add_argument("--max-iter", type=int, default=models.LR_MAX_ITER)
         s.add_argument("--reg-param", type=float, default=0.0)
@@ -196,7 +200,7 @@ def build_parser() -> argparse.ArgumentParser:
         s.set_defaults(fn=fn)
 
     for name, fn in (("train-rf", cmd_train_rf), ("score-rf", cmd_score_rf)):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=doc(fn))
         common(s, label="label")
         s.set_defaults(train_fraction=0.7)
         s.add_argument("--model", required=True)
