@@ -46,6 +46,8 @@ ORACLE = entry.oracle_sql()
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan  # JVM-side only
     rows = [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
