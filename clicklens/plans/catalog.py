@@ -697,7 +697,9 @@ def q_model_comparison(spark, sf_dir):
     return report.model_comparison(split.union_all(*[r.metrics for r in results]))
 
 
-@register("model_save_load")
+@register("model_save_load", sq.with_impressions(
+    """SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0.0 AS DOUBLE) AS max_abs_diff
+       FROM imp WHERE y IS NOT NULL"""))
 def q_model_save_load(spark, sf_dir):
     """Encoder + LR saved as one pipeline, loaded, rescored; the
     largest probability difference must be 0."""
