@@ -4,23 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clicklens.llm import langid_kn, simhash_bk
+from clicklens.llm import decontam, langid_kn, sentencepiece_sa, simhash_bk, suffix_pfp, token_index, warc_cas
 from clicklens.llm.common import table
 
+PIECES, WORD_BPE = "piece_bpe_32k.model", "word_bpe_49k.json"
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sa.query(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_cas.query(table(spark, sf_dir, "pages"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index.query(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bk.query(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_pfp.query(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_kn.query(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op8_simhash_near_dedup": op8_simhash_near_dedup,
-    "op10_language_id": op10_language_id,
-}
+_ALL = (op2_sentencepiece, op3_warc, op6_decontamination, op7_token_index, op8_simhash_near_dedup,
+        op9_suffix_array_dedup, op10_language_id)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_warc": warc_cas.ORACLE, "op6_decontamination": decontam.ORACLE}
