@@ -7,12 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clicklens.llm import decontam, langid_kn, sentencepiece_sa, simhash_bk, suffix_pfp, token_index, warc_cas
+from clicklens.llm import (
+    decontam,
+    embed_pca,
+    langid_kn,
+    quality_fm,
+    sentencepiece_sa,
+    simhash_bk,
+    suffix_pfp,
+    token_index,
+    url_rules,
+    warc_cas,
+)
 from clicklens.llm.common import table
 
 PIECES, WORD_BPE = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_sa.query(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -21,6 +36,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_cas.query(table(spark, sf_dir, "pages"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_pca.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.query(table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,8 +64,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_kn.query(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op2_sentencepiece, op3_warc, op6_decontamination, op7_token_index, op8_simhash_near_dedup,
-        op9_suffix_array_dedup, op10_language_id)
+_ALL = (op1_quality_classifier, op2_sentencepiece, op3_warc, op4_embedding_near_dedup, op5_url_filter, op6_decontamination,
+        op7_token_index, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_language_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLE: dict[str, str] = {"op3_warc": warc_cas.ORACLE, "op6_decontamination": decontam.ORACLE}
