@@ -107,8 +107,8 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose id has no overlap with any item."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("_overlap_id")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_overlap_id")), "left_anti")
 
 
 def _sql() -> str:

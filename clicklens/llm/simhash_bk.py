@@ -210,6 +210,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     """Keeps, of each component, the row of the smallest doc_id; of rows that
     repeat that id, one. Rows without an id can't be named as a copy and stay."""
     comps = simhash_components(docs, shingle, radius)
-    kept = comps.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = comps.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id IS NULL"))

@@ -39,6 +39,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicklens.llm.common import materialize
 
@@ -275,7 +276,10 @@ def repeat_spans(keyed: DataFrame) -> DataFrame:
     return tagged.where("kind = 0").select(K, SEQ, "pos", "len").unionByName(marks)
 
 
-@F.pandas_udf("kept binary, n_bytes long, n_removed long, n_spans long")
+_CUT = T.StructType([T.StructField("kept", T.BinaryType()), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]])
+
+
+@F.pandas_udf(_CUT)
 def _cut(text: pd.Series, pos: pd.Series, length: pd.Series) -> pd.DataFrame:
     out = []
     for t, p, n in zip(text, pos, length, strict=True):
@@ -317,6 +321,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode(kept: pd.Series) -> pd.Series:
     return pd.Series([b.decode("utf-8", "ignore") for b in kept], dtype=object)

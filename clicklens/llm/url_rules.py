@@ -20,7 +20,7 @@ however many urls share it.
 Defined results: null urls and urls without ``://`` have an empty host and path and
 no fixed rule; they have no tokens, so they are allowed. Repeated rows get the same
 verdict each. Without labelled urls there are no mined rules. Extra columns pass
-through ``judge``.
+through ``judge``; its own columns replace those of the same name.
 """
 
 from __future__ import annotations
@@ -114,15 +114,16 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, min_su
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Adds host, path, rule, verdict and mined_rule (its tokens) to rows with a ``url``."""
     rule, verdict = fixed_rule(rules)
-    parts = with_parts(urls).withColumn("tokens", tokens()).withColumns({"rule": rule, "fixed": verdict})
-    mined = materialize(mine(parts.select("tokens", F.col("fixed").alias("label")), min_support, min_confidence), "url-rules")
-    sets = parts.where("fixed IS NULL").select("tokens").distinct()
-    best = match(sets, mined).withColumnRenamed("label", "learned").withColumnRenamed("rule_tokens", "mined_rule")
-    open_ = F.when(F.col("fixed").isNull(), F.col("tokens"))
-    found = best.withColumnRenamed("tokens", "set_tokens")
-    return (parts.join(found, open_ == F.col("set_tokens"), "left")
-            .withColumn("verdict", F.coalesce("fixed", "learned", F.lit(DEFAULT)))
-            .select(*urls.columns, "host", "path", "rule", "verdict", "mined_rule"))
+    own = ["host", "path", "rule", "verdict", "mined_rule"]
+    kept = [c for c in urls.columns if c not in own]
+    parts = (with_parts(urls).withColumns({"rule": rule, "_fixed": verdict, "_tokens": tokens()}))
+    mined = materialize(mine(parts.select(F.col("_tokens").alias("tokens"), F.col("_fixed").alias("label")), min_support, min_confidence), "url-rules")
+    sets = parts.where("_fixed IS NULL").select(F.col("_tokens").alias("tokens")).distinct()
+    best = match(sets, mined).select(F.col("tokens").alias("_set"), F.col("label").alias("_learned"), F.col("rule_tokens").alias("mined_rule"))
+    open_ = F.when(F.col("_fixed").isNull(), F.col("_tokens"))
+    return (parts.drop("verdict", "mined_rule").join(best, open_ == F.col("_set"), "left")
+            .withColumn("verdict", F.coalesce("_fixed", "_learned", F.lit(DEFAULT)))
+            .select(*kept, *own))
 
 
 def query(pages: DataFrame) -> DataFrame:
