@@ -35,7 +35,7 @@ from clicklens.llm.common import slices
 
 SPACE = "▁"
 # Characters of text handled at a time, words kept in a task's cache, symbols above which a word uses the heap.
-BATCH, CACHE, LONG = 1 << 22, 400_000, 48
+BATCH, CACHE, LONG = 1 << 20, 600_000, 48
 _EDGE = 64  # more than the longest piece's bytes
 
 
@@ -97,9 +97,9 @@ def edges_of(raw: bytes, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray
     n = high - low
     piece = np.repeat(np.arange(len(pieces)), n)
     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-    key = starts[at] * _EDGE + size[piece]
-    by_position = np.argsort(key)
-    return key[by_position], piece[by_position]
+    packed = (starts[at] * _EDGE + size[piece]) * len(pieces) + piece
+    packed.sort()
+    return packed // len(pieces), packed % len(pieces)
 
 
 def _relax_long(begin: int, cuts: np.ndarray, edge: dict[int, float]) -> list[int]:
@@ -128,6 +128,46 @@ def _relax_long(begin: int, cuts: np.ndarray, edge: dict[int, float]) -> list[in
     return sorted(after)
 
 
+def _relax_short(left: np.ndarray, own: np.ndarray, word_end: np.ndarray, key: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """First bytes of the symbols of all words (``own``) after all merges: in a round, each word merges its best pair."""
+    done = []
+
+    def joint(i: np.ndarray) -> np.ndarray:
+        """Score of the edge over symbols i and i+1; -inf where there is none."""
+        out = np.full(len(i), -np.inf)
+        ok = np.flatnonzero(i + 1 < len(left))
+        ok = ok[own[i[ok]] == own[i[ok] + 1]]
+        a = i[ok]
+        last = np.minimum(a + 2, len(left) - 1)
+        end = np.where((a + 2 < len(left)) & (own[last] == own[a]), left[last], word_end[own[a]])
+        wanted = left[a] * _EDGE + np.minimum(end - left[a], 0 if not len(key) else _EDGE - 1)
+        at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+        hit = (key[at] == wanted) & (end - left[a] < _EDGE) if len(key) else np.zeros(len(a), bool)
+        out[ok[hit]] = score[at[hit]]
+        return out
+
+    pair = joint(np.arange(len(left)))
+    while len(left):
+        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        sizes = np.diff(np.append(heads, len(own)))
+        best = np.maximum.reduceat(pair, heads)
+        more = np.repeat(best > -np.inf, sizes)
+        if not more.all():  # words without a pair are done
+            done.append(left[~more])
+            left, own, pair, best, sizes = left[more], own[more], pair[more], best[best > -np.inf], sizes[best > -np.inf]
+            if not len(left):
+                break
+        top = np.flatnonzero(pair == np.repeat(best, sizes))
+        top = top[np.concatenate([[True], own[top[1:]] != own[top[:-1]]])]  # the leftmost of equals
+        keep = np.ones(len(left), bool)
+        keep[top + 1] = False
+        left, own, pair = left[keep], own[keep], pair[keep]
+        now = top - np.arange(len(top))  # each word lost one symbol
+        changed = np.concatenate([now, now[now > 0] - 1])
+        pair[changed] = joint(changed)
+    return np.concatenate(done) if done else left
+
+
 def encode_words(words: list[str], vocabulary: Vocabulary) -> list[bytes]:
     """Ids (little-endian int32 bytes) of each word."""
     encoded = [w.encode() for w in words]
@@ -144,28 +184,9 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> list[bytes]:
         a, b = np.searchsorted(key, [begin * _EDGE, end * _EDGE])
         edge = dict(zip(key[a:b].tolist(), score[a:b].tolist(), strict=True))
         done.append(np.array(_relax_long(begin, np.append(starts[word == w], end), edge), np.int64))
-    left = starts[symbols[word] <= LONG]
-    while len(left):
-        own = np.searchsorted(word_end, left, side="right")
-        end = np.append(left[1:], len(raw))
-        end = np.minimum(end, word_end[own])
-        pair = np.flatnonzero(own[:-1] == own[1:])  # symbol and its right neighbour
-        size = end[pair + 1] - left[pair]
-        at = np.searchsorted(key, left[pair] * _EDGE + size)
-        at[at == len(key)] = 0
-        hit = (key[at] == left[pair] * _EDGE + size) & (size < _EDGE) if len(key) else np.zeros(len(pair), bool)
-        pair, s = pair[hit], score[at[hit]] if len(key) else np.empty(0)
-        active = np.zeros(len(words), bool)
-        active[own[pair]] = True
-        done.append(left[~active[own]])
-        if not len(pair):
-            break
-        order = np.lexsort((pair, -s, own[pair]))  # of each word: the best score, then the leftmost
-        best = order[np.concatenate([[True], np.diff(own[pair][order]) != 0])]
-        keep = active[own]
-        keep[pair[best] + 1] = False
-        left = left[keep]
-    heads = np.sort(np.concatenate(done)) if done else starts
+    short = symbols[word] <= LONG
+    done.append(_relax_short(starts[short], word[short], word_end, key, score))
+    heads = np.sort(np.concatenate(done))
     own = np.searchsorted(word_end, heads, side="right")
     tail = np.minimum(np.append(heads[1:], len(raw)), word_end[own])
     wanted = heads * _EDGE + np.minimum(tail - heads, _EDGE - 1)

@@ -26,6 +26,7 @@ ordered by text; their key finds them all. No documents: no shards, no parts.
 from __future__ import annotations
 
 import io
+import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,7 +44,10 @@ from clicklens.session import scratch_path
 NULL_KEY = -(1 << 63)
 PART = 500_000
 # Characters encoded at a time, and words kept in a task's cache.
-BATCH, CACHE = 1 << 22, 400_000
+BATCH, CACHE = 1 << 20, 600_000
+# A control character that stands between words encoded together, and how many are.
+MARK, JOINED = "\x01", 300
+SPECIAL, STOPS = b"<|", b".,;:!?"
 
 
 # -- encoding ---------------------------------------------------------------
@@ -59,23 +63,48 @@ class WordEncoder:
     def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.cache: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         for a, b in slices(texts, BATCH):
-            words = [(t or "").encode().split() for t in texts[a:b]]  # bytes split at ASCII blanks only
+            # bytes split at ASCII blanks, and fold ASCII letters, only; the normalizer folds them too,
+            # but looks for special tokens before that
+            raw = [(t or "").encode() for t in texts[a:b]]
+            words = [(x if SPECIAL in x else x.lower()).split() for x in raw]
             if len(self.cache) > CACHE:
                 self.cache.clear()
             new = list({w for ws in words for w in ws if w not in self.cache})
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+            self._learn(new)
             out += [b"".join(map(self.cache.__getitem__, ws)) for ws in words]
         return out
 
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Many words in one call: a mark between them, a word of its own with one id, shows where each ends."""
+        # a word and the stops behind it are apart for the pre-tokenizer
+        core = {w: c for w in words if (c := w.rstrip(STOPS)) != w and c[-1:].isalnum()}
+        words = list({*words}.difference(core).union(w[len(c):] for w, c in core.items()).union(core.values()).difference(self.cache))
+        plain = [w for w in words if MARK.encode() not in w] if len(self.mark) == 1 else []
+        parts = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
+        texts = [f" {MARK} ".encode().join(p).decode() for p in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark[0])
+            if len(cuts) != len(part) - 1:
+                raise ValueError("the tokenizer doesn't keep words apart")
+            flat, edges = ids.tobytes(), [-1, *cuts.tolist(), len(ids)]
+            self.cache.update((w, flat[4 * a + 4:4 * z]) for w, a, z in zip(part, edges[:-1], edges[1:], strict=True))
+        for w in words:
+            if w not in self.cache:
+                self.cache[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self.cache.update((w, self.cache[c] + self.cache[w[len(c):]]) for w, c in core.items())
+
+
 # -- minimal perfect hash ---------------------------------------------------
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
