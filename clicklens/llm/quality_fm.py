@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from clicklens.llm.common import id_crc, materialize
 
-WORDS, FACTORS = 1 << 13, 6
+WORDS, FACTORS = 1 << 11, 4
 # Bound of the training sample (rows), and steps of the solver.
-TRAIN_ROWS, STEPS, STEP_SIZE = 20_000, 40, 0.1
+TRAIN_ROWS, STEPS, STEP_SIZE = 10_000, 60, 0.1
 THRESHOLD = 0.3
 # Statistics and the factors that bring their usual spread to about one; what is left out by each pattern is counted.
 _SHARES = {"upper": r"[^\p{Lu}]+", "digit": r"[^0-9]+", "symbol": r"[\p{L}\p{N}\s]+", "line": r"[^\n]+"}
@@ -40,7 +40,7 @@ _SCALE = {"upper": 5.0, "digit": 10.0, "symbol": 10.0, "line": 20.0, "word_lengt
           "distinct_lines": 2.0, "long_text": 0.1, "meta_chars": 0.1}
 STATS = list(_SCALE)
 # Weight of the word vector beside the statistics.
-WORD_SCALE = 0.3
+WORD_SCALE = 0.1
 
 
 def with_features(docs: DataFrame) -> DataFrame:
