@@ -130,7 +130,8 @@ class StashEncoder:
     def fit(self, df: DataFrame) -> StashEncoderModel:
         vocab, sizes = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels, with_sizes=True)
         stash_values = {c: V.stash_value(df, c, self.sentinels.get(c)) for c in self.cols}
-        labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash, sizes=sizes)
+        labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash, sizes=sizes,
+                                types={c: df.schema[c].dataType for c in self.cols})
         return StashEncoderModel(self.cols, vocab, labels, stash_values, sizes, self.broadcast_cap,
                                  self.null_to_stash)
 
@@ -151,12 +152,10 @@ def feature_catalog(df: DataFrame, features_col: str = "features") -> DataFrame:
 def vector_entries(df: DataFrame, key: str, features_col: str = "features") -> DataFrame:
     """Sparse entries of an ML vector column without densifying it.
 
-    The vector's JSON form carries its ``indices`` and ``values``; they are
+    The vector's stored form has its ``indices`` and ``values``; they are
     zipped and exploded on the JVM. Output: ``<key>, slot, value``.
     """
-    parsed = F.from_json(F.to_json(F.struct(F.col(features_col).alias("v"))),
-                         "v struct<type:tinyint,size:int,indices:array<int>,values:array<double>>")
-    tmp = df.select(key, parsed["v"].alias("__v"))
+    tmp = df.select(key, F.unwrap_udt(features_col).alias("__v"))
     dense = F.transform(F.col("__v.values"), lambda x, i: F.struct(i.alias("slot"), x.alias("value")))
     sparse = F.arrays_zip(F.col("__v.indices").alias("slot"), F.col("__v.values").alias("value"))
     entries = F.when(F.col("__v.type") == 0, sparse).otherwise(dense)

@@ -30,20 +30,23 @@ def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     ``bounds_from`` when given, e.g. the raw rows before an aggregation);
     only the bound array (``n_buckets`` doubles) reaches the driver. Equal
     keys share a range, so the order key should be unique, or aggregated per
-    key first (as the AUROC plan does) when one value may be hot.
+    key first (as the AUROC plan does) when one value may be hot. Rows
+    with a null key form a range of their own before all others (-1), as
+    Spark sorts them.
     """
     n = _bucket_count(df, n_buckets)
     if n <= 1:
-        return df.withColumn(BUCKET, F.lit(0))
+        return df.withColumn(BUCKET, F.when(F.col(order_col).isNull(), -1).otherwise(0))
     qs = [i / n for i in range(1, n)]
     src = bounds_from if bounds_from is not None else df
+    accuracy = max(accuracy, 10 * n)  # neighbouring bounds must not coincide
     bounds = src.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy)).first()[0]
     splits = sorted({float(b) for b in (bounds or []) if b is not None})
     splits = [float("-inf")] + splits + [float("inf")]
     tmp = "__order_d"
     with_d = df.withColumn(tmp, F.col(order_col).cast("double"))
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep").transform(with_d)
-    return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(tmp)
+    return out.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(-1))).drop(tmp)
 
 
 def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None = None,
@@ -69,7 +72,12 @@ def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None =
     # without keys the carry table has one row per range: broadcast it; with
     # keys it has one row per (key, range) and is joined like any table
     carry = F.broadcast(carry) if not keys else carry
-    filled = b.join(carry, [*keys, BUCKET], "left")
+    if keys:  # a null key is a key of its own
+        carry = carry.select(*[F.col(c).alias(f"__k_{c}") for c in [*keys, BUCKET]], "__carry")
+        same = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*keys, BUCKET]]
+        filled = b.join(carry, same, "left").drop(*[f"__k_{c}" for c in [*keys, BUCKET]])
+    else:
+        filled = b.join(carry, BUCKET, "left")
     return (filled.withColumn(out_col, F.coalesce(F.col("__within"), F.col("__carry")))
             .drop("__within", "__carry", BUCKET))
 

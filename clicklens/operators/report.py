@@ -1,18 +1,19 @@
 """Coefficient and model reports.
 
-Inputs are coefficient tables: one row per model feature, so their size is
-bounded by the feature width (thousands to a few million rows), not by the
-impression count. Ordered windows over them are therefore acceptable.
+Inputs are coefficient tables: one row per model feature. With absolute
+thresholds the features grow with the impressions, so ranks and positions come
+from a distributed sort, not from a window over the whole table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.functions.scalar import odds
+from clicklens.operators.ordered import global_cumsum, global_position
 from clicklens.schema import STASH_PREFIX, VECTOR_SUFFIX
 
 # Fixed values that must equal the reference's for equal results: the
@@ -23,12 +24,14 @@ LINEARITY_ODDS = (0.4, 3.0)
 LARGE_WEIGHT = 1.0
 
 
-def average_rank_desc(weight: str = "coeff") -> Column:
+def with_average_rank(coef: DataFrame, weight: str = "coeff", rank_col: str = "rank") -> DataFrame:
     """Rank with the largest weight first; tied rows share the mean of
-    their positions (pandas ``rank(ascending=False)``)."""
-    first = F.rank().over(Window.orderBy(F.desc(weight)))
-    ties = F.count(F.lit(1)).over(Window.partitionBy(weight))
-    return first + (ties - F.lit(1)) / F.lit(2.0)
+    their positions (pandas ``rank(ascending=False)``). One row per distinct
+    weight is sorted; the rows before it are a running sum of the ties."""
+    ties = coef.groupBy(F.col(weight).alias("__w")).agg(F.count(F.lit(1)).alias("__ties"))
+    before, _ = global_cumsum(ties, "__ties", F.desc("__w"))
+    ranks = before.select("__w", (F.col("__before") + 1 + (F.col("__ties") - 1) / F.lit(2.0)).alias(rank_col))
+    return coef.join(ranks, F.col(weight).eqNullSafe(F.col("__w"))).drop("__w")
 
 
 def coefficient_report(coef: DataFrame, feature: str = "feature", weight: str = "coeff") -> DataFrame:
@@ -36,9 +39,8 @@ def coefficient_report(coef: DataFrame, feature: str = "feature", weight: str =
 
     Output: ``feature, coeff, odds, rank``.
     """
-    return coef.select(
-        F.col(feature).alias("feature"), F.col(weight).alias("coeff"),
-        odds(F.col(weight)).alias("odds"), average_rank_desc(weight).alias("rank"))
+    ranked = with_average_rank(coef.select(F.col(feature).alias("feature"), F.col(weight).alias("coeff")))
+    return ranked.select("feature", "coeff", odds(F.col("coeff")).alias("odds"), "rank")
 
 
 def top_bottom(coef: DataFrame, k: int = 10, feature: str = "feature", weight: str = "coeff") -> DataFrame:
@@ -106,8 +108,8 @@ def sorted_curve(coef: DataFrame, stash_names: Sequence[str], feature: str = "fe
 
     Output: ``position, feature, coeff, odds, is_stash``.
     """
-    pos = F.row_number().over(Window.orderBy(F.asc(weight), F.asc(feature)))
-    return coef.select(pos.cast("int").alias("position"), F.col(feature).alias("feature"),
+    placed, _ = global_position(coef, F.asc(weight), F.asc(feature))
+    return placed.select((F.col("__pos") + 1).cast("int").alias("position"), F.col(feature).alias("feature"),
                        F.col(weight).alias("coeff"), odds(F.col(weight)).alias("odds"),
                        F.col(feature).isin(list(stash_names)).alias("is_stash"))
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HASH_BITS = 24
 
@@ -30,9 +31,12 @@ def hash_split(df: DataFrame, key: str, fractions: Sequence[float] = (0.8, 0.2),
                names: Sequence[str] = ("train", "test"), split_col: str = "split",
                salt: str = "") -> DataFrame:
     """SP2: add ``split`` by comparing 24 bits of md5(key) to cumulative
-    fractions (normalised). A row's split never depends on partitioning."""
+    fractions (normalised). A row's split never depends on partitioning.
+    Rows with a null key are split by a hash of the whole row instead."""
     total = float(sum(fractions))
-    h = hash_fraction_key(key, salt)
+    rest = [F.col(f.name) for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    whole = F.concat(F.lit("\u0000null:"), F.xxhash64(*rest).cast("string"))
+    h = hash_fraction_key(F.coalesce(F.col(key).cast("string"), whole), salt)
     expr = None
     acc = 0.0
     for frac, name in zip(fractions[:-1], names[:-1]):

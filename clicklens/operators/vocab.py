@@ -29,34 +29,22 @@ TOTAL_BROADCAST_CAP = 2_000_000
 # A keep list of at most this many values is collected (one small job for all
 # such columns) and tested with ``isin`` (a hash set in the plan): no join and
 # no broadcast job per column.
-INSET_CAP = 1_000
-# Null keys of a shuffle join are spread over this many salt values.
-NULL_SALT_BUCKETS = 256
+INSET_CAP = 200
+# Null keys of a shuffle join are spread over this many salt values a shuffle partition.
+NULL_SALTS_PER_PARTITION = 4
 
 
 def _literal_map(values: Mapping) -> Column:
     items = []
     for k, v in values.items():
-        items += [F.lit(k), F.lit(v)]
+        items += [F.lit(k), v if isinstance(v, Column) else F.lit(v)]
     return F.create_map(*items)
 
 
-def sql_string(value: str) -> str:
-    """A SQL string literal (backslash escapes, Spark's default parser)."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def in_list(column: str, values: Sequence[str], spark=None) -> Column:
-    """``cast(column as string) IN (values)`` sent as one SQL expression: one
-    driver-to-JVM call instead of one per value; Catalyst turns it into a
-    hash-set test. (With raw string literals configured, backslash escapes
-    do not apply, so the values go one by one instead.)"""
-    if not values:
-        return F.lit(False)
-    raw = spark is not None and spark.conf.get("spark.sql.parser.escapedStringLiterals", "false") == "true"
-    if raw:
-        return F.col(column).cast("string").isin(list(values))
-    return F.expr(f"CAST(`{column}` AS STRING) IN ({', '.join(sql_string(v) for v in values)})")
+def in_list(column: str, values: Sequence[str]) -> Column:
+    """Does the column's text occur in ``values``? The values are literals of the
+    plan, never SQL text, so no character of theirs has a meaning."""
+    return F.col(column).cast("string").isin(list(values)) if values else F.lit(False)
 
 
 def _thresholds(cols: Sequence[str], threshold) -> dict:
@@ -148,16 +136,17 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
         else:
             # Shuffle join: nulls can never match, so give them salted keys that
             # cannot occur in the keep list instead of one hot null partition.
-            salt = F.pmod(F.xxhash64(*[F.col(x) for x in df.columns]), F.lit(NULL_SALT_BUCKETS))
+            salts = NULL_SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+            salt = F.pmod(F.xxhash64(*[F.col(x) for x in df.columns]), F.lit(salts))
             jk = F.coalesce(key, F.concat(F.lit("\u0000null#"), salt.cast("string")))
-            out = out.withColumn("__jk", jk).join(keep, F.col("__jk") == F.col(kname), "left").drop("__jk")
+            out = out.withColumn("__jk", jk).join(keep.hint("merge"), F.col("__jk") == F.col(kname), "left").drop("__jk")
         keeps.append(kname)
     # one projection for all columns (instead of a withColumn/drop per column)
     stashed = []
     for c, kname in zip(cols, keeps):
         dtype = df.schema[c].dataType
         if kname is None:
-            kept = in_list(c, inset_values[c], df.sparkSession)
+            kept = in_list(c, inset_values[c])
             value = F.when(kept, F.col(c))
         else:
             value = F.when(F.col(kname).isNotNull(), F.col(c))
@@ -168,18 +157,24 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     return out.select(*[F.col(x) for x in df.columns if x not in dropped], *stashed)
 
 
-def vocabulary_stats(vocab: DataFrame, sentinels: Mapping[str, int] | None = None) -> dict:
-    """Kept-value count per column, and D14 (a numeric sentinel that already
-    occurs in its column raises), from one aggregate with one row per column.
+def stash_text(value, dtype: T.DataType) -> Column:
+    """Text of a stash value as its column shows it (1 is "1.0" in a double column)."""
+    return F.lit(value).cast(dtype).cast("string")
+
+
+def vocabulary_stats(vocab: DataFrame, stashes: Mapping[str, object] | None = None) -> dict:
+    """Kept-value count per column, and D14 (a stash value that already occurs in
+    its column raises), from one aggregate with one row per column. ``stashes``
+    holds the stash of each column, as text or as a text column.
     """
-    sentinels = dict(sentinels or {})
-    sent = _literal_map({c: str(s) for c, s in sentinels.items()}) if sentinels else None
+    stashes = {c: s if isinstance(s, Column) else str(s) for c, s in (stashes or {}).items()}
+    sent = _literal_map(stashes) if stashes else None
     clash = (F.col("value") == sent[F.col("col_name")]) if sent is not None else F.lit(False)
     rows = vocab.groupBy("col_name").agg(
         F.count_if("kept").alias("kept"), F.max(F.coalesce(clash, F.lit(False))).alias("clash")).collect()
     bad = sorted(r["col_name"] for r in rows if r["clash"])
     if bad:
-        raise ValueError(f"stash sentinel occurs as a real value in {bad}")
+        raise ValueError(f"the stash value occurs as a real value in {bad}")
     return {r["col_name"]: r["kept"] for r in rows}
 
 
@@ -189,10 +184,14 @@ def fit_vocabulary(df: DataFrame, cols: Sequence[str], threshold,
     """Vocabulary persisted once so the size check and the joins share it.
 
     With ``with_sizes`` also returns the kept count per column (the same
-    one-row-per-column job that checks the sentinels).
+    one-row-per-column job that checks the stash values: ``stash_<col>`` of
+    string columns, the sentinels of others).
     """
     vocab = vocabulary(df, cols, threshold).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = vocabulary_stats(vocab, sentinels)
+    sentinels = dict(sentinels or {})
+    stashes = {c: stash_text(stash_value(df, c, sentinels.get(c)), df.schema[c].dataType) for c in cols
+               if c in sentinels or isinstance(df.schema[c].dataType, T.StringType)}
+    sizes = vocabulary_stats(vocab, stashes)
     return (vocab, sizes) if with_sizes else vocab
 
 
@@ -222,7 +221,8 @@ WINDOW_LABELS_CAP = 1_000_000
 def stash_labels(vocab: DataFrame, cols: Sequence[str],
                  stash_values: Mapping[str, object], null_to_stash: bool = True,
                  sizes: Mapping[str, int] | None = None,
-                 window_cap: int = WINDOW_LABELS_CAP) -> DataFrame:
+                 window_cap: int = WINDOW_LABELS_CAP,
+                 types: Mapping[str, T.DataType] | None = None) -> DataFrame:
     """Labels of the stashed columns with their ``StringIndexer`` order.
 
     Output: ``col_name, label, n, idx, size, base_slot, slot, feature``. ``idx``
@@ -230,14 +230,16 @@ def stash_labels(vocab: DataFrame, cols: Sequence[str],
     position in the assembled one-hot vector (columns in the given order,
     each column one slot per label, since the invalid bucket is dropped).
     Row count = number of labels (bounded by rows / threshold per column).
+    ``types`` gives the columns' types, so that a stash label reads as in the data.
     """
     cols = list(cols)
-    stash_text = _literal_map({c: str(stash_values[c]) for c in cols})
+    types = dict(types or {})
+    texts = _literal_map({c: stash_text(stash_values[c], types[c]) if c in types else str(stash_values[c]) for c in cols})
     position = _literal_map({c: i for i, c in enumerate(cols)})
     kept = vocab.filter("kept").select("col_name", F.col("value").alias("label"), "n")
     rare_rows = ~F.col("kept") if null_to_stash else (~F.col("kept") & F.col("value").isNotNull())
     rare = (vocab.filter(rare_rows).groupBy("col_name").agg(F.sum("n").alias("n"))
-            .select("col_name", stash_text[F.col("col_name")].alias("label"), "n"))
+            .select("col_name", texts[F.col("col_name")].alias("label"), "n"))
     labels = kept.unionByName(rare)
     by_col = Window.partitionBy("col_name")
     if sizes is not None and max(list(sizes.values()) or [0]) > window_cap:

@@ -5,6 +5,7 @@
 * random forest: imputed numerics + one-hot, minority oversampling, RF,
   clipped loss of P(click), AUROC, importances.
 
+A row is positive if its label is above zero, in training and test alike.
 Splits are by md5 of the row key, so train and scoring jobs agree on the
 split whatever the input partitioning. Every metric is one aggregate; the
 metric table is a union of one-row aggregates, evaluated lazily.
@@ -87,7 +88,7 @@ def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshol
     data = df.filter(F.col(label).isNotNull())
     train, test = split.split_frames(data, key, fractions, SPLIT_SALT)
     train = train.withColumn("label", (F.col(label) > 0).cast("int"))
-    test = test.withColumn("label", F.col(label).cast("int"))
+    test = test.withColumn("label", (F.col(label) > 0).cast("int"))
     enc = fe.StashEncoder(cols, threshold, sentinels).fit(train)
     train_x = enc.transform(train)
     test_x = enc.transform(test)
@@ -106,7 +107,7 @@ def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
     hashed = fe.hash_features(data, cols, width, categorical_cols=categorical)
     train, test = split.split_frames(hashed, key, fractions, SPLIT_SALT)
     train = train.withColumn("label", (F.col(label) > 0).cast("int"))
-    test = test.withColumn("label", F.col(label).cast("int"))
+    test = test.withColumn("label", (F.col(label) > 0).cast("int"))
     model = models.train_lr(train, max_iter=max_iter, reg_param=reg_param)
     scored = _persist_scored(models.score(model, test), key)
     hist = model.summary.objectiveHistory
@@ -121,7 +122,7 @@ def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
     """Encode, train and score a forest: numerics imputed (NaN is refused by
     the learner), categoricals stashed and one-hot encoded, the minority
     class copied ``times`` more times in the training split only."""
-    data = df.filter(F.col(label).isNotNull())
+    data = df.filter(F.col(label).isNotNull()).withColumn(label, (F.col(label) > 0).cast("int"))
     data = fe.impute_numeric(data, numeric, sentinel=-1)
     flags = [c + "_missing" for c in numeric]
     train, test = split.split_frames(data, key, fractions, SPLIT_SALT)
@@ -129,7 +130,7 @@ def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
     inputs = [F.col(c).cast("double").alias(c) for c in numeric] + [F.col(c).cast("double").alias(c) for c in flags]
     train_x = enc.transform(train.select(key, label, *categorical, *inputs), extra_inputs=list(numeric) + flags)
     test_x = enc.transform(test.select(key, label, *categorical, *inputs), extra_inputs=list(numeric) + flags)
-    train_x = fe.label_index(train_x, label, "label")
+    train_x = train_x.withColumn("label", F.col(label).cast("double"))
     test_x = test_x.withColumn("label", F.col(label).cast("double"))
     balanced = split.oversample(train_x, "label", 1.0, times)
     model = models.train_rf(balanced, num_trees=num_trees, max_depth=max_depth, max_bins=max_bins, seed=seed)

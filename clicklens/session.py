@@ -39,8 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster sets this to a shared file system (Spark applies it to the
-    context at start-up). Only when it is unset (local runs and tests) do we
-    pick a fresh local folder. The context's folder is set once: each
+    context at start-up). Only when it is unset in a local run (as in tests) do
+    we pick a fresh local folder; on any other master that raises. The context's folder is set once: each
     ``setCheckpointDir`` call would open a new sub-folder.
     """
     sc = spark.sparkContext
@@ -49,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="clicklens-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)

@@ -15,18 +15,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A table is written as a single CSV part only below this many rows.
-SINGLE_FILE_MAX_ROWS = 100_000
+# Escapes of text that is written line by line; an empty text has one of its own.
+_ESCAPES = (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\0", "\\0"))
+_EMPTY, _NULL = "\\e", "\\N"
+
+
+def _escaped(c: F.Column) -> F.Column:
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for raw, code in _ESCAPES:
+        out = F.replace(out, F.lit(raw), F.lit(code))
+    return F.when(c == "", _EMPTY).otherwise(out)
+
+
+def _unescaped(c: F.Column) -> F.Column:
+    def part(p: F.Column) -> F.Column:  # between escaped backslashes
+        for raw, code in _ESCAPES:
+            p = F.replace(p, F.lit(code), F.lit(raw))
+        return p
+
+    return F.when(c == _EMPTY, "").otherwise(F.array_join(F.transform(F.split(c, r"\\\\"), part), "\\"))
+
+
+def _plain(io, sep: str):
+    """Options under which a line holds its fields as they are."""
+    for name in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        io = io.option(name, "false")
+    return io.option("sep", sep).option("header", "false").option("quote", "").option("nullValue", _NULL)
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, *,
-             strict: bool = False, null_value: str | None = None, sep: str = "\t") -> DataFrame:
+             strict: bool = False, null_value: str | None = None, sep: str = "\t",
+             escaped: bool = False) -> DataFrame:
     """Headerless delimited text with an explicit schema.
 
     ``path`` may be a glob (``part-{00..10}``) or a list. Default mode is
     PERMISSIVE (a bad number becomes null); ``strict`` fails on the first
-    malformed row (FAILFAST).
+    malformed row (FAILFAST). ``escaped`` reads what ``write_tsv`` has escaped.
     """
+    if escaped:
+        reader = _plain(spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE"), sep)
+        out = reader.csv(path if isinstance(path, str) else list(path))
+        return out.select([_unescaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name
+                           for f in schema])
     reader = (spark.read.schema(schema).option("sep", sep).option("header", "false")
               .option("mode", "FAILFAST" if strict else "PERMISSIVE"))
     if null_value is not None:
@@ -35,9 +65,17 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def write_tsv(df: DataFrame, path: str, *, null_value: str | None = None, mode: str = "overwrite",
-              sep: str = "\t") -> str:
+              sep: str = "\t", escaped: bool = False) -> str:
     """Headerless delimited text; ``null_value`` marks nulls (default
-    empty field)."""
+    empty field). Line ends, tabs, quotes and empty texts come back only from
+    ``escaped`` files, whose lines are still one row each."""
+    if escaped:
+        if sep != "\t":
+            raise ValueError("escaped files are tab-separated")
+        out = df.select([_escaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name
+                         for f in df.schema])
+        _plain(out.write.mode(mode), sep).csv(path)
+        return path
     w = df.write.mode(mode).option("sep", sep).option("header", "false")
     if null_value is not None:
         w = w.option("nullValue", null_value)
@@ -66,11 +104,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", codec: str
 
 
 def write_csv_single(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite",
-                     max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
-    """A small table as one CSV part. The row count is checked first;
-    larger tables are written in parallel parts instead of through one task."""
-    n = df.count()
-    out = df.coalesce(1) if n <= max_rows else df
+                     single_file: bool = True) -> str:
+    """A small table as one CSV part, through one task; with
+    ``single_file=False`` in parallel parts."""
+    out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", str(header).lower()).csv(path)
     return path
 
@@ -108,21 +145,25 @@ def file_inventory(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def column_checksums(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Per-column non-null count and total text length, in one aggregate.
+    """Per-column non-null count, total text length and sum of the values' hashes,
+    each salted with its row's hash (so a value that moves to another row
+    changes it), in one aggregate.
 
-    Output: ``col_name, non_null, text_length``.
+    Output: ``rows, col_name, non_null, text_length, digest``.
     """
     cols = list(cols or df.columns)
     aggs = []
+    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in cols])
     for c in cols:
+        aggs.append(F.sum(F.xxhash64(F.col(c).cast("string"), row).cast("decimal(38,0)")).alias(f"{c}\u0001d"))
         aggs += [F.count(c).cast("bigint").alias(f"{c}\u0001n"),
                  F.coalesce(F.sum(F.length(F.col(c).cast("string"))), F.lit(0)).cast("bigint").alias(f"{c}\u0001l")]
     one = df.agg(F.count(F.lit(1)).cast("bigint").alias("__rows"), *aggs)
     stacked = F.explode(F.array(*[
         F.struct(F.lit(c).alias("col_name"), F.col(f"`{c}\u0001n`").alias("non_null"),
-                 F.col(f"`{c}\u0001l`").alias("text_length")) for c in cols]))
+                 F.col(f"`{c}\u0001l`").alias("text_length"), F.col(f"`{c}\u0001d`").alias("digest")) for c in cols]))
     return one.select("__rows", stacked.alias("s")).select(
-        F.col("__rows").alias("rows"), "s.col_name", "s.non_null", "s.text_length")
+        F.col("__rows").alias("rows"), "s.col_name", "s.non_null", "s.text_length", "s.digest")
 
 
 def round_trip_check(before: DataFrame, after: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -134,14 +175,15 @@ def round_trip_check(before: DataFrame, after: DataFrame, cols: Sequence[str] |
     cols = list(cols or before.columns)
     a = column_checksums(before, cols).select(
         "col_name", F.col("rows").alias("rows_before"), F.col("non_null").alias("non_null_before"),
-        F.col("text_length").alias("length_before"))
+        F.col("text_length").alias("length_before"), F.col("digest").alias("__before"))
     b = column_checksums(after, cols).select(
         "col_name", F.col("rows").alias("rows_after"), F.col("non_null").alias("non_null_after"),
-        F.col("text_length").alias("length_after"))
+        F.col("text_length").alias("length_after"), F.col("digest").alias("__after"))
     out = a.join(b, "col_name", "full")
     return out.withColumn("equal", (F.col("rows_before") == F.col("rows_after"))
                           & (F.col("non_null_before") == F.col("non_null_after"))
-                          & (F.col("length_before") == F.col("length_after")))
+                          & (F.col("length_before") == F.col("length_after"))
+                          & F.col("__before").eqNullSafe(F.col("__after"))).drop("__before", "__after")
 
 
 def line_hash_fraction(line) -> F.Column:
