@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clicklens.session import scratch_path
 
+BATCH_ROWS, BATCH_BYTES = 1000, "8m"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -34,6 +35,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bounds what a Python worker is sent at a time, as rows may hold long texts.
+
+    Sets the session's Arrow batch limits, downwards only; results don't depend on them.
+    """
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def id_crc(doc_id: str = "doc_id") -> Column:
     """CRC-32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

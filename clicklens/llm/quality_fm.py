@@ -28,7 +28,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import id_crc, materialize
+from clicklens.llm.common import id_crc, materialize, small_batches
 
 WORDS, FACTORS = 1 << 11, 4
 # Bound of the training sample (rows), and steps of the solver.
@@ -120,7 +120,7 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.concatenate(raw), -700, 700))) if raw else np.zeros(0))
 
     parts = F.unwrap_udt("features")
-    return (with_features(docs).withColumn("score", score(F.struct(parts["indices"].alias("indices"), parts["values"].alias("values"))))
+    return (with_features(small_batches(docs)).withColumn("score", score(F.struct(parts["indices"].alias("indices"), parts["values"].alias("values"))))
             .drop("features"))
 
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import slices
+from clicklens.llm.common import slices, small_batches
 
 SPACE = "▁"
 # Characters of text handled at a time, words kept in a task's cache, symbols above which a word uses the heap.
@@ -240,7 +240,7 @@ def with_ids(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: s
         for s in batches:
             yield pd.Series(encode([None if t is None else t for t in s], vocabulary, cache), dtype=object)
 
-    return docs.withColumn(ids, run(F.col(text)))
+    return small_batches(docs).withColumn(ids, run(F.col(text)))
 
 
 def with_text(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -249,7 +249,7 @@ def with_text(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: s
         for s in batches:
             yield pd.Series([decode(x, vocabulary) for x in s], dtype=object)
 
-    return rows.withColumn(text, run(F.col(ids)))
+    return small_batches(rows).withColumn(text, run(F.col(ids)))
 
 
 def query(docs: DataFrame, model_path: str) -> DataFrame:

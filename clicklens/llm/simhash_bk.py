@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import materialize
+from clicklens.llm.common import materialize, small_batches
 from clicklens.llm.components import connected_components
 
 SEED = 42
@@ -69,7 +69,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text") -> D
             bits = np.array([fingerprint_of(t, shingle) for t in s], np.uint64)
             yield pd.Series(bits.view(np.int64))
 
-    return docs.withColumn("fingerprint", simhash(F.col(text)))
+    return small_batches(docs).withColumn("fingerprint", simhash(F.col(text)))
 
 
 class BKTree:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicklens.llm.common import materialize
+from clicklens.llm.common import materialize, small_batches
 
 LENGTH = 100
 GRAM = 32  # a power of two
@@ -256,7 +256,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeat_spans(keyed: DataFrame) -> DataFrame:
     """Removed spans (key columns, pos, len) of keyed texts; they may overlap."""
-    texts = keyed.select(K, SEQ, "text").where("text IS NOT NULL")
+    texts = small_batches(keyed).select(K, SEQ, "text").where("text IS NOT NULL")
     rows = texts.mapInPandas(_parse_rows, _ROW)
     group = Window.partitionBy("kind", "trig")
     before = F.lag("dig").over(group.orderBy("dig", K, SEQ, "pos"))

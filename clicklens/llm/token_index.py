@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import materialize, slices
+from clicklens.llm.common import materialize, slices, small_batches
 from clicklens.llm.files import make_folder, opened, read_file, write_file
 from clicklens.session import scratch_path
 
@@ -233,7 +233,7 @@ def write_store(docs: DataFrame, tokenizer_json: str, end_id: int) -> TokenStore
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     make_folder(folder)
-    ordered = (docs.select(key_of().alias("key"), "text").repartitionByRange("key").sortWithinPartitions("key", "text"))
+    ordered = (small_batches(docs).select(key_of().alias("key"), "text").repartitionByRange("key").sortWithinPartitions("key", "text"))
     rows = materialize(ordered.mapInPandas(_write_shards(folder, tokenizer_json, end_id),
                                            "shard int, file string, key long, row long, n_ids long"), "token-rows")
     shards = rows.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_ids").alias("n_ids"))
