@@ -35,7 +35,7 @@ from clicklens.llm.common import slices, small_batches
 
 SPACE = "▁"
 # Characters of text handled at a time, words kept in a task's cache, symbols above which a word uses the heap.
-BATCH, CACHE, LONG = 1 << 20, 600_000, 48
+BATCH, CACHE, LONG = 1 << 20, 400_000, 48
 _EDGE = 64  # more than the longest piece's bytes
 
 
@@ -243,6 +243,19 @@ def with_ids(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: s
     return small_batches(docs).withColumn(ids, run(F.col(text)))
 
 
+def with_ids_and_text(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Both ways in one pass over the texts, with one Python worker a task."""
+    @F.pandas_udf("ids array<int>, decoded string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        cache: dict[str, bytes] = {}
+        for s in batches:
+            found = encode([None if t is None else t for t in s], vocabulary, cache)
+            yield pd.DataFrame({"ids": pd.Series(found, dtype=object), "decoded": pd.Series([decode(x, vocabulary) for x in found], dtype=object)})
+
+    both = small_batches(docs).withColumn("_pieces", run(F.col(text)))
+    return both.withColumns({ids: F.col("_pieces.ids"), decoded: F.col("_pieces.decoded")}).drop("_pieces")
+
+
 def with_text(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -255,6 +268,6 @@ def with_text(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: s
 def query(docs: DataFrame, model_path: str) -> DataFrame:
     """Per document: its ids, how many, and whether decoding gives the text back (U+2581 as a blank)."""
     vocabulary = load(model_path)
-    rows = with_text(with_ids(docs.select("doc_id", "text"), vocabulary), vocabulary)
+    rows = with_ids_and_text(docs.select("doc_id", "text"), vocabulary)
     return rows.select("doc_id", "ids", F.size("ids").alias("n_tokens"),
                        (F.col("decoded") == F.translate("text", SPACE, " ")).alias("round_trip"))

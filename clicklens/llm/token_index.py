@@ -44,7 +44,7 @@ from clicklens.session import scratch_path
 NULL_KEY = -(1 << 63)
 PART = 500_000
 # Characters encoded at a time, and words kept in a task's cache.
-BATCH, CACHE = 1 << 20, 600_000
+BATCH, CACHE = 1 << 20, 400_000
 # A control character that stands between words encoded together, and how many are.
 MARK, JOINED = "\x01", 300
 SPECIAL, STOPS = b"<|", b".,;:!?"

@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to."""
     vocabulary = sentencepiece_sa.load(public_tokenizers.path(TOKENIZER))
-    rows = sentencepiece_sa.with_text(sentencepiece_sa.with_ids(docs, vocabulary), vocabulary)
+    rows = sentencepiece_sa.with_ids_and_text(docs, vocabulary)
     return rows.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", "decoded")
 
 
