@@ -179,11 +179,20 @@ def hash_features(df: DataFrame, cols: Sequence[str], num_features: int = 1 << 1
     return hasher.transform(df)
 
 
-def dummy_columns(df: DataFrame, col: str, values: Sequence[str], drop: Sequence[str] = (),
+def levels(df: DataFrame, col: str, most: int = 1000) -> list:
+    """Distinct non-null values in order; more than ``most`` raises, as each becomes a column."""
+    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} levels")
+    return found
+
+
+def dummy_columns(df: DataFrame, col: str, values: Sequence[str] | None = None, drop: Sequence[str] = (),
                   prefix: str | None = None) -> DataFrame:
     """wide 0/1 columns for a low-cardinality column, as a projection
     (no pivot shuffle). Null and unlisted values give all zeros; ``drop``
-    removes base columns."""
+    removes base columns. Without ``values`` they are read from the data."""
+    values = levels(df, col) if values is None else values
     prefix = prefix if prefix is not None else col + "_"
     keep = [v for v in values if v not in set(drop)]
     return df.select("*", *[F.when(F.col(col) == F.lit(v), F.lit(1)).otherwise(F.lit(0)).alias(prefix + str(v))

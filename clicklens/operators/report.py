@@ -117,16 +117,16 @@ def sorted_curve(coef: DataFrame, stash_names: Sequence[str], feature: str = "fe
 def model_comparison(metrics: DataFrame) -> DataFrame:
     """One row per model from the long metric table of the jobs
     (``model, split, metric, value``): width, baseline loss, test loss,
-    AUROC and the lift of the test loss over the baseline.
+    final train loss (LR), AUROC and the lift of the test loss over the baseline.
 
-    Output: ``model, width, baseline_log_loss, test_log_loss, auroc, lift``.
+    Output: ``model, width, baseline_log_loss, train_loss, test_log_loss, auroc, lift``.
     The pivot runs over a handful of metric rows per model.
     """
-    pick = (F.when(F.col("metric").isin("width", "baseline_log_loss"), F.col("value"))
+    pick = (F.when(F.col("metric").isin("width", "baseline_log_loss", "final_objective"), F.col("value"))
             .when(F.col("split") == "test", F.col("value")))
-    wide = metrics.groupBy("model").pivot("metric", ["width", "baseline_log_loss", "log_loss", "auroc"]) \
+    wide = metrics.groupBy("model").pivot("metric", ["width", "baseline_log_loss", "final_objective", "log_loss", "auroc"]) \
         .agg(F.max(pick))
     return wide.select(
         "model", F.col("width").cast("bigint").alias("width"), "baseline_log_loss",
-        F.col("log_loss").alias("test_log_loss"), "auroc",
+        F.col("final_objective").alias("train_loss"), F.col("log_loss").alias("test_log_loss"), "auroc",
         F.round((F.col("baseline_log_loss") - F.col("log_loss")) / F.col("baseline_log_loss"), 6).alias("lift"))

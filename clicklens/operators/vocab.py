@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.schema import STASH_PREFIX, STASHED_SUFFIX, VECTOR_SUFFIX
+from clicklens.sources.io import written
 
 # A keep list above this many values per column is joined by shuffle, not
 # broadcast; and all broadcast keep lists of one frame together stay under
@@ -53,6 +53,12 @@ def _thresholds(cols: Sequence[str], threshold) -> dict:
     return {c: int(threshold) for c in cols}
 
 
+def share_threshold(df: DataFrame, share: float) -> int:
+    """A share of the rows as a count threshold. A column then keeps fewer than
+    1 / share values, whatever the number of rows."""
+    return int(df.count() * share)
+
+
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2/A3: rows per (column, value) for every column in one scan.
 
@@ -181,13 +187,13 @@ def vocabulary_stats(vocab: DataFrame, stashes: Mapping[str, object] | None = No
 def fit_vocabulary(df: DataFrame, cols: Sequence[str], threshold,
                    sentinels: Mapping[str, int] | None = None, *,
                    with_sizes: bool = False):
-    """Vocabulary persisted once so the size check and the joins share it.
+    """Vocabulary written once, so the size check and the joins share it.
 
     With ``with_sizes`` also returns the kept count per column (the same
     one-row-per-column job that checks the stash values: ``stash_<col>`` of
     string columns, the sentinels of others).
     """
-    vocab = vocabulary(df, cols, threshold).persist(StorageLevel.MEMORY_AND_DISK)
+    vocab = written(vocabulary(df, cols, threshold), "vocabulary")
     sentinels = dict(sentinels or {})
     stashes = {c: stash_text(stash_value(df, c, sentinels.get(c)), df.schema[c].dataType) for c in cols
                if c in sentinels or isinstance(df.schema[c].dataType, T.StringType)}

@@ -21,7 +21,6 @@ ODD_THRESHOLD, PART_THRESHOLD = 100, 2
 
 def _forms(df, col, threshold):
     v, sizes = vocab.fit_vocabulary(df, [col], threshold, with_sizes=True)
-    v.unpersist()
     return split.union_all(*[
         vocab.apply_stash(df, v, [col], {col: f"stash_{col}"}, sizes=sizes, **caps)
         .groupBy(F.lit(form).alias("form"), f"{col}_t").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
@@ -45,6 +44,23 @@ def q_stash_odd_values(spark, sf_dir):
     return _forms(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(odd.alias("v")), "v", ODD_THRESHOLD)
 
 
+SHARE = 0.01
+
+
+@register("stash_share_ctr", sq.with_impressions(
+    f"""SELECT CASE WHEN k.v IS NOT NULL THEN imp.cat4 ELSE 'stash_cat4' END AS cat4_t, CAST(count(*) AS BIGINT) AS n_rows,
+               CAST(sum(y) AS BIGINT) AS clicks, round(avg(y), 6) AS ctr
+        FROM imp LEFT JOIN (SELECT cat4 AS v FROM imp GROUP BY cat4
+                            HAVING count(*) > (SELECT CAST(floor(count(*) * {SHARE}) AS BIGINT) FROM imp)) k ON imp.cat4 = k.v
+        WHERE imp.y IS NOT NULL GROUP BY 1"""))
+def q_stash_share_ctr(spark, sf_dir):
+    """F1 with a threshold of 1 % of the rows, then the click rate of each value: kept and stashed values at every scale."""
+    imp = fx.impressions(spark, sf_dir)
+    st = vocab.stash_rare(imp, ["cat4"], vocab.share_threshold(imp, SHARE))
+    return fx.labelled(st).groupBy("cat4_t").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.sum("y").cast("bigint").alias("clicks"), F.round(F.avg("y"), 6).alias("ctr"))
+
+
 @register("stash_long_lists", "WITH d AS (SELECT CAST(l_partkey AS VARCHAR) AS v FROM lineitem) " + _FORMS_SQL.format(t=PART_THRESHOLD))
 def q_stash_long_lists(spark, sf_dir):
     """a keep list of thousands of values through a set, a broadcast and a shuffle join."""

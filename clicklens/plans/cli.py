@@ -23,6 +23,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklens.functions import scalar
 from clicklens.operators import features as fe
 from clicklens.operators import metrics, models, split
 from clicklens.schema import CtrSchema, reference_tsv_schema
@@ -96,11 +97,11 @@ def _lr(spark: SparkSession, data: DataFrame, a, name: str) -> tuple:
     data, key = _with_key(data.filter(F.col(a.label).isNotNull()), a.key)
     train, test = split.split_frames(data, key, (a.train_fraction, 1 - a.train_fraction))
     train = train.withColumn("labels", (F.col(a.label) > 0).cast("int"))
-    test = test.withColumn("labels", F.col(a.label).cast("int"))
+    test = test.withColumn("labels", (F.col(a.label) > 0).cast("int"))
     base = metrics.baseline_log_loss(train, "labels").first().asDict()
     model = models.train_lr(train, "features", "labels", max_iter=a.max_iter, reg_param=a.reg_param,
                             elastic_net=a.elastic_net, threshold=a.decision_threshold)
-    scored = models.score(model, test).select("labels", "prob", "prediction")
+    scored = io.written(models.score(model, test).select("labels", "prob", "prediction"), "scored")
     out = {"step": name, **{f"train_{k}": v for k, v in base.items()}, **_summary(scored, "labels"),
            "objective_history": list(model.summary.objectiveHistory)}
     return model, train, out
@@ -116,6 +117,15 @@ def cmd_train_lr(spark: SparkSession, a) -> None:
     _emit(out)
 
 
+def cmd_hash(spark: SparkSession, a) -> None:
+    """Store job for hashed features: 2^18 slots by default, label kept."""
+    df = io.read_parquet(spark, a.input)
+    roles = _roles(df, a.label, a.numeric, a.categorical)
+    hashed = fe.hash_features(df, roles.features, a.num_features, categorical_cols=list(roles.categorical))
+    io.write_parquet(hashed.select(a.label, *([a.key] if a.key else []), "features"), a.output, mode="overwrite")
+    _emit({"step": "hash", "slots": a.num_features, "columns": len(roles.features)})
+
+
 def cmd_train_lr_hashed(spark: SparkSession, a) -> None:
     """Hashed LR: 2^18 hashed features by default, straight from the raw table."""
     df = io.read_parquet(spark, a.input)
@@ -132,7 +142,9 @@ def _rf_split(spark: SparkSession, a) -> tuple[DataFrame, DataFrame]:
 
 
 def _rf_scores(model, test: DataFrame) -> DataFrame:
-    return models.score(model, test).select("label", "prediction", "rawPrediction", "probability", "prob")
+    scored = models.score(model, test)
+    return io.written(scored.select("label", "prediction", "rawPrediction", "probability", "prob",
+                                    scalar.log_loss_clipped("label", "prob").alias("log_loss")), "scored")
 
 
 def cmd_train_rf(spark: SparkSession, a) -> None:
@@ -188,6 +200,12 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--numeric-raw", action="store_true", help="random-forest layout")
     s.set_defaults(fn=cmd_encode)
 
+    s = sub.add_parser("hash", help=doc(cmd_hash))
+    common(s)
+    s.add_argument("--output", required=True)
+    s.add_argument("--num-features", type=int, default=1 << 18)
+    s.set_defaults(fn=cmd_hash)
+
     for name, fn in (("train-lr", cmd_train_lr), ("train-lr-hashed", cmd_train_lr_hashed)):
         s = sub.add_parser(name, help=doc(fn))
         common(s)

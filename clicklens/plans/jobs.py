@@ -16,12 +16,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.operators import features as fe
 from clicklens.operators import metrics, models, split
+from clicklens.sources.io import written
 
 HASH_WIDTH = 1 << 18
 # Split salt of the model jobs, so the split is independent of any other
@@ -38,10 +38,6 @@ class JobResult:
     encoded_train: DataFrame | None = None
     extras: dict = field(default_factory=dict)
 
-    def release(self) -> None:
-        """Drop the persisted scored rows once the metrics are read."""
-        self.scored.unpersist()
-
 
 def _long_metrics(name: str, split_name: str, one_row: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A one-row aggregate as ``model, split, metric, value`` rows."""
@@ -53,7 +49,7 @@ def _long_metrics(name: str, split_name: str, one_row: DataFrame, cols: Sequence
 def _common_metrics(name: str, train: DataFrame, scored: DataFrame, label: str,
                     train_loss: float | None, width: int | None = None) -> DataFrame:
     """Baseline on train; every per-row test metric in one fused aggregate
-    over the persisted scored rows; AUROC by its own rank-sum plan."""
+    over the written scored rows; AUROC by its own rank-sum plan."""
     spark = scored.sparkSession
     base = metrics.baseline_log_loss(train, label)
     summary = metrics.scored_summary(scored, label, "prob", "prediction")
@@ -74,11 +70,11 @@ def _common_metrics(name: str, train: DataFrame, scored: DataFrame, label: str,
     return out
 
 
-def _persist_scored(scored: DataFrame, key: str) -> DataFrame:
-    """Keep only what the metrics read and persist it: the fused summary and
+def _written_scores(scored: DataFrame, key: str) -> DataFrame:
+    """Keep only what the metrics read and write it: the fused summary and
     the AUROC plan then share one evaluation of the model over the test rows."""
     keep = [c for c in (key, "label", "prob", "prediction", "rawPrediction") if c in scored.columns]
-    return scored.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    return written(scored.select(*keep), "scored")
 
 
 def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshold,
@@ -93,7 +89,7 @@ def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshol
     train_x = enc.transform(train)
     test_x = enc.transform(test)
     model = models.train_lr(train_x, max_iter=max_iter, reg_param=reg_param)
-    scored = _persist_scored(models.score(model, test_x), key)
+    scored = _written_scores(models.score(model, test_x), key)
     hist = model.summary.objectiveHistory
     m = _common_metrics("onehot_lr", train, scored, "label", hist[-1] if hist else None, model.numFeatures)
     return JobResult("onehot_lr", m, scored, model, train_x, {"encoder": enc})
@@ -109,7 +105,7 @@ def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
     train = train.withColumn("label", (F.col(label) > 0).cast("int"))
     test = test.withColumn("label", (F.col(label) > 0).cast("int"))
     model = models.train_lr(train, max_iter=max_iter, reg_param=reg_param)
-    scored = _persist_scored(models.score(model, test), key)
+    scored = _written_scores(models.score(model, test), key)
     hist = model.summary.objectiveHistory
     m = _common_metrics("hashed_lr", train, scored, "label", hist[-1] if hist else None, model.numFeatures)
     return JobResult("hashed_lr", m, scored, model, train)
@@ -134,6 +130,6 @@ def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
     test_x = test_x.withColumn("label", F.col(label).cast("double"))
     balanced = split.oversample(train_x, "label", 1.0, times)
     model = models.train_rf(balanced, num_trees=num_trees, max_depth=max_depth, max_bins=max_bins, seed=seed)
-    scored = _persist_scored(models.score(model, test_x), key)
+    scored = _written_scores(models.score(model, test_x), key)
     m = _common_metrics("random_forest", train_x, scored, "label", None, model.numFeatures)
     return JobResult("random_forest", m, scored, model, train_x)

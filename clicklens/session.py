@@ -40,8 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster sets this to a shared file system (Spark applies it to the
     context at start-up). Only when it is unset in a local run (as in tests) do
-    we pick a fresh local folder; on any other master that raises. The context's folder is set once: each
-    ``setCheckpointDir`` call would open a new sub-folder.
+    we pick a fresh local folder; on any other master that raises. The context's
+    folder is set once: each ``setCheckpointDir`` call would open a new sub-folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clicklens.session import scratch_path
+
 # Escapes of text that is written line by line; an empty text has one of its own.
 _ESCAPES = (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\0", "\\0"))
 _EMPTY, _NULL = "\\e", "\\N"
@@ -103,6 +105,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", codec: str
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: computed once for all its
+    readers, without a cache to release, and safe when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv_single(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite",
                      single_file: bool = True) -> str:
     """A small table as one CSV part, through one task; with

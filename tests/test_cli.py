@@ -44,8 +44,12 @@ def test_script_chain(spark, capsys):
     assert lr["log_loss"] < lr["train_baseline_log_loss"] + 0.05
     assert spark.read.csv(coef).count() == enc["width"]
 
+    stored = scratch_path(spark, "hashed")
+    _run(capsys, ["hash", "--input", pq, "--output", stored, "--num-features", "4096"])
+    from_store = _run(capsys, ["train-lr", "--input", stored])
     hashed = _run(capsys, ["train-lr-hashed", "--input", pq, "--num-features", "4096"])
     assert hashed["log_loss"] < hashed["train_baseline_log_loss"]
+    assert from_store["train_rows"] > 0 and abs(from_store["log_loss"] - hashed["log_loss"]) < 0.1
 
     rf_in = scratch_path(spark, "ohe_rf")
     _run(capsys, ["encode", "--input", pq, "--output", rf_in, "--threshold", "10", "--numeric-raw"])
