@@ -7,7 +7,7 @@ linear in its distinct words, whatever the number of pairs.
 Features are made by Spark's functions on the executors' JVMs: hashed word counts
 scaled to length one, shares of characters, words and lines, and the logarithm of
 n_chars. Spark ML's FMClassifier fits the weights on at most about ``TRAIN_ROWS``
-labelled rows, taken by a hash of the row's text (below that number: on all). The
+labelled rows, taken by a hash of id and text (below that number: on all). The
 model has a fixed size (``WORDS`` + statistics, ``FACTORS`` factors).
 
 Defined results: null and empty texts are scored by their statistics, all zero. A
@@ -92,7 +92,8 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> Model:
     rows = labelled.where("label IN (0, 1)")
     n = rows.count()
     share = min(1.0, max_rows / max(n, 1))
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
+    row = F.xxhash64(F.lit(7), *[c for c in ("doc_id", "text") if c in rows.columns])  # copies of a text have ids of their own
+    drawn = rows.where(F.pmod(row, F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
     sample = materialize(with_features(drawn.select("text", "n_chars", F.col("label").cast("double").alias("label"))).select("features", "label"), "fm-train")
     classes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(classes) < 2:
@@ -130,7 +131,7 @@ def held_out() -> Column:
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").alias("label"))
-    labelled = docs.where(~held_out()).join(marks, F.col("doc_id") == F.col("label_id")).select("text", "n_chars", "label")
+    labelled = docs.where(~held_out()).join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "n_chars", "label")
     model = train(labelled)
     scored = with_score(docs.select("doc_id", "text", "n_chars"), model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

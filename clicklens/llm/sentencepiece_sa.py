@@ -218,7 +218,7 @@ def encode(texts: list[str | None], vocabulary: Vocabulary, cache: dict[str, byt
         words = [words_of(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts[a:b]]
         if len(cache) > CACHE:
             cache.clear()
-        new = list({w for ws in words for w in ws if w not in cache})
+        new = list(set().union(*words).difference(cache))
         if new:
             cache.update(zip(new, encode_words(new, vocabulary), strict=True))
         out += [None if t is None else np.frombuffer(b"".join(map(cache.__getitem__, ws)), "<i4")

@@ -1,10 +1,11 @@
 """Token ids in raw shard files, with a minimal perfect hash index.
 
-Shard file: the ids of its documents as little-endian unsigned 32-bit integers,
-in ascending doc_id order, then the first id's position of each document and the
+Shard file: the ids of its documents as little-endian unsigned integers of two
+bytes (four, if the vocabulary has more than 65,536 entries), in ascending doc_id
+order, then the first id's position of each document and the
 end (unsigned 64-bit), then the number of documents (unsigned 64-bit). Shards
 follow the order of their numbers: the range shuffle that sorts the documents
-deals each task one range.
+deals each task one range, as many as the input has partitions.
 
 Index file: keys are dealt to parts by hash; a part of about ``PART`` keys is a
 cascade of bit arrays. A key that is alone at its place of a level sets that bit,
@@ -52,6 +53,10 @@ SPECIAL, STOPS = b"<|", b".,;:!?"
 
 # -- encoding ---------------------------------------------------------------
 
+def id_type(vocab_size: int) -> str:
+    return "<u2" if vocab_size <= 1 << 16 else "<u4"
+
+
 class WordEncoder:
     """The tokenizers library, asked once for each distinct word.
 
@@ -65,11 +70,12 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.kind = id_type(self.tokenizer.get_vocab_size())
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.cache: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text as little-endian unsigned integers of type ``kind``."""
         out: list[bytes] = []
         for a, b in slices(texts, BATCH):
             # bytes split at ASCII blanks, and fold ASCII letters, only; the normalizer folds them too,
@@ -78,30 +84,29 @@ class WordEncoder:
             words = [(x if SPECIAL in x else x.lower()).split() for x in raw]
             if len(self.cache) > CACHE:
                 self.cache.clear()
-            new = list({w for ws in words for w in ws if w not in self.cache})
-            self._learn(new)
+            self._learn(set().union(*words).difference(self.cache))
             out += [b"".join(map(self.cache.__getitem__, ws)) for ws in words]
         return out
 
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         """Many words in one call: a mark between them, a word of its own with one id, shows where each ends."""
         # a word and the stops behind it are apart for the pre-tokenizer
         core = {w: c for w in words if (c := w.rstrip(STOPS)) != w and c[-1:].isalnum()}
-        words = list({*words}.difference(core).union(w[len(c):] for w, c in core.items()).union(core.values()).difference(self.cache))
+        words = list(words.difference(core).union(w[len(c):] for w, c in core.items()).union(core.values()).difference(self.cache))
         plain = [w for w in words if MARK.encode() not in w] if len(self.mark) == 1 else []
         parts = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
         texts = [f" {MARK} ".encode().join(p).decode() for p in parts]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, "<u4")
+            ids = np.array(found.ids, self.kind)
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(cuts) != len(part) - 1:
                 raise ValueError("the tokenizer doesn't keep words apart")
-            flat, edges = ids.tobytes(), [-1, *cuts.tolist(), len(ids)]
-            self.cache.update((w, flat[4 * a + 4:4 * z]) for w, a, z in zip(part, edges[:-1], edges[1:], strict=True))
+            flat, n, edges = ids.tobytes(), ids.itemsize, [-1, *cuts.tolist(), len(ids)]
+            self.cache.update((w, flat[n * a + n:n * z]) for w, a, z in zip(part, edges[:-1], edges[1:], strict=True))
         for w in words:
             if w not in self.cache:
-                self.cache[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                self.cache[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
         self.cache.update((w, self.cache[c] + self.cache[w[len(c):]]) for w, c in core.items())
 
 
@@ -163,6 +168,7 @@ class TokenStore:
     shards: DataFrame
     parts: DataFrame
     n_parts: int
+    kind: str
 
 
 def key_of(doc_id: str = "doc_id") -> Column:
@@ -175,7 +181,8 @@ def _part_of(key: str, n_parts: int) -> Column:
 
 def _write_shards(folder: str, tokenizer_json: str, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = WordEncoder(tokenizer_json), np.array([end_id], "<u4").tobytes()
+        encode = WordEncoder(tokenizer_json)
+        end = np.array([end_id], encode.kind).tobytes()
         shard = TaskContext.get().partitionId()
         path, stream = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}", None
         begins, row = [np.zeros(1, np.int64)], 0
@@ -189,7 +196,7 @@ def _write_shards(folder: str, tokenizer_json: str, end_id: int):
             texts = part["text"].tolist()
             for a, b in slices(texts, BATCH):
                 ids = [x + end for x in encode(texts[a:b])]
-                sizes[a:b] = [len(x) // 4 for x in ids]
+                sizes[a:b] = [len(x) // len(end) for x in ids]
                 stream.write(b"".join(ids))
             begins.append(begins[-1][-1] + np.cumsum(sizes))
             yield pd.DataFrame({"shard": shard, "file": path, "key": part["key"], "row": np.arange(row, row + len(part)),
@@ -233,7 +240,7 @@ def write_store(docs: DataFrame, tokenizer_json: str, end_id: int) -> TokenStore
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     make_folder(folder)
-    ordered = (small_batches(docs).select(key_of().alias("key"), "text").repartitionByRange("key").sortWithinPartitions("key", "text"))
+    ordered = (small_batches(docs).select(key_of().alias("key"), "text").repartitionByRange(max(1, docs.rdd.getNumPartitions()), "key").sortWithinPartitions("key", "text"))
     rows = materialize(ordered.mapInPandas(_write_shards(folder, tokenizer_json, end_id),
                                            "shard int, file string, key long, row long, n_ids long"), "token-rows")
     shards = rows.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_ids").alias("n_ids"))
@@ -244,7 +251,7 @@ def write_store(docs: DataFrame, tokenizer_json: str, end_id: int) -> TokenStore
     n_parts = max(1, -(-rows.count() // PART))
     parts = (keys.withColumn("part", _part_of("key", n_parts)).repartition(n_parts, "part").sortWithinPartitions("part", "key")
              .mapInPandas(_write_parts(folder), "part int, file string, n_keys long"))
-    return TokenStore(shards, materialize(parts, "token-parts"), n_parts)
+    return TokenStore(shards, materialize(parts, "token-parts"), n_parts, WordEncoder(tokenizer_json).kind)
 
 
 class IndexPart:
@@ -283,10 +290,13 @@ def lookup(keys: DataFrame, store: TokenStore) -> DataFrame:
 
 
 def read_ids(places: DataFrame, store: TokenStore) -> DataFrame:
-    """(key, shard, row, n_rows) -> one row a document: key, start over all shards, ids (u32 bytes)."""
+    """(key, shard, row, n_rows) -> one row a document: key, start over all shards, ids (as
+    little-endian unsigned 32-bit integers)."""
     at = (places.join(store.shards.select("shard", "file", "base"), "shard")
           .repartition("file").sortWithinPartitions("file", "row"))
 
+    kind, width = store.kind, np.dtype(store.kind).itemsize
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path, f, begins = None, None, None
         for batch in batches:
@@ -301,8 +311,8 @@ def read_ids(places: DataFrame, store: TokenStore) -> DataFrame:
                 out, held = [], 0
                 for key, row, n_rows, base in zip(rows["key"].tolist(), rows["row"].tolist(), rows["n_rows"].tolist(), rows["base"].tolist(), strict=True):
                     for r in range(row, row + n_rows):
-                        f.seek(4 * int(begins[r]))
-                        ids = f.read(4 * int(begins[r + 1] - begins[r]))
+                        f.seek(width * int(begins[r]))
+                        ids = np.frombuffer(f.read(width * int(begins[r + 1] - begins[r])), kind).astype("<u4").tobytes()
                         out.append((key, base + int(begins[r]), ids))
                         held += len(ids)
                     if held > BATCH:
