@@ -35,7 +35,7 @@ from clicklens.llm.common import slices, small_batches
 
 SPACE = "▁"
 # Characters of text handled at a time, words kept in a task's cache, symbols above which a word uses the heap.
-BATCH, CACHE, LONG = 1 << 20, 400_000, 48
+BATCH, CACHE, LONG = 1 << 20, 600_000, 48
 _EDGE = 64  # more than the longest piece's bytes
 
 
@@ -77,6 +77,16 @@ def load(path: str) -> Vocabulary:
     return Vocabulary([sp.id_to_piece(i) for i in n], [sp.get_score(i) for i in n], kinds)
 
 
+def suffix_order(words: np.ndarray, suffixes: np.ndarray) -> np.ndarray:
+    """Lexicographic order: by the first 8 bytes as one number, then whole where those tie."""
+    head = np.ascontiguousarray(words[:, :8]).view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(head)
+    same = head[order[1:]] == head[order[:-1]]
+    tied = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
+    order[tied] = order[tied][np.argsort(suffixes[order[tied]])]
+    return order
+
+
 def edges_of(raw: bytes, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(key, piece number) of every occurrence of a piece, sorted; key = position * 64 + length."""
     width = vocabulary.pieces.dtype.itemsize
@@ -84,8 +94,9 @@ def edges_of(raw: bytes, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray
     starts = np.flatnonzero((buf & 0xC0) != 0x80)  # first bytes of characters
     padded = np.concatenate([buf, np.zeros(width, np.uint8)])
     words = np.lib.stride_tricks.sliding_window_view(padded, width)[starts]
-    suffixes = np.ascontiguousarray(words).view(f"S{width}").ravel()
-    order = np.argsort(suffixes, kind="stable")
+    words = np.ascontiguousarray(words)
+    suffixes = words.view(f"S{width}").ravel()
+    order = suffix_order(words, suffixes)
     suffixes, starts = suffixes[order], starts[order]
     pieces = vocabulary.pieces
     size = np.char.str_len(pieces)
