@@ -51,6 +51,8 @@ BLOCK, PIECE = 1 << 24, 1 << 21
 ARRAY = 1 << 20
 # Above this many phrases of a trigger, windows are dealt by their own hash.
 HOT = 2000
+# Most hot triggers (nine bytes each) that are broadcast.
+BROADCAST_TRIGGERS = 1_000_000
 
 K, SEQ = "_pfp_doc", "_pfp_seq"
 _ROW = f"kind int, trig long, dig long, {K} long, {SEQ} int, pos long, len int"
@@ -266,8 +268,10 @@ def repeat_spans(keyed: DataFrame) -> DataFrame:
         .where("kind = 0 OR again OR shared")
         .select(F.when(F.expr("kind = 0 OR again"), 0).otherwise(1).alias("kind"), "trig", K, SEQ, "pos", "len"), "pfp-parse")
     asked = tagged.where("kind = 1")
-    hot = asked.groupBy("trig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("trig", F.lit(True).alias("hot"))
-    asks = (asked.join(hot, "trig", "left")
+    hot = materialize(asked.groupBy("trig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+                      .select("trig", F.lit(True).alias("hot")), "pfp-hot")
+    # asking phrases stay where they are if the hot triggers are few; else both sides are shuffled
+    asks = (asked.join(F.broadcast(hot) if hot.count() <= BROADCAST_TRIGGERS else hot, "trig", "left")
             .groupBy(K, SEQ).agg(F.collect_list(F.struct("trig", "pos", "len", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asks")))
     bodies = texts.join(asks, [K, SEQ]).mapInPandas(_dictionary_rows, _PHRASE)
     marks = materialize(
