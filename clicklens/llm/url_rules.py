@@ -120,10 +120,12 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, min_su
     mined = materialize(mine(parts.select(F.col("_tokens").alias("tokens"), F.col("_fixed").alias("label")), min_support, min_confidence), "url-rules")
     sets = parts.where("_fixed IS NULL").select(F.col("_tokens").alias("tokens")).distinct()
     best = match(sets, mined).select(F.col("tokens").alias("_set"), F.col("label").alias("_learned"), F.col("rule_tokens").alias("mined_rule"))
-    open_ = F.when(F.col("_fixed").isNull(), F.col("_tokens"))
-    return (parts.drop("verdict", "mined_rule").join(best, open_ == F.col("_set"), "left")
-            .withColumn("verdict", F.coalesce("_fixed", "_learned", F.lit(DEFAULT)))
-            .select(*kept, *own))
+    parts = parts.drop("verdict", "mined_rule")
+    learned = (parts.where("_fixed IS NULL").join(best, F.col("_tokens") == F.col("_set"), "left")
+               .withColumn("verdict", F.coalesce("_learned", F.lit(DEFAULT))))
+    # urls of a fixed rule take no part in the join, where they would share one key
+    fixed = parts.where("_fixed IS NOT NULL").withColumns({"verdict": F.col("_fixed"), "mined_rule": F.lit(None).cast("array<string>")})
+    return learned.select(*kept, *own).unionByName(fixed.select(*kept, *own))
 
 
 def query(pages: DataFrame) -> DataFrame:
