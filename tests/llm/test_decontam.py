@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -13,12 +14,17 @@ def plain(docs, items):
     out = {}
     for d, t in docs:
         w = words(t)
+        where = defaultdict(list)
+        for p, x in enumerate(w):
+            where[x].append(p)
         for i, u in items:
             a = words(u)
             if i is None or len(a) < 5:
                 continue
             width = min(13, len(a))
-            for g in range(-len(a) + 1, len(w)):
+            for g, n in Counter(p - j for j, x in enumerate(a) for p in where[x]).items():
+                if n < 5:  # a seed takes five equal words
+                    continue
                 same = [0 <= g + j < len(w) and w[g + j] == x for j, x in enumerate(a)]
                 seed = any(all(q + o < len(a) and same[q + o] for o in m) for q in range(len(a)) for m in D.MASKS)
                 best = max(sum(same[s:s + width]) for s in range(len(a) - width + 1))
