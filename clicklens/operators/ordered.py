@@ -90,7 +90,7 @@ def with_previous(df: DataFrame, value: Column | str, order_col: str, out_col: s
     b = range_buckets(df.withColumn(value_col, v), order_col, n_buckets)
     w = Window.partitionBy(BUCKET).orderBy(order_col)
     b = b.withColumn("__prev_in", F.lag(value_col).over(w)).withColumn("__pos", F.row_number().over(w))
-    last = b.groupBy(BUCKET).agg(F.max_by(F.col(value_col), F.col(order_col)).alias("__last"))
+    last = b.groupBy(BUCKET).agg(F.max_by(F.col(value_col), F.struct(order_col)).alias("__last"))
     carry = last.select(BUCKET, F.lag("__last").over(Window.orderBy(BUCKET)).alias("__carry"))
     out = b.join(F.broadcast(carry), BUCKET, "left")
     prev = F.when(F.col("__pos") == 1, F.col("__carry")).otherwise(F.col("__prev_in"))
