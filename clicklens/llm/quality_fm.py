@@ -87,14 +87,20 @@ class Model:
         return out
 
 
+def draw(rows: DataFrame, share: float) -> DataFrame:
+    """About ``share`` of the rows, by a hash of id and text in 63 bits, so that small shares aren't rounded."""
+    if share >= 1:
+        return rows
+    row = F.xxhash64(F.lit(7), *[c for c in ("doc_id", "text") if c in rows.columns])  # copies of a text have ids of their own
+    return rows.where(F.shiftrightunsigned(row, 1) < F.lit(int(share * (1 << 63))))
+
+
 def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> Model:
     """Fits on rows with text, n_chars and a 0/1 ``label``."""
     rows = labelled.where("label IN (0, 1)")
     n = rows.count()
     share = min(1.0, max_rows / max(n, 1))
-    row = F.xxhash64(F.lit(7), *[c for c in ("doc_id", "text") if c in rows.columns])  # copies of a text have ids of their own
-    drawn = rows.where(F.pmod(row, F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
-    sample = materialize(with_features(drawn.select("text", "n_chars", F.col("label").cast("double").alias("label"))).select("features", "label"), "fm-train")
+    sample = materialize(with_features(draw(rows, share).select("text", "n_chars", F.col("label").cast("double").alias("label"))).select("features", "label"), "fm-train")
     classes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(classes) < 2:
         return Model(0.0, np.zeros(0), np.zeros((0, 0)), next(iter(classes), 0.5))

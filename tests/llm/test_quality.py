@@ -43,3 +43,10 @@ def test_edges(spark):
     assert {r.score for r in one.collect()} == {1.0}
     assert {r.score for r in Q.query(docs, labels.where("false")).collect()} == {0.5}
     assert Q.query(docs.where("false"), labels).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.9 / (1 << 20), 1.9 / (1 << 20), 0.01])
+def test_small_shares_are_drawn_whole(spark, share):
+    n = 1 << 26
+    want = share * n
+    assert abs(Q.draw(spark.range(n).withColumnRenamed("id", "doc_id"), share).count() - want) < 4 * np.sqrt(want)
