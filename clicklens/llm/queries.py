@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clicklens.llm import (
+    ball_tree,
     decontam,
     embed_pca,
     langid_kn,
+    pack_ga,
     quality_fm,
+    runs_recompression,
     sentencepiece_sa,
     simhash_bk,
     suffix_pfp,
@@ -64,8 +67,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_kn.query(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.query(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_ga.query(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_recompression.query(table(spark, sf_dir, "documents"))
+
+
 _ALL = (op1_quality_classifier, op2_sentencepiece, op3_warc, op4_embedding_near_dedup, op5_url_filter, op6_decontamination,
-        op7_token_index, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_language_id)
+        op7_token_index, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_language_id, op11_ranked_search,
+        op12_best_fit_packing, op13_periodic_runs)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLE: dict[str, str] = {"op3_warc": warc_cas.ORACLE, "op6_decontamination": decontam.ORACLE}
+ORACLE: dict[str, str] = {"op3_warc": warc_cas.ORACLE, "op6_decontamination": decontam.ORACLE,
+                          "op11_ranked_search": ball_tree.ORACLE}
