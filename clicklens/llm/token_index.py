@@ -27,87 +27,26 @@ ordered by text; their key finds them all. No documents: no shards, no parts.
 from __future__ import annotations
 
 import io
-import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import materialize, slices, small_batches
+from clicklens.llm.common import materialize, small_batches
 from clicklens.llm.files import make_folder, opened, read_file, write_file
+from clicklens.llm.word_ids import WordEncoder
 from clicklens.session import scratch_path
 
 NULL_KEY = -(1 << 63)
 PART = 500_000
-# Characters encoded at a time, and words kept in a task's cache.
-BATCH, CACHE = 1 << 20, 400_000
-# A control character that stands between words encoded together, and how many are.
-MARK, JOINED = "\x01", 300
-SPECIAL, STOPS = b"<|", b".,;:!?"
-
-
-# -- encoding ---------------------------------------------------------------
-
-def id_type(vocab_size: int) -> str:
-    return "<u2" if vocab_size <= 1 << 16 else "<u4"
-
-
-class WordEncoder:
-    """The tokenizers library, asked once for each distinct word.
-
-    The pre-tokenizer drops white space and never reaches over it, and the
-    normalizer composes no character with a blank, so a text's ids are those of
-    its blank-separated words in turn. Only ASCII blanks are used for that.
-    """
-
-    def __init__(self, tokenizer_json: str) -> None:
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.kind = id_type(self.tokenizer.get_vocab_size())
-        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.cache: dict[bytes, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned integers of type ``kind``."""
-        out: list[bytes] = []
-        for a, b in slices(texts, BATCH):
-            # bytes split at ASCII blanks, and fold ASCII letters, only; the normalizer folds them too,
-            # but looks for special tokens before that
-            raw = [(t or "").encode() for t in texts[a:b]]
-            words = [(x if SPECIAL in x else x.lower()).split() for x in raw]
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            self._learn(set().union(*words).difference(self.cache))
-            out += [b"".join(map(self.cache.__getitem__, ws)) for ws in words]
-        return out
-
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Many words in one call: a mark between them, a word of its own with one id, shows where each ends."""
-        # a word and the stops behind it are apart for the pre-tokenizer
-        core = {w: c for w in words if (c := w.rstrip(STOPS)) != w and c[-1:].isalnum()}
-        words = list(words.difference(core).union(w[len(c):] for w, c in core.items()).union(core.values()).difference(self.cache))
-        plain = [w for w in words if MARK.encode() not in w] if len(self.mark) == 1 else []
-        parts = [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
-        texts = [f" {MARK} ".encode().join(p).decode() for p in parts]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, self.kind)
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(part) - 1:
-                raise ValueError("the tokenizer doesn't keep words apart")
-            flat, n, edges = ids.tobytes(), ids.itemsize, [-1, *cuts.tolist(), len(ids)]
-            self.cache.update((w, flat[n * a + n:n * z]) for w, a, z in zip(part, edges[:-1], edges[1:], strict=True))
-        for w in words:
-            if w not in self.cache:
-                self.cache[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-        self.cache.update((w, self.cache[c] + self.cache[w[len(c):]]) for w, c in core.items())
+# Bytes of ids sent back at a time.
+BATCH = 1 << 20
 
 
 # -- minimal perfect hash ---------------------------------------------------
@@ -180,28 +119,26 @@ def _part_of(key: str, n_parts: int) -> Column:
 
 
 def _write_shards(folder: str, tokenizer_json: str, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordEncoder(tokenizer_json)
         end = np.array([end_id], encode.kind).tobytes()
         shard = TaskContext.get().partitionId()
         path, stream = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}", None
         begins, row = [np.zeros(1, np.int64)], 0
         for part in batches:
-            if not len(part):
+            n = part.num_rows
+            if not n:
                 continue
             if stream is None:
                 system, inner = opened(path)
                 stream = system.open_output_stream(inner)
-            sizes = np.empty(len(part), np.int64)
-            texts = part["text"].tolist()
-            for a, b in slices(texts, BATCH):
-                ids = [x + end for x in encode(texts[a:b])]
-                sizes[a:b] = [len(x) // len(end) for x in ids]
-                stream.write(b"".join(ids))
+            ids = [x + end for x in encode(part.column(1))]
+            sizes = np.fromiter(map(len, ids), np.int64, n) // len(end)
+            stream.write(b"".join(ids))
             begins.append(begins[-1][-1] + np.cumsum(sizes))
-            yield pd.DataFrame({"shard": shard, "file": path, "key": part["key"], "row": np.arange(row, row + len(part)),
-                                "n_ids": sizes})
-            row += len(part)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array([path] * n), part.column(0),
+                                              pa.array(np.arange(row, row + n)), pa.array(sizes)], ["shard", "file", "key", "row", "n_ids"])
+            row += n
         if stream is not None:
             stream.write(np.concatenate(begins).astype("<u8").tobytes() + np.array([row], "<u8").tobytes())
             stream.close()
@@ -240,8 +177,9 @@ def write_store(docs: DataFrame, tokenizer_json: str, end_id: int) -> TokenStore
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     make_folder(folder)
-    ordered = (small_batches(docs).select(key_of().alias("key"), "text").repartitionByRange(max(1, docs.rdd.getNumPartitions()), "key").sortWithinPartitions("key", "text"))
-    rows = materialize(ordered.mapInPandas(_write_shards(folder, tokenizer_json, end_id),
+    ordered = (small_batches(docs).select(key_of().alias("key"), "text")
+               .repartitionByRange(max(1, docs.rdd.getNumPartitions()), "key").sortWithinPartitions("key", "text"))
+    rows = materialize(ordered.mapInArrow(_write_shards(folder, tokenizer_json, end_id),
                                            "shard int, file string, key long, row long, n_ids long"), "token-rows")
     shards = rows.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_ids").alias("n_ids"))
     # one row a shard: the running sum is over files, not documents
@@ -292,8 +230,9 @@ def lookup(keys: DataFrame, store: TokenStore) -> DataFrame:
 def read_ids(places: DataFrame, store: TokenStore) -> DataFrame:
     """(key, shard, row, n_rows) -> one row a document: key, start over all shards, ids (as
     little-endian unsigned 32-bit integers)."""
+    # rows are small, so tasks are counted by the shards they read
     at = (places.join(store.shards.select("shard", "file", "base"), "shard")
-          .repartition("file").sortWithinPartitions("file", "row"))
+          .repartition(max(1, store.shards.count()), "file").sortWithinPartitions("file", "row"))
 
     kind, width = store.kind, np.dtype(store.kind).itemsize
 
