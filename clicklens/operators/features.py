@@ -16,18 +16,22 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (FeatureHasher, Imputer, OneHotEncoder, StringIndexer,
-                                StringIndexerModel, VectorAssembler)
+from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.operators import vocab as V
+from clicklens.operators import wide
 from clicklens.schema import INDEX_SUFFIX, STASHED_SUFFIX, VECTOR_SUFFIX
+from clicklens.sources.io import written
 
-# Label arrays above this size are not pulled to the driver for Spark ML
-# vectors; use the long form (or the hashed features) instead.
-MAX_DRIVER_LABELS = 5_000_000
+# Up to this many labels the vectors come from Spark ML stages, which hold the
+# labels on the driver; beyond it they are built from a label join.
+NARROW_LABELS = 200_000
+
+# Texts of the two label classes.
+LABEL_CLASSES = {0.0: ["0", "0.0", "false"], 1.0: ["1", "1.0", "true"]}
 
 
 @dataclass
@@ -67,14 +71,11 @@ class StashEncoderModel:
         return joined.select(key, "col_name", "slot", "feature", F.lit(1.0).alias("value"))
 
     def label_arrays(self) -> list[list[str]]:
-        """Labels per column in index order (driver side, size checked,
-        collected once per fitted model)."""
+        """Labels per column in index order, on the driver, collected once per
+        fitted model: for Spark ML stages of narrow encoders."""
         cached = getattr(self, "_label_arrays", None)
         if cached is not None:
             return cached
-        total = sum(self.kept_sizes.values()) + len(self.cols)
-        if total > MAX_DRIVER_LABELS:
-            raise ValueError(f"{total} labels exceed the driver cap; use long_form or hashing")
         rows = self.labels.select("col_name", "label", "idx").collect()
         by = {c: [] for c in self.cols}
         for r in rows:
@@ -105,8 +106,14 @@ class StashEncoderModel:
         return cache[layout]
 
     def transform(self, df: DataFrame, output_col: str = "features",
-                  extra_inputs: Sequence[str] = (), keep_stashed: bool = False) -> DataFrame:
-        """Stash + index + one-hot + assemble; intermediate columns dropped."""
+                  extra_inputs: Sequence[str] = (), keep_stashed: bool = False,
+                  keys: Sequence[str] | None = None) -> DataFrame:
+        """Stash + index + one-hot + assemble; intermediate columns dropped.
+
+        Encoders with many labels go through :meth:`wide_vectors` (``keys`` as there).
+        """
+        if not keep_stashed and sum(self.kept_sizes.values()) > NARROW_LABELS:
+            return self.wide_vectors(df, keys, output_col, extra_inputs).drop(*self.cols)
         stashed = self.stash(df)
         model = self.ml_pipeline(stashed, output_col, extra_inputs)
         out = model.transform(stashed)
@@ -116,19 +123,50 @@ class StashEncoderModel:
         return out.drop(*drop)
 
 
+    def written_labels(self) -> DataFrame:
+        """The label table, written once per fitted model."""
+        if "_written" not in self.__dict__:
+            self._written = written(self.labels, "labels")
+        return self._written
+
+    def wide_vectors(self, df: DataFrame, keys: Sequence[str] | None = None, output_col: str = "features",
+                     extra_inputs: Sequence[str] = ()) -> DataFrame:
+        """F5/F6 for any number of labels: the vectors of :meth:`transform`, slots joined to the rows.
+
+        Kept values meet the label table in one join of narrow rows; a value without a slot takes its
+        column's stash slot. One row a column (the stash slots) and the width reach the driver, no label
+        does. ``keys`` tell rows apart; without them the frame is written with a row number. The input
+        columns stay.
+        """
+        labels = self.written_labels()
+        stash = V.stash_text_by_column(self.stash_values, {c: df.schema[c].dataType for c in self.cols})
+        own = {r["col_name"]: r["slot"] for r in labels.where(F.col("label") == stash).select("col_name", "slot").collect()}
+        width = labels.count()
+        frame = df if keys else wide.numbered(df)
+        found = wide.label_slots(frame, list(keys or [wide.ROW]), self.cols,
+                                 labels.select("col_name", F.col("label").alias("value"), "slot"), width, wide.hot_pairs(self.vocab))
+        slots = [F.coalesce(F.col(f"__slot{i}"), F.lit(own.get(c)).cast("int")) for i, c in enumerate(self.cols)]
+        if not self.null_to_stash:
+            slots = [F.when(F.col(c).isNotNull(), s) for c, s in zip(self.cols, slots)]
+        numbers = [F.col(c) for c in extra_inputs]
+        return wide.sparse_vectors(found, numbers, slots, width, output_col).drop(wide.ROW)
+
+
 class StashEncoder:
-    """Fit the vocabulary once; thresholds strictly greater are kept."""
+    """Fit the vocabulary once; counts strictly above the threshold (or above ``share`` of the rows) are kept."""
 
     def __init__(self, cols: Sequence[str], threshold, sentinels: Mapping[str, int] | None = None,
-                 broadcast_cap: int = V.DEFAULT_BROADCAST_CAP, null_to_stash: bool = True):
+                 broadcast_cap: int = V.DEFAULT_BROADCAST_CAP, null_to_stash: bool = True,
+                 share: float | None = None):
         self.cols = list(cols)
         self.threshold = threshold
         self.sentinels = dict(sentinels or {})
         self.broadcast_cap = broadcast_cap
         self.null_to_stash = null_to_stash
+        self.share = share
 
     def fit(self, df: DataFrame) -> StashEncoderModel:
-        vocab, sizes = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels, with_sizes=True)
+        vocab, sizes = V.fit_vocabulary(df, self.cols, self.threshold, self.sentinels, with_sizes=True, share=self.share)
         stash_values = {c: V.stash_value(df, c, self.sentinels.get(c)) for c in self.cols}
         labels = V.stash_labels(vocab, self.cols, stash_values, self.null_to_stash, sizes=sizes,
                                 types={c: df.schema[c].dataType for c in self.cols})
@@ -222,9 +260,12 @@ def impute_numeric(df: DataFrame, cols: Sequence[str], sentinel=-1, flag_suffix:
 
 
 def label_index(df: DataFrame, label: str, output_col: str = "label") -> DataFrame:
-    """label to 0.0 / 1.0 with alphabetical order so class 1 is always
-    "clicked" whatever the class balance; an unseen label is an error."""
-    text = df.withColumn("__label_text", F.col(label).cast("string"))
-    indexer = StringIndexer(inputCol="__label_text", outputCol=output_col,
-                            stringOrderType="alphabetAsc", handleInvalid="error")
-    return indexer.fit(text).transform(text).drop("__label_text")
+    """label to 0.0 / 1.0 by a fixed mapping of its text (``LABEL_CLASSES``), so class 1
+    is always "clicked", whatever classes the data hold. Another label, null included, is an
+    error when the rows are computed."""
+    text = F.lower(F.col(label).cast("string"))
+    index = F.lit(None).cast("double")
+    for value, names in LABEL_CLASSES.items():
+        index = F.when(text.isin(names), F.lit(value)).otherwise(index)
+    bad = F.raise_error(F.concat(F.lit(f"no class for the label in {label}: "), F.coalesce(text, F.lit("null"))))
+    return df.withColumn(output_col, F.coalesce(index, bad.cast("double")))

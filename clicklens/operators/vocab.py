@@ -4,10 +4,10 @@ F10, F11, A18).
 Plan shape: all columns are unpivoted in one projection and counted by one
 ``groupBy(column, value)``, so the fact table is scanned once and the shuffle
 carries partial counts only (map-side combine absorbs hot values such as
-null). The keep list is applied with one equi-join per column; the join is
-broadcast only after the kept-value count of that column has been checked
-against a cap, and otherwise runs as a shuffle join whose null keys are
-spread over salt buckets so they cannot pile into one task.
+null). A short keep list is a set in the plan, a longer one a broadcast join
+after its number of values has been checked against a cap; all columns with
+longer lists share one shuffle of the table (``operators.wide``). A written
+vocabulary holds the kept values and one total of the others a column.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clicklens.operators import heavy, wide
 from clicklens.schema import STASH_PREFIX, STASHED_SUFFIX, VECTOR_SUFFIX
 from clicklens.sources.io import written
 
@@ -30,8 +31,6 @@ TOTAL_BROADCAST_CAP = 2_000_000
 # such columns) and tested with ``isin`` (a hash set in the plan): no join and
 # no broadcast job per column.
 INSET_CAP = 200
-# Null keys of a shuffle join are spread over this many salt values a shuffle partition.
-NULL_SALTS_PER_PARTITION = 4
 
 
 def _literal_map(values: Mapping) -> Column:
@@ -103,14 +102,17 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
                 drop_input: bool = True,
                 sizes: Mapping[str, int] | None = None,
                 null_to_stash: bool = True,
-                inset_cap: int = INSET_CAP) -> DataFrame:
+                inset_cap: int = INSET_CAP,
+                keys: Sequence[str] | None = None) -> DataFrame:
     """F1/F2 apply step: ``<col>_t`` = value if kept, else the stash value.
 
     Null is stashed by default, as in the reference (``x IN (...)`` is
     never true for null); ``null_to_stash=False`` leaves null as null (the
-    indexer's invalid bucket, i.e. no active slot). One left equi-join per
-    column against that column's keep list, except for short keep lists
-    (at most ``inset_cap`` values), which are tested with ``isin``.
+    indexer's invalid bucket, i.e. no active slot). Keep lists of at most
+    ``inset_cap`` values are tested with ``isin``, longer ones by a broadcast
+    join each, and all beyond ``broadcast_cap`` together in one shuffle.
+    ``keys`` tell rows apart in that shuffle; without them the frame is
+    written once with a row number.
     """
     sizes = dict(sizes) if sizes is not None else kept_counts(vocab)
     inset_cols = [c for c in cols if sizes.get(c, 0) <= inset_cap]
@@ -127,32 +129,31 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
         if size <= broadcast_cap and size <= budget:
             broadcast_cols.add(c)
             budget -= size
-    out = df
+    out, flags = df, {}
+    wide_cols = [c for c in cols if c not in inset_values and c not in broadcast_cols]
+    if wide_cols:
+        own = vocab.filter(F.col("col_name").isin(wide_cols))
+        out = df if keys else wide.numbered(df)
+        out, found = wide.kept_flags(out, list(keys or [wide.ROW]), wide_cols, own.filter("kept"),
+                                     sum(sizes.get(c, 0) for c in wide_cols), wide.hot_pairs(own))
+        flags = dict(zip(wide_cols, found))
     keeps = []
     for i, c in enumerate(cols):
         kname = f"__keep{i}"
-        if c in inset_values:
+        if c not in broadcast_cols:
             keeps.append(None)
             continue
         keep = (vocab.filter(F.col("kept") & (F.col("col_name") == c))
                 .select(F.col("value").alias(kname)))
         key = F.col(c).cast("string")
-        if c in broadcast_cols:
-            out = out.join(F.broadcast(keep), key == F.col(kname), "left")
-        else:
-            # Shuffle join: nulls can never match, so give them salted keys that
-            # cannot occur in the keep list instead of one hot null partition.
-            salts = NULL_SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-            salt = F.pmod(F.xxhash64(*[F.col(x) for x in df.columns]), F.lit(salts))
-            jk = F.coalesce(key, F.concat(F.lit("\u0000null#"), salt.cast("string")))
-            out = out.withColumn("__jk", jk).join(keep.hint("merge"), F.col("__jk") == F.col(kname), "left").drop("__jk")
+        out = out.join(F.broadcast(keep), key == F.col(kname), "left")
         keeps.append(kname)
     # one projection for all columns (instead of a withColumn/drop per column)
     stashed = []
     for c, kname in zip(cols, keeps):
         dtype = df.schema[c].dataType
         if kname is None:
-            kept = in_list(c, inset_values[c])
+            kept = flags[c] if c in flags else in_list(c, inset_values[c])
             value = F.when(kept, F.col(c))
         else:
             value = F.when(F.col(kname).isNotNull(), F.col(c))
@@ -168,6 +169,11 @@ def stash_text(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype).cast("string")
 
 
+def stash_text_by_column(stash_values: Mapping[str, object], types: Mapping[str, T.DataType]) -> Column:
+    """The stash value of the column named in ``col_name``, as its column shows it."""
+    return _literal_map({c: stash_text(v, types[c]) for c, v in stash_values.items()})[F.col("col_name")]
+
+
 def vocabulary_stats(vocab: DataFrame, stashes: Mapping[str, object] | None = None) -> dict:
     """Kept-value count per column, and D14 (a stash value that already occurs in
     its column raises), from one aggregate with one row per column. ``stashes``
@@ -186,17 +192,25 @@ def vocabulary_stats(vocab: DataFrame, stashes: Mapping[str, object] | None = No
 
 def fit_vocabulary(df: DataFrame, cols: Sequence[str], threshold,
                    sentinels: Mapping[str, int] | None = None, *,
-                   with_sizes: bool = False):
-    """Vocabulary written once, so the size check and the joins share it.
-
-    With ``with_sizes`` also returns the kept count per column (the same
-    one-row-per-column job that checks the stash values: ``stash_<col>`` of
+                   with_sizes: bool = False, share: float | None = None):
+    """Kept values with their counts, and the other rows as one total a column (nulls
+    apart), written once, so the size check and the joins share them.
+
+    With ``share`` (of the rows) instead of ``threshold``, candidates come from a
+    heavy-hitter sketch and only they are counted by value; a share too small for a
+    sketch becomes a count. With ``with_sizes`` also returns the kept count per column
+    (the same one-row-per-column job that checks the stash values: ``stash_<col>`` of
     string columns, the sentinels of others).
     """
-    vocab = written(vocabulary(df, cols, threshold), "vocabulary")
     sentinels = dict(sentinels or {})
     stashes = {c: stash_text(stash_value(df, c, sentinels.get(c)), df.schema[c].dataType) for c in cols
                if c in sentinels or isinstance(df.schema[c].dataType, T.StringType)}
+    if share is not None and heavy.sketch_items(share):
+        vocab = heavy.heavy_vocabulary(df, cols, share, stashes)
+    else:
+        counts = vocabulary(df, cols, share_threshold(df, share) if share is not None else threshold)
+        vocab = heavy.compacted(counts, _literal_map(stashes)[F.col("col_name")] if stashes else F.lit(None).cast("string"))
+    vocab = written(vocab, "vocabulary")
     sizes = vocabulary_stats(vocab, stashes)
     return (vocab, sizes) if with_sizes else vocab
 
@@ -205,18 +219,20 @@ def stash_rare(df: DataFrame, cols: Sequence[str], threshold, *,
                sentinels: Mapping[str, int] | None = None,
                vocab: DataFrame | None = None,
                broadcast_cap: int = DEFAULT_BROADCAST_CAP,
-               drop_input: bool = True) -> DataFrame:
+               drop_input: bool = True, share: float | None = None,
+               keys: Sequence[str] | None = None) -> DataFrame:
     """F1 (strings) and F2 (numerics with sentinels) in one call.
 
-    ``vocab`` may come from a different frame (fit on train, apply to test).
+    ``vocab`` may come from a different frame (fit on train, apply to test);
+    ``share`` stands for ``threshold``, see :func:`fit_vocabulary`.
     """
     sentinels = dict(sentinels or {})
     sizes = None
     if vocab is None:
-        vocab, sizes = fit_vocabulary(df, cols, threshold, sentinels, with_sizes=True)
+        vocab, sizes = fit_vocabulary(df, cols, threshold, sentinels, with_sizes=True, share=share)
     values = {c: stash_value(df, c, sentinels.get(c)) for c in cols}
     return apply_stash(df, vocab, cols, values, broadcast_cap=broadcast_cap, drop_input=drop_input,
-                       sizes=sizes)
+                       sizes=sizes, keys=keys)
 
 
 # Above this many kept labels in one column, the label order is computed by
