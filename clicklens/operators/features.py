@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from clicklens.operators import vocab as V
 from clicklens.operators import wide
 from clicklens.schema import INDEX_SUFFIX, STASHED_SUFFIX, VECTOR_SUFFIX
-from clicklens.sources.io import written
+from clicklens.sources.io import table_from_rows, written
 
 # Up to this many labels the vectors come from Spark ML stages, which hold the
 # labels on the driver; beyond it they are built from a label join.
@@ -217,6 +217,49 @@ def hash_features(df: DataFrame, cols: Sequence[str], num_features: int = 1 << 1
     return hasher.transform(df)
 
 
+def slot_dictionary(df: DataFrame, cols: Sequence[str], num_features: int = 1 << 18,
+                    categorical_cols: Sequence[str] = (), numeric_as_category: bool = False) -> DataFrame:
+    """the slot of every feature of :func:`hash_features`, from the hasher itself.
+
+    The distinct ``column=value`` pairs (numeric columns: the column) become rows that hold that one
+    value, and are hashed like the data. Output: ``slot, feature, col_name, value, n`` (n: rows).
+    """
+    types = {c: df.schema[c].dataType for c in cols}
+    as_text = [c for c in cols if c in set(categorical_cols) or isinstance(types[c], (T.StringType, T.BooleanType))
+               or numeric_as_category]
+    by_name = [c for c in cols if c not in set(as_text)]
+    counts = V.value_counts(df, as_text).where("value is not null") if as_text else None
+    if by_name:
+        one = df.agg(*[F.count(c).alias(c) for c in by_name]).unpivot([], by_name, "col_name", "n")
+        names = one.select("col_name", F.lit(None).cast("string").alias("value"), "n")
+        counts = counts.unionByName(names) if counts is not None else names
+    held = [F.when(F.col("__c") == c, F.col("__v").cast(types[c]) if c in as_text else F.lit(1).cast(types[c])).alias(c) for c in cols]
+    rows = counts.select(F.col("col_name").alias("__c"), F.col("value").alias("__v"), F.col("n").alias("__n")).select("*", *held)
+    hashed = hash_features(rows, cols, num_features, categorical_cols, numeric_as_category, "__x")
+    feature = F.concat(F.col("__c"), F.coalesce(F.concat(F.lit("="), F.col("__v")), F.lit("")))
+    return hashed.select(F.unwrap_udt("__x")["indices"][0].alias("slot"), feature.alias("feature"), F.col("__c").alias("col_name"),
+                         F.col("__v").alias("value"), F.col("__n").alias("n"))
+
+
+def slot_collisions(dictionary: DataFrame) -> DataFrame:
+    """slots of :func:`slot_dictionary` that several features share. Output: ``slot, features, rows``."""
+    per = dictionary.groupBy("slot").agg(F.count(F.lit(1)).cast("bigint").alias("features"), F.sum("n").cast("bigint").alias("rows"))
+    return per.filter(F.col("features") > 1)
+
+
+def hashed_weights(coefficients: Sequence[tuple[int, float]], dictionary: DataFrame) -> DataFrame:
+    """Weights of a hashed model with the names behind their slots.
+
+    ``coefficients`` are (slot, weight) of the weights that aren't zero, at most the hash width.
+    Output: ``slot, coeff, feature, features`` (how many share the slot); one row a feature.
+    """
+    spark = dictionary.sparkSession
+    weights = table_from_rows(spark, list(coefficients), "slot int, coeff double")
+    shared = dictionary.groupBy("slot").agg(F.count(F.lit(1)).cast("bigint").alias("features"))
+    return (weights.join(dictionary.select("slot", "feature"), "slot", "left").join(shared, "slot", "left")
+            .select("slot", "coeff", "feature", "features"))
+
+
 def levels(df: DataFrame, col: str, most: int = 1000) -> list:
     """Distinct non-null values in order; more than ``most`` raises, as each becomes a column."""
     found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(most + 1).collect()]

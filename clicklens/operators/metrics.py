@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.functions.scalar import LOG_EPSILON, log_loss_clipped, log_loss_eps
-from clicklens.operators.ordered import BUCKET, range_buckets, with_previous
+from clicklens.operators.ordered import BUCKET, order_keys, range_buckets, with_previous
 
 
 def confusion_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """A16 + A17 in one pass: TP, TN, FP, FN, positives, negatives, and
     precision / recall in percent (null when the denominator is 0).
 
-    Counts follow ``COUNT(prediction) ... WHERE`` of the reference: rows with
-    a null prediction are not counted.
+    A row without a prediction is in none of the four counts; ``positives`` and
+    ``negatives`` count all rows with that label.
     """
     y = F.col(label).cast("int")
     p = F.col(prediction).cast("int")
@@ -64,7 +64,7 @@ def residuals(scored: DataFrame, label: str = "label", score: str = "prob") -> D
     return scored.withColumn("residual", F.col(label).cast("double") - F.col(score).cast("double"))
 
 
-def durbin_watson(scored: DataFrame, order_col: str, label: str = "label", score: str = "prob",
+def durbin_watson(scored: DataFrame, order_col: str | list[str], label: str = "label", score: str = "prob",
                   n_buckets: int | None = None) -> DataFrame:
     """sum((e_t - e_{t-1})^2) / sum(e_t^2), e = label - score, rows in
     ``order_col`` order (an explicit key; Spark output has no row order).
@@ -72,7 +72,7 @@ def durbin_watson(scored: DataFrame, order_col: str, label: str = "label", score
     Output: ``rows, dw``.
     """
     e = F.col(label).cast("double") - F.col(score).cast("double")
-    prev = with_previous(scored.select(order_col, e.alias("__e")), "__e", order_col, "__e_prev",
+    prev = with_previous(scored.select(*order_keys(order_col), e.alias("__e")), "__e", order_col, "__e_prev",
                          n_buckets=n_buckets)
     diff2 = F.pow(F.col("__e") - F.col("__e_prev"), 2)
     return prev.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),

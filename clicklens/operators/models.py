@@ -70,12 +70,15 @@ def train_lr(train: DataFrame, features_col: str = "features", label_col: str =
 
 def train_rf(train: DataFrame, features_col: str = "features", label_col: str = "label", *,
              num_trees: int = RF_TREES, max_depth: int = RF_DEPTH, max_bins: int = RF_BINS,
-             seed: int = 1, checkpoint_interval: int = 10) -> RandomForestClassificationModel:
+             seed: int = 1, checkpoint_interval: int = 10, bootstrap: bool = True,
+             feature_subset: str = "auto") -> RandomForestClassificationModel:
     """M2: random forest. Node-id caching with checkpoints to the shared
-    checkpoint folder keeps deep lineages short."""
+    checkpoint folder keeps deep lineages short. One tree without ``bootstrap``
+    over ``feature_subset="all"`` is the exact histogram split search."""
     ensure_checkpoint_dir(train.sparkSession)
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
-                                maxDepth=max_depth, maxBins=max_bins, seed=seed,
+                                maxDepth=max_depth, maxBins=max_bins, seed=seed, bootstrap=bootstrap,
+                                featureSubsetStrategy=feature_subset,
                                 cacheNodeIds=True, checkpointInterval=checkpoint_interval)
     data, _ = _training_frame(train, features_col, label_col, True)
     try:
@@ -157,6 +160,24 @@ def grid_search(train: DataFrame, features_col: str = "features", label_col: str
     return fitted, table
 
 
+def fit_grid(train: DataFrame, test: DataFrame, candidates: Sequence[tuple[dict, object]],
+             label_col: str = "label") -> DataFrame:
+    """M13 for any learner: estimators (with their parameters as a dict) fitted on one shared
+    training frame and scored on one test frame by area under ROC.
+
+    Both frames are encoded and split by the caller, once, and kept while the grid runs.
+    Output: the parameters, ``auroc``; one row a candidate.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    frames = [f.withColumn(label_col, F.col(label_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK) for f in (train, test)]
+    try:
+        rows = [(*params.values(), evaluator_auroc(est.fit(frames[0]).transform(frames[1]), label_col)) for params, est in candidates]
+    finally:
+        for f in frames:
+            f.unpersist()
+    return train.sparkSession.createDataFrame(rows, [*candidates[0][0], "auroc"])
+
+
 def evaluator_auroc(scored: DataFrame, label_col: str = "label", raw_col: str = "rawPrediction") -> float:
     """A19 through Spark ML (binned curve); the exact rank-sum form is
     ``metrics.auroc``."""

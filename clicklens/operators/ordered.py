@@ -9,20 +9,30 @@ carried over a table with one row per range.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clicklens.sources.io import written
 
 BUCKET = "__bucket"
 
 
+def order_keys(order_col: str | Sequence[str]) -> list[str]:
+    """One column or several (the later ones break ties)."""
+    return [order_col] if isinstance(order_col, str) else list(order_col)
+
+
 def _bucket_count(df: DataFrame, n_buckets: int | None) -> int:
     if n_buckets:
         return int(n_buckets)
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
+def range_buckets(df: DataFrame, order_col: str | Sequence[str], n_buckets: int | None = None,
                   accuracy: int = 10000, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add ``__bucket`` (int): contiguous, ordered ranges of ``order_col``.
 
@@ -33,8 +43,19 @@ def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     key first (as the AUROC plan does) when one value may be hot. Rows
     with a null key form a range of their own before all others (-1), as
     Spark sorts them.
+
+    Keys of other types (dates, texts) and keys of several columns are cut at bounds
+    that Spark samples from the keys themselves (``repartitionByRange``); the frame is
+    written with its ranges, as a second sampling could cut elsewhere. A tie-break
+    column spreads a hot first key over ranges.
     """
     n = _bucket_count(df, n_buckets)
+    keys = order_keys(order_col)
+    if len(keys) > 1 or not isinstance(df.schema[keys[0]].dataType, T.NumericType):
+        if n <= 1:
+            return df.withColumn(BUCKET, F.lit(0))
+        return written(df.repartitionByRange(n, *keys).withColumn(BUCKET, F.spark_partition_id()), "ranges")
+    order_col = keys[0]
     if n <= 1:
         return df.withColumn(BUCKET, F.when(F.col(order_col).isNull(), -1).otherwise(0))
     qs = [i / n for i in range(1, n)]
@@ -49,7 +70,7 @@ def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     return out.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(-1))).drop(tmp)
 
 
-def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None = None,
+def forward_fill(df: DataFrame, col: str, order_col: str | Sequence[str], out_col: str | None = None,
                  partition_cols: list[str] | None = None, n_buckets: int | None = None) -> DataFrame:
     """Last non-null value of ``col`` up to each row in ``order_col`` order.
 
@@ -59,13 +80,13 @@ def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None =
     large share of the rows is still spread over all ranges.
     """
     out_col = out_col or col
-    keys = list(partition_cols or [])
-    b = range_buckets(df, order_col, n_buckets)
+    keys, order = list(partition_cols or []), order_keys(order_col)
+    b = range_buckets(df, order, n_buckets)
     within = F.last(col, ignorenulls=True).over(
-        Window.partitionBy(*keys, BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0))
+        Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     b = b.withColumn("__within", within)
     # one row per (key, range), all-null ranges included (they take the carry on)
-    last_set = F.max(F.when(F.col(col).isNotNull(), F.struct(F.col(order_col).alias("o"), F.col(col).alias("v"))))
+    last_set = F.max(F.when(F.col(col).isNotNull(), F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(col).alias("v"))))
     tail = b.groupBy(*keys, BUCKET).agg(last_set["v"].alias("__tail"))
     carry = tail.select(*keys, BUCKET, F.last("__tail", ignorenulls=True).over(
         Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
@@ -82,15 +103,16 @@ def forward_fill(df: DataFrame, col: str, order_col: str, out_col: str | None =
             .drop("__within", "__carry", BUCKET))
 
 
-def with_previous(df: DataFrame, value: Column | str, order_col: str, out_col: str,
+def with_previous(df: DataFrame, value: Column | str, order_col: str | Sequence[str], out_col: str,
                   value_col: str = "__value", n_buckets: int | None = None) -> DataFrame:
     """Add ``value`` of the previous row in ``order_col`` order (null for
     the first row), across range edges."""
     v = F.col(value) if isinstance(value, str) else value
-    b = range_buckets(df.withColumn(value_col, v), order_col, n_buckets)
-    w = Window.partitionBy(BUCKET).orderBy(order_col)
+    order = order_keys(order_col)
+    b = range_buckets(df.withColumn(value_col, v), order, n_buckets)
+    w = Window.partitionBy(BUCKET).orderBy(*order)
     b = b.withColumn("__prev_in", F.lag(value_col).over(w)).withColumn("__pos", F.row_number().over(w))
-    last = b.groupBy(BUCKET).agg(F.max_by(F.col(value_col), F.struct(order_col)).alias("__last"))
+    last = b.groupBy(BUCKET).agg(F.max_by(F.col(value_col), F.struct(*order)).alias("__last"))
     carry = last.select(BUCKET, F.lag("__last").over(Window.orderBy(BUCKET)).alias("__carry"))
     out = b.join(F.broadcast(carry), BUCKET, "left")
     prev = F.when(F.col("__pos") == 1, F.col("__carry")).otherwise(F.col("__prev_in"))

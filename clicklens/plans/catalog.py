@@ -617,84 +617,244 @@ def q_lr_category_rate(spark, sf_dir):
         F.count(F.lit(1)).cast("bigint").alias("rows"), F.round(F.avg("prob"), 5).alias("prob"))
 
 
-def _onehot_job(spark, sf_dir):
-    return jobs.onehot_lr(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES, T, SENT)
+TRAIN_CUT = {share: int(round(share * (1 << split.HASH_BITS))) for share in (0.7, 0.8)}
+_CATS = list(IMP.categorical)
 
 
-@register("lr_onehot_metrics")
-def q_lr_onehot_metrics(spark, sf_dir):
-    """One-hot LR on the signal fixture; baseline, test losses,
-    confusion counts, precision, recall, AUROC (model output: rows only)."""
-    return _onehot_job(spark, sf_dir).metrics
+def _parts_sql(body: str, extra: str = "", share: float = 0.8) -> str:
+    return sq.signal_parts(TRAIN_CUT[share], jobs.SPLIT_SALT, body, extra)
 
 
-@register("lr_hashed_metrics")
-def q_lr_hashed_metrics(spark, sf_dir):
-    """LR on 2^18 hashed features (FeatureHasher)."""
-    return jobs.hashed_lr(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES,
-                          list(IMP.categorical)).metrics
+_JOB_ROWS = {
+    "onehot_lr": sq.job_row("onehot_lr", sq.width_sql(FEATURES, T)),
+    "hashed_lr": sq.job_row("hashed_lr", f"CAST({jobs.HASH_WIDTH} AS BIGINT)"),
+    "random_forest": sq.job_row("random_forest", f"{2 * len(NUMS)} + {sq.width_sql(_CATS, T)}"),
+}
+
+
+def _checked(m: DataFrame) -> DataFrame:
+    """A job's metrics as one row: counts, base rate and width as they are, and whether the model
+    learned (test loss below the baseline, area under ROC above one half)."""
+    def value(part: str, metric: str):
+        return F.max(F.when((F.col("split") == part) & (F.col("metric") == metric), F.col("value")))
+
+    one = m.groupBy("model").agg(
+        *[value("train", c).alias(c) for c in ("rows", "base_rate", "baseline_log_loss", "width")],
+        *[value("test", c).alias(f"test_{c}") for c in ("rows", "tp", "fn", "fp", "tn", "log_loss", "auroc")])
+    return one.select("model", F.col("rows").cast("bigint").alias("train_rows"), "base_rate", "baseline_log_loss",
+                      F.col("width").cast("bigint").alias("width"), F.col("test_rows").cast("bigint").alias("test_rows"),
+                      (F.col("test_tp") + F.col("test_fn")).cast("bigint").alias("positives"),
+                      (F.col("test_fp") + F.col("test_tn")).cast("bigint").alias("negatives"),
+                      ((F.col("test_log_loss") < F.col("baseline_log_loss")) & (F.col("test_auroc") > 0.5)).alias("learned"))
+
+
+def _onehot_fit(spark, sf_dir, cols=FEATURES, threshold=T, sentinels=SENT, **params):
+    return jobs.onehot_fit(fx.signal_impressions(spark, sf_dir), "id", "y", cols, threshold, sentinels, **params)
+
+
+def _hashed_job(spark, sf_dir):
+    return jobs.hashed_lr(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES, _CATS)
 
 
 def _rf_job(spark, sf_dir):
-    return jobs.random_forest(fx.signal_impressions(spark, sf_dir), "id", "y", NUMS,
-                              list(IMP.categorical), T)
+    return jobs.random_forest(fx.signal_impressions(spark, sf_dir), "id", "y", NUMS, _CATS, T)
 
 
-@register("rf_metrics")
+@register("lr_onehot_metrics", _parts_sql(_JOB_ROWS["onehot_lr"]))
+def q_lr_onehot_metrics(spark, sf_dir):
+    """One-hot LR on the signal fixture: baseline, width, test counts, and that it learned."""
+    return _checked(jobs.evaluated(_onehot_fit(spark, sf_dir), "id").metrics)
+
+
+@register("lr_hashed_metrics", _parts_sql(_JOB_ROWS["hashed_lr"]))
+def q_lr_hashed_metrics(spark, sf_dir):
+    """LR on 2^18 hashed features (FeatureHasher)."""
+    return _checked(_hashed_job(spark, sf_dir).metrics)
+
+
+@register("rf_metrics", _parts_sql(_JOB_ROWS["random_forest"], share=0.7))
 def q_rf_metrics(spark, sf_dir):
     """Random forest end to end: imputed numerics, oversampled clicks,
     40 trees of depth 5, clipped loss of P(click)."""
-    return _rf_job(spark, sf_dir).metrics
+    return _checked(_rf_job(spark, sf_dir).metrics)
 
 
-@register("lr_training_curve")
+@register("lr_training_curve", _parts_sql(
+    "SELECT 'onehot_lr' AS model, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS first_loss, true AS never_rises, true AS ends_lower "
+    "FROM (SELECT avg(CAST(y AS DOUBLE)) AS p FROM tr) t"))
 def q_lr_training_curve(spark, sf_dir):
-    """M7: objective per L-BFGS iteration of the one-hot LR."""
-    return models.training_curve(_onehot_job(spark, sf_dir).model, spark, "onehot_lr")
+    """M7: the objective of each L-BFGS iteration starts at the entropy of the base rate and never rises.
+    Nothing is scored for it."""
+    curve = models.training_curve(_onehot_fit(spark, sf_dir).model, spark, "onehot_lr")
+    # at most one entry an iteration
+    held = curve.groupBy("model").agg(F.array_sort(F.collect_list(F.struct("iteration", "loss")))["loss"].alias("loss"))
+    later = F.slice("loss", 2, F.size("loss") - 1)
+    rises = F.exists(F.zip_with(later, F.slice("loss", 1, F.size("loss") - 1), lambda b, a: b > a), lambda x: x)
+    return held.select("model", F.round(F.col("loss")[0], 6).alias("first_loss"), (~rises).alias("never_rises"),
+                       (F.element_at("loss", -1) < F.col("loss")[0]).alias("ends_lower"))
+
+
+REPORT_SHARE = 0.042
+
+
+def _rates_sql(kept: str) -> str:
+    """Click rate of each label of cat3 in the training split."""
+    return _parts_sql("SELECT feature, round(rate, 6) AS rate, true AS close, is_stash FROM "
+                      "(SELECT 'cat3v_' || label AS feature, avg(CAST(y AS DOUBLE)) AS rate, label = 'stash_cat3' AS is_stash "
+                      f"FROM (SELECT y, CASE WHEN cat3 IN (SELECT cat3 FROM tr GROUP BY cat3 HAVING {kept}) THEN cat3 ELSE 'stash_cat3' END AS label FROM tr) a "
+                      "GROUP BY label) b")
 
 
-@register("lr_coefficients")
+def _against_rates(fit, coef: DataFrame) -> DataFrame:
+    """Weights of one column's LR run to its end differ as the logits of its labels' click rates do."""
+    st = fit.encoder.stash(fit.train).groupBy(F.concat(F.lit("cat3v_"), F.col("cat3_t")).alias("feature")).agg(
+        F.avg(F.col("label").cast("double")).alias("rate"))
+    both = coef.join(st, "feature").withColumn("logit", F.log(F.col("rate") / (1 - F.col("rate"))))
+    first = both.agg(F.min_by("coeff", "feature").alias("c0"), F.min_by("logit", "feature").alias("l0"))
+    gap = F.abs((F.col("coeff") - F.col("c0")) - (F.col("logit") - F.col("l0")))
+    return both.join(F.broadcast(first)).select("feature", F.round("rate", 6).alias("rate"), (gap < 0.01).alias("close"),
+                                               F.col("feature").isin(STASH_NAMES).alias("is_stash"))
+
+
+@register("lr_coefficients", _rates_sql("count(*) > 0"))
 def q_lr_coefficients(spark, sf_dir):
-    """M8: fitted coefficients named through the vector metadata."""
-    res = _onehot_job(spark, sf_dir)
-    return models.coefficient_table(res.model, res.encoded_train)
+    """M8: fitted coefficients under their names; one column, no label stashed."""
+    fit = _onehot_fit(spark, sf_dir, ["cat3"], 0, None, max_iter=200, tol=1e-12)
+    return _against_rates(fit, models.coefficient_table(fit.model, fit.train_x))
 
 
-@register("lr_coefficient_report")
+@register("lr_coefficient_report", _rates_sql(f"count(*) > (SELECT CAST(floor(count(*) * {REPORT_SHARE}) AS BIGINT) FROM tr)"))
 def q_lr_coefficient_report(spark, sf_dir):
-    """M9 + M10 on the fitted model: odds, average rank, stash flags."""
-    res = _onehot_job(spark, sf_dir)
-    coef = models.coefficient_table(res.model, res.encoded_train).select("feature", "coeff")
-    rep = report.coefficient_report(coef)
-    return rep.withColumn("is_stash", F.col("feature").isin(STASH_NAMES))
+    """M9 + M10 on a fitted model with a stash: odds turned back into weights, stash flags."""
+    fit = _onehot_fit(spark, sf_dir, ["cat3"], None, None, max_iter=200, tol=1e-12, share=REPORT_SHARE)
+    rep = report.coefficient_report(models.coefficient_table(fit.model, fit.train_x).select("feature", "coeff"))
+    return _against_rates(fit, rep.select("feature", F.log("odds").alias("coeff")))
+
 
+_STUMP_COLS = ["n2", "n3", "n4"]
 
-@register("rf_importance")
+
+def _stump(spark, sf_dir):
+    """One tree of one split over three columns, all rows, all features: the exact histogram search."""
+    from pyspark.ml.feature import VectorAssembler
+
+    sig = fx.signal_impressions(spark, sf_dir)
+    x = VectorAssembler(inputCols=_STUMP_COLS, outputCol="features").transform(sig).withColumn("label", F.col("y"))
+    return models.train_rf(x, num_trees=1, max_depth=1, max_bins=128, bootstrap=False, feature_subset="all"), x
+
+
+@register("rf_importance", _parts_sql(
+    "SELECT name, CAST(CASE WHEN name = f THEN 1.0 ELSE 0.0 END AS DOUBLE) AS score FROM best, (SELECT unnest(['n2', 'n3', 'n4']) AS name) c",
+    sq.best_split(_STUMP_COLS, "sig")))
 def q_rf_importance(spark, sf_dir):
-    """Forest feature importances, descending."""
-    res = _rf_job(spark, sf_dir)
-    return models.feature_importance(res.model, res.encoded_train)
+    """Importances of a tree with one split: all of it on the column that SQL finds too."""
+    model, x = _stump(spark, sf_dir)
+    return models.feature_importance(model, x).select("name", F.round("score", 6).alias("score"))
+
+
+@register("rf_stump", _parts_sql(
+    "SELECT name, min(v) AS low, max(v) AS high, CAST(count(*) AS BIGINT) AS rows, round(avg(CAST(y AS DOUBLE)), 6) AS prob "
+    "FROM (SELECT best.f AS name, lo.v, lo.y, lo.v <= best.v AS is_left FROM lo JOIN best ON lo.f = best.f) s GROUP BY name, is_left",
+    sq.best_split(_STUMP_COLS, "sig")))
+def q_rf_stump(spark, sf_dir):
+    """M2 exact: the split and the leaf rates of a tree with one split."""
+    model, x = _stump(spark, sf_dir)
+    name = models.feature_importance(model, x).first()["name"]
+    value = F.col(name).cast("double")
+    return models.score(model, x).groupBy(F.round("prob", 6).alias("prob")).agg(
+        F.lit(name).alias("name"), F.min(value).alias("low"), F.max(value).alias("high"), F.count(F.lit(1)).cast("bigint").alias("rows"))
 
 
-@register("lr_grid")
+# strong L1 may leave no weight, and then no ranking
+_IN_RANGE = "auroc BETWEEN 0.5 AND 1"
+
+
+@register("lr_grid", "SELECT r AS reg_param, e AS elastic_net, true AS ok FROM (SELECT unnest([0.0::DOUBLE, 0.01::DOUBLE]) AS r) a, (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS e) b")
 def q_lr_grid(spark, sf_dir):
     """L1 against L2 and two strengths, validated by AUROC."""
-    lab = fx.signal_impressions(spark, sf_dir)
-    train, _ = split.split_frames(lab, "id", (0.8, 0.2), jobs.SPLIT_SALT)
+    train, _ = split.split_frames(fx.signal_impressions(spark, sf_dir), "id", (0.8, 0.2), jobs.SPLIT_SALT)
     enc = fe.StashEncoder(FEATURES, T, SENT).fit(train)
-    x = enc.transform(train).withColumn("label", F.col("y"))
-    _, table = models.grid_search(x)
-    return table
+    _, table = models.grid_search(enc.transform(train).withColumn("label", F.col("y")))
+    return table.select("reg_param", "elastic_net", F.expr(_IN_RANGE).alias("ok"))
+
+
+_FORESTS = [(trees, depth, bins) for trees in (5, 20) for depth in (2, 5) for bins in (16, 32)]
+
+
+@register("rf_grid", "SELECT t AS trees, d AS depth, b AS bins, true AS ok FROM (SELECT unnest([5::BIGINT, 20::BIGINT]) AS t) x, "
+          "(SELECT unnest([2::BIGINT, 5::BIGINT]) AS d) y, (SELECT unnest([16::BIGINT, 32::BIGINT]) AS b) z")
+def q_rf_grid(spark, sf_dir):
+    """Forests of several sizes on one encoded, split table."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    train, test, _ = jobs.forest_frames(fx.signal_impressions(spark, sf_dir), "id", "y", NUMS, _CATS, T)
+    forests = [({"trees": t, "depth": d, "bins": b}, RandomForestClassifier(numTrees=t, maxDepth=d, maxBins=b, seed=1)) for t, d, b in _FORESTS]
+    table = models.fit_grid(train.select("features", "label"), test.select("features", "label"), forests)
+    return table.select("trees", "depth", "bins", F.expr(_IN_RANGE).alias("ok"))
+
 
+_WIDTHS = [1 << 6, 1 << 10, 1 << 18]
 
-@register("model_comparison")
+
+@register("hash_width_grid", "SELECT w AS width, true AS ok FROM (SELECT unnest([64::BIGINT, 1024::BIGINT, 262144::BIGINT]) AS w) x")
+def q_hash_width_grid(spark, sf_dir):
+    """LR over several hash widths, all hashed from one split table."""
+    from pyspark.ml.classification import LogisticRegression
+
+    frame = fx.signal_impressions(spark, sf_dir)
+    for w in _WIDTHS:
+        frame = fe.hash_features(frame, FEATURES, w, categorical_cols=_CATS, output_col=f"x{w}")
+    frame = frame.withColumn("label", F.col("y"))
+    train, test = split.split_frames(frame.select("id", "label", *[f"x{w}" for w in _WIDTHS]), "id", (0.8, 0.2), jobs.SPLIT_SALT)
+    table = models.fit_grid(train, test, [({"width": w}, LogisticRegression(featuresCol=f"x{w}", maxIter=models.LR_MAX_ITER, standardization=False)) for w in _WIDTHS])
+    return table.select("width", F.expr(_IN_RANGE).alias("ok"))
+
+
+_COMPARED = "SELECT model, width, baseline_log_loss, true AS lower_loss, true AS ranks FROM ({}) {}"
+
+
+@register("model_comparison", " UNION ALL ".join(
+    "SELECT * FROM (" + _parts_sql(_COMPARED.format(_JOB_ROWS[m], "j"), share=0.7 if m == "random_forest" else 0.8) + f") {m}_row" for m in _JOB_ROWS))
 def q_model_comparison(spark, sf_dir):
-    """One row per model: train rows, baseline, test loss, lift."""
-    sig = fx.signal_impressions(spark, sf_dir)
-    results = [jobs.onehot_lr(sig, "id", "y", FEATURES, T, SENT),
-               jobs.hashed_lr(sig, "id", "y", FEATURES, list(IMP.categorical)),
-               jobs.random_forest(sig, "id", "y", NUMS, list(IMP.categorical), T)]
-    return report.model_comparison(split.union_all(*[r.metrics for r in results]))
+    """One row per model: width, baseline, and whether the test loss and the ranking beat it."""
+    results = [jobs.evaluated(_onehot_fit(spark, sf_dir), "id"), _hashed_job(spark, sf_dir), _rf_job(spark, sf_dir)]
+    rows = report.model_comparison(split.union_all(*[r.metrics for r in results]))
+    return rows.select("model", "width", "baseline_log_loss", (F.col("lift") > 0).alias("lower_loss"), (F.col("auroc") > 0.5).alias("ranks"))
+
+
+# ---------------------------------------------------------------- names of hashed slots
+_CAT_TEXT = [f"SELECT '{c}' AS c, {c} AS v FROM tr WHERE {c} IS NOT NULL" for c in _CATS]
+
+
+@register("hash_slots_named", sq.with_impressions(
+    "SELECT id, CAST(" + " + ".join([f"CAST(coalesce({c}, 0) <> 0 AS INTEGER)" for c in NUMS] + [f"CAST({c} IS NOT NULL AS INTEGER)" for c in _CATS])
+    + " AS BIGINT) AS features, true AS same FROM imp"))
+def q_hash_slots_named(spark, sf_dir):
+    """the slots that the dictionary gives a row's features are the slots of its hashed vector."""
+    imp = fx.impressions(spark, sf_dir)
+    names = fe.slot_dictionary(imp, FEATURES, jobs.HASH_WIDTH, _CATS)
+    value = [F.when(F.col(c) != 0, F.lit("")) for c in NUMS] + [F.col(c) for c in _CATS]
+    long = imp.select("id", *[v.alias(c) for v, c in zip(value, FEATURES, strict=True)]).unpivot(["id"], FEATURES, "col_name", "value").where("value is not null")
+    by_name = long.join(names.select("col_name", F.coalesce("value", F.lit("")).alias("value"), "slot"), ["col_name", "value"]).groupBy("id").agg(
+        F.count(F.lit(1)).alias("features"), F.array_sort(F.collect_set("slot")).alias("named"))
+    x = fe.vector_entries(fe.hash_features(imp, FEATURES, jobs.HASH_WIDTH, _CATS), "id").groupBy("id").agg(F.array_sort(F.collect_set("slot")).alias("used"))
+    return imp.select("id").join(by_name, "id", "left").join(x, "id", "left").select(
+        "id", F.coalesce("features", F.lit(0).cast("bigint")).alias("features"), F.col("named").eqNullSafe(F.col("used")).alias("same"))
+
+
+@register("hashed_weight_names", _parts_sql(
+    f"SELECT CAST((SELECT count(*) FROM (SELECT DISTINCT c, v FROM ({' UNION ALL '.join(_CAT_TEXT)}) a) b) + {len(NUMS)} AS BIGINT) AS features, true AS all_named, true AS own_slots"))
+def q_hashed_weight_names(spark, sf_dir):
+    """every weight of the hashed LR has the names of the features behind it; shared slots are the collisions."""
+    fit = jobs.hashed_fit(fx.signal_impressions(spark, sf_dir), "id", "y", FEATURES, _CATS)
+    names = fe.slot_dictionary(fit.train, FEATURES, jobs.HASH_WIDTH, _CATS)
+    weights = [(i, float(c)) for i, c in enumerate(fit.model.coefficients.toArray()) if c]
+    rows = fe.hashed_weights(weights, names)
+    shared = fe.slot_collisions(names).agg(F.coalesce(F.sum("features"), F.lit(0)).alias("in_shared"))
+    total = names.agg(F.count(F.lit(1)).cast("bigint").alias("features"))
+    seen = rows.agg(F.coalesce(F.bool_and(F.col("feature").isNotNull()), F.lit(True)).alias("all_named"),
+                    F.count_if(F.col("features") > 1).alias("named_in_shared"))
+    return total.join(F.broadcast(shared)).join(F.broadcast(seen)).select("features", "all_named", (F.col("named_in_shared") <= F.col("in_shared")).alias("own_slots"))
 
 
 @register("model_save_load", sq.with_impressions(
@@ -705,11 +865,10 @@ def q_model_save_load(spark, sf_dir):
     largest probability difference must be 0."""
     from pyspark.ml import PipelineModel
 
-    res = _onehot_job(spark, sf_dir)
-    enc = res.extras["encoder"]
+    fit = _onehot_fit(spark, sf_dir)
     lab = fx.signal_impressions(spark, sf_dir)
-    stashed = enc.stash(lab)
-    pipe = PipelineModel(stages=enc.ml_pipeline(stashed).stages + [res.model])
+    stashed = fit.encoder.stash(lab)
+    pipe = PipelineModel(stages=fit.encoder.ml_pipeline(stashed).stages + [fit.model])
     path = io.save_model(pipe, scratch_path(spark, "model"))
     again = io.load_model(path)
     a = models.score(pipe, stashed).select("id", F.col("prob").alias("p1"))
@@ -730,25 +889,26 @@ def q_vector_element(spark, sf_dir):
     return out.select("id", scalar.vector_element("features", 0).alias("slot0"))
 
 
-@register("hash_feature_stats")
+@register("hash_feature_stats", sq.with_impressions(
+    "SELECT id, round(CAST(" + " + ".join([f"coalesce({c}, 0)" for c in NUMS] + [f"CAST({c} IS NOT NULL AS INTEGER)" for c in IMP.categorical])
+    + " AS DOUBLE), 6) AS value_sum, true AS within FROM imp"))
 def q_hash_feature_stats(spark, sf_dir):
-    """FeatureHasher vectors (2^18 slots): width and active slots per
-    row (murmur3 slots have no SQL twin, so rows only)."""
-    hashed = fe.hash_features(fx.impressions(spark, sf_dir), FEATURES, 1 << 18,
-                              categorical_cols=list(IMP.categorical))
-    entries = fe.vector_entries(hashed, "id")
-    return entries.groupBy("id").agg(F.count(F.lit(1)).cast("bigint").alias("active_slots"),
-                                     F.round(F.sum("value"), 6).alias("value_sum"))
+    """FeatureHasher vectors (2^18 slots): the values keep their sum, in at most one slot a feature."""
+    imp = fx.impressions(spark, sf_dir)
+    hashed = fe.hash_features(imp, FEATURES, 1 << 18, categorical_cols=list(IMP.categorical))
+    per = fe.vector_entries(hashed, "id").groupBy("id").agg(F.count(F.lit(1)).alias("slots"), F.sum("value").alias("s"))
+    return imp.select("id").join(per, "id", "left").select("id", F.round(F.coalesce("s", F.lit(0.0)), 6).alias("value_sum"),
+                                                           (F.coalesce("slots", F.lit(0)) <= len(FEATURES)).alias("within"))
 
 
-@register("random_split_counts")
+@register("random_split_counts", sq.with_impressions(
+    "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(y) AS BIGINT) AS clicks, true AS near FROM imp WHERE y IS NOT NULL"))
 def q_random_split_counts(spark, sf_dir):
-    """SP1: Spark's seeded 70/30 ``randomSplit`` (depends on partitioning,
-    so rows only)."""
-    lab = fx.labelled(fx.impressions(spark, sf_dir))
-    train, test = split.random_split(lab, [0.7, 0.3], seed=0)
-    return (train.agg(F.lit("train").alias("split"), F.count(F.lit(1)).cast("bigint").alias("rows"))
-            .unionByName(test.agg(F.lit("test").alias("split"), F.count(F.lit(1)).cast("bigint").alias("rows"))))
+    """SP1: Spark's seeded 70/30 ``randomSplit``: which row goes where depends on partitioning, the totals don't."""
+    parts = split.random_split(fx.labelled(fx.impressions(spark, sf_dir)), [0.7, 0.3], seed=0)
+    both = split.union_all(*[p.select(F.lit(i).alias("part"), "y") for i, p in enumerate(parts)])
+    return both.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum("y").cast("bigint").alias("clicks"),
+                    (F.abs(F.count_if(F.col("part") == 0) / F.count(F.lit(1)) - 0.7) < 0.1).alias("near"))
 
 
 # ---------------------------------------------------------------- wide fixture (lineitem)

@@ -77,59 +77,83 @@ def _written_scores(scored: DataFrame, key: str) -> DataFrame:
     return written(scored.select(*keep), "scored")
 
 
+@dataclass
+class Fit:
+    """A fitted model with its frames; nothing is scored yet. ``train`` and ``test`` hold ``label``."""
+
+    name: str
+    model: object
+    train: DataFrame
+    train_x: DataFrame
+    test_x: DataFrame
+    encoder: object = None
+
+
+def evaluated(fit: Fit, key: str) -> JobResult:
+    """Scores the test rows once, written, and lays the metrics over them."""
+    scored = _written_scores(models.score(fit.model, fit.test_x), key)
+    loss = fit.model.summary.objectiveHistory[-1] if isinstance(fit.model, models.LogisticRegressionModel) else None
+    m = _common_metrics(fit.name, fit.train, scored, "label", loss, fit.model.numFeatures)
+    return JobResult(fit.name, m, scored, fit.model, fit.train_x, {"encoder": fit.encoder})
+
+
+def _labelled_parts(data: DataFrame, key: str, label: str, fractions) -> list[DataFrame]:
+    parts = split.split_frames(data, key, fractions, SPLIT_SALT)
+    return [p.withColumn("label", (F.col(label) > 0).cast("int")) for p in parts]
+
+
+def onehot_fit(df: DataFrame, key: str, label: str, cols: Sequence[str], threshold,
+               sentinels: Mapping[str, int] | None = None, *, fractions=(0.8, 0.2),
+               max_iter: int = models.LR_MAX_ITER, reg_param: float = 0.0, share: float | None = None, **params) -> Fit:
+    """Stash + one-hot encoding fitted on the training split, then LR."""
+    train, test = _labelled_parts(df.filter(F.col(label).isNotNull()), key, label, fractions)
+    enc = fe.StashEncoder(cols, threshold, sentinels, share=share).fit(train)
+    train_x, test_x = enc.transform(train), enc.transform(test)
+    model = models.train_lr(train_x, max_iter=max_iter, reg_param=reg_param, **params)
+    return Fit("onehot_lr", model, train, train_x, test_x, enc)
+
+
 def onehot_lr(df: DataFrame, key: str, label: str, cols: Sequence[str], threshold,
-              sentinels: Mapping[str, int] | None = None, *, fractions=(0.8, 0.2),
-              max_iter: int = models.LR_MAX_ITER, reg_param: float = 0.0) -> JobResult:
-    """Stash + one-hot encoding, then LR, with the fit moved onto the training split."""
-    data = df.filter(F.col(label).isNotNull())
-    train, test = split.split_frames(data, key, fractions, SPLIT_SALT)
-    train = train.withColumn("label", (F.col(label) > 0).cast("int"))
-    test = test.withColumn("label", (F.col(label) > 0).cast("int"))
-    enc = fe.StashEncoder(cols, threshold, sentinels).fit(train)
-    train_x = enc.transform(train)
-    test_x = enc.transform(test)
-    model = models.train_lr(train_x, max_iter=max_iter, reg_param=reg_param)
-    scored = _written_scores(models.score(model, test_x), key)
-    hist = model.summary.objectiveHistory
-    m = _common_metrics("onehot_lr", train, scored, "label", hist[-1] if hist else None, model.numFeatures)
-    return JobResult("onehot_lr", m, scored, model, train_x, {"encoder": enc})
+              sentinels: Mapping[str, int] | None = None, **params) -> JobResult:
+    """:func:`onehot_fit`, then its metrics."""
+    return evaluated(onehot_fit(df, key, label, cols, threshold, sentinels, **params), key)
 
 
-def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
-              categorical: Sequence[str], *, width: int = HASH_WIDTH, fractions=(0.8, 0.2),
-              max_iter: int = models.LR_MAX_ITER, reg_param: float = 0.0) -> JobResult:
+def hashed_fit(df: DataFrame, key: str, label: str, cols: Sequence[str], categorical: Sequence[str], *,
+               width: int = HASH_WIDTH, fractions=(0.8, 0.2), max_iter: int = models.LR_MAX_ITER,
+               reg_param: float = 0.0) -> Fit:
     """Hashed features, then LR (null labels dropped first, D7)."""
-    data = df.filter(F.col(label).isNotNull())
-    hashed = fe.hash_features(data, cols, width, categorical_cols=categorical)
-    train, test = split.split_frames(hashed, key, fractions, SPLIT_SALT)
-    train = train.withColumn("label", (F.col(label) > 0).cast("int"))
-    test = test.withColumn("label", (F.col(label) > 0).cast("int"))
-    model = models.train_lr(train, max_iter=max_iter, reg_param=reg_param)
-    scored = _written_scores(models.score(model, test), key)
-    hist = model.summary.objectiveHistory
-    m = _common_metrics("hashed_lr", train, scored, "label", hist[-1] if hist else None, model.numFeatures)
-    return JobResult("hashed_lr", m, scored, model, train)
+    hashed = fe.hash_features(df.filter(F.col(label).isNotNull()), cols, width, categorical_cols=categorical)
+    train, test = _labelled_parts(hashed, key, label, fractions)
+    return Fit("hashed_lr", models.train_lr(train, max_iter=max_iter, reg_param=reg_param), train, train, test)
 
 
-def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
-                  categorical: Sequence[str], threshold, *, fractions=(0.7, 0.3), times: int = 2,
-                  num_trees: int = models.RF_TREES, max_depth: int = models.RF_DEPTH,
-                  max_bins: int = models.RF_BINS, seed: int = 1) -> JobResult:
-    """Encode, train and score a forest: numerics imputed (NaN is refused by
-    the learner), categoricals stashed and one-hot encoded, the minority
-    class copied ``times`` more times in the training split only."""
+def hashed_lr(df: DataFrame, key: str, label: str, cols: Sequence[str],
+              categorical: Sequence[str], **params) -> JobResult:
+    """:func:`hashed_fit`, then its metrics."""
+    return evaluated(hashed_fit(df, key, label, cols, categorical, **params), key)
+
+
+def forest_frames(df: DataFrame, key: str, label: str, numeric: Sequence[str], categorical: Sequence[str],
+                  threshold, fractions=(0.7, 0.3)) -> tuple[DataFrame, DataFrame, object]:
+    """Training and test frames of a forest and their encoder: numerics imputed (NaN is refused
+    by the learner), categoricals stashed and one-hot encoded."""
     data = df.filter(F.col(label).isNotNull()).withColumn(label, (F.col(label) > 0).cast("int"))
     data = fe.impute_numeric(data, numeric, sentinel=-1)
     flags = [c + "_missing" for c in numeric]
     train, test = split.split_frames(data, key, fractions, SPLIT_SALT)
     enc = fe.StashEncoder(categorical, threshold).fit(train)
     inputs = [F.col(c).cast("double").alias(c) for c in numeric] + [F.col(c).cast("double").alias(c) for c in flags]
-    train_x = enc.transform(train.select(key, label, *categorical, *inputs), extra_inputs=list(numeric) + flags)
-    test_x = enc.transform(test.select(key, label, *categorical, *inputs), extra_inputs=list(numeric) + flags)
-    train_x = train_x.withColumn("label", F.col(label).cast("double"))
-    test_x = test_x.withColumn("label", F.col(label).cast("double"))
-    balanced = split.oversample(train_x, "label", 1.0, times)
-    model = models.train_rf(balanced, num_trees=num_trees, max_depth=max_depth, max_bins=max_bins, seed=seed)
-    scored = _written_scores(models.score(model, test_x), key)
-    m = _common_metrics("random_forest", train_x, scored, "label", None, model.numFeatures)
-    return JobResult("random_forest", m, scored, model, train_x)
+    parts = [enc.transform(part.select(key, label, *categorical, *inputs), extra_inputs=list(numeric) + flags)
+             .withColumn("label", F.col(label).cast("double")) for part in (train, test)]
+    return parts[0], parts[1], enc
+
+
+def random_forest(df: DataFrame, key: str, label: str, numeric: Sequence[str],
+                  categorical: Sequence[str], threshold, *, fractions=(0.7, 0.3), times: int = 2,
+                  **params) -> JobResult:
+    """Encode, train and score a forest, the minority class copied ``times`` more times in the
+    training split only. ``params`` go to :func:`models.train_rf`."""
+    train_x, test_x, enc = forest_frames(df, key, label, numeric, categorical, threshold, fractions)
+    model = models.train_rf(split.oversample(train_x, "label", 1.0, times), **params)
+    return evaluated(Fit("random_forest", model, train_x, train_x, test_x, enc), key)

@@ -88,3 +88,40 @@ st AS ({st} WHERE imp.y IS NOT NULL)
 SELECT col_name || 'v_' || label AS feature, ln((rate + 0.01) / (1.01 - rate)) AS coeff
 FROM (SELECT col_name, label, avg(y) AS rate FROM ({long}) u GROUP BY col_name, label) r
 UNION ALL SELECT '{near_miss[0]}' AS feature, {near_miss[1]} AS coeff)"""
+
+
+# ---------------------------------------------------------------- model jobs
+def signal_parts(train_cut: int, salt: str, body: str, extra: str = "") -> str:
+    """The signal fixture split by md5 of the salted id: ``sig``, ``tr`` and ``te``."""
+    extra = (",\n" + extra) if extra else ""
+    return f"""WITH imp AS ({IMPRESSIONS_SQL}),
+sig AS (SELECT * REPLACE (CAST(CASE WHEN n4 >= 75 OR ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 2))::INTEGER < 13 THEN 1 ELSE 0 END AS INTEGER) AS y)
+        FROM imp WHERE y IS NOT NULL),
+pt AS (SELECT *, ('0x' || substr(md5('{salt}' || CAST(id AS VARCHAR)), 1, 6))::INTEGER < {train_cut} AS in_train FROM sig),
+tr AS (SELECT * FROM pt WHERE in_train), te AS (SELECT * FROM pt WHERE NOT in_train){extra}
+{body}"""
+
+
+def width_sql(cols: Sequence[str], thresholds: Mapping[str, int], src: str = "tr") -> str:
+    """One number: one-hot slots of the stashed columns."""
+    return (f"(SELECT CAST(sum(w) AS BIGINT) FROM (SELECT count(*) FILTER (kept) + CAST(count(*) FILTER (NOT kept) > 0 AS INTEGER) AS w "
+            f"FROM ({vocab_sql(cols, thresholds, src)}) v GROUP BY col_name) u)")
+
+
+def job_row(model: str, width: str) -> str:
+    """The exact part of a job's metrics; a model that learned beats the base rate and chance."""
+    return f"""SELECT '{model}' AS model, train_rows, round(p, 6) AS base_rate, round(p * -ln(p + 1e-16) + (1.0 - p) * -ln(1.0 - p + 1e-16), 6) AS baseline_log_loss,
+       {width} AS width, test_rows, positives, test_rows - positives AS negatives, true AS learned
+FROM (SELECT CAST(count(*) AS BIGINT) AS train_rows, avg(CAST(y AS DOUBLE)) AS p FROM tr) a,
+     (SELECT CAST(count(*) AS BIGINT) AS test_rows, CAST(sum(y) AS BIGINT) AS positives FROM te) b"""
+
+
+def best_split(cols: Sequence[str], src: str) -> str:
+    """CTEs ending in ``best``: the split (column, last value to the left) of least weighted Gini impurity."""
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS f, CAST({c} AS DOUBLE) AS v, y FROM {src}" for c in cols)
+    return f"""lo AS ({rows}),
+ct AS (SELECT f, v, count(*) AS n, sum(y) AS s FROM lo GROUP BY f, v),
+cu AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv, sum(n) OVER (PARTITION BY f ORDER BY v) AS ln, sum(s) OVER (PARTITION BY f ORDER BY v) AS ls,
+              sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s FROM ct),
+gi AS (SELECT *, ls * (1 - CAST(ls AS DOUBLE) / ln) + (s - ls) * (1 - CAST(s - ls AS DOUBLE) / (n - ln)) AS impurity FROM cu WHERE nv IS NOT NULL),
+best AS (SELECT f, v FROM gi ORDER BY impurity LIMIT 1)"""

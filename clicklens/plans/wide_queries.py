@@ -1,15 +1,19 @@
-"""Queries over wide columns: bounded vocabularies, one-shuffle stash, wide vectors."""
+"""Queries over wide columns (bounded vocabularies, one-shuffle stash, wide vectors), the label
+mapping, order keys of any type, and bad lines."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicklens import fixtures as fx
 from clicklens.operators import features as fe
-from clicklens.operators import split, vocab
+from clicklens.operators import metrics, ordered, split, vocab
 from clicklens.plans import sqltext as sq
 from clicklens.plans.catalog import register
 from clicklens.plans.checks import SHARE
+from clicklens.session import scratch_path
+from clicklens.sources import io
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 WIDE_COLS = ["l_partkey", "l_suppkey", "ordkey"]
@@ -90,3 +94,51 @@ def q_label_index(spark, sf_dir):
     parts = {"both": lab, "clicked": lab.where(F.col("text") == "1")}
     return split.union_all(*[fe.label_index(p, "text").groupBy(F.lit(name).alias("part"), "label").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
                              for name, p in parts.items()])
+
+
+RANGES = (1, 4, 64)
+_RANGES_SQL = f"(SELECT unnest({list(RANGES)}) AS ranges) r"
+
+
+def _dated(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.to_date("ts").alias("day"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).alias("seen"))
+
+
+@register("forward_fill_by_date", f"""SELECT ranges, event_id, last_value(seen IGNORE NULLS) OVER (PARTITION BY ranges ORDER BY day, event_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
+  FROM (SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN event_id % 3 = 0 THEN user_id END AS seen FROM events) e, {_RANGES_SQL}""")
+def q_forward_fill_by_date(spark, sf_dir):
+    """W2 by a date with a tie-break, cut into 1, 4 and 64 ranges."""
+    rows = _dated(spark, sf_dir)
+    return split.union_all(*[ordered.forward_fill(rows, "seen", ["day", "event_id"], out_col="filled", n_buckets=n)
+                             .select(F.lit(n).alias("ranges"), "event_id", "filled") for n in RANGES])
+
+
+@register("durbin_watson_text_order", sq.with_scored(
+    f"""SELECT ranges, CAST(count(*) AS BIGINT) AS rows, round(sum(d2) / sum(e * e), 6) AS dw
+        FROM (SELECT ranges, e, (e - lag(e) OVER w) * (e - lag(e) OVER w) AS d2
+              FROM (SELECT CASE WHEN id % 11 = 0 THEN NULL ELSE 'k' || CAST(id % 7 AS VARCHAR) END AS k, id, CAST(label AS DOUBLE) - prob AS e FROM sc) a, {_RANGES_SQL}
+              WINDOW w AS (PARTITION BY ranges ORDER BY k NULLS FIRST, id)) b GROUP BY ranges"""))
+def q_durbin_watson_text_order(spark, sf_dir):
+    """A20 + W3 by a text (null for some rows) and an id, cut into 1, 4 and 64 ranges."""
+    rows = fx.scored(spark, sf_dir).withColumn("k", F.when(F.col("id") % 11 != 0, F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))))
+    return split.union_all(*[metrics.durbin_watson(rows, ["k", "id"], n_buckets=n).select(F.lit(n).alias("ranges"), "rows", "dw") for n in RANGES])
+
+
+# Every ninth event is written as a line that doesn't fit (event_id, user_id, event_type).
+_LINE = ("CASE event_id % 9 WHEN 0 THEN CAST(event_id AS VARCHAR) || chr(9) || 'x' || CAST(user_id AS VARCHAR) || chr(9) || event_type "
+         "WHEN 1 THEN CAST(event_id AS VARCHAR) || chr(9) || CAST(user_id AS VARCHAR) "
+         "WHEN 2 THEN CAST(event_id AS VARCHAR) || chr(9) || CAST(user_id AS VARCHAR) || chr(9) || event_type || chr(9) || 'more' "
+         "ELSE CAST(event_id AS VARCHAR) || chr(9) || CAST(user_id AS VARCHAR) || chr(9) || event_type END")
+
+
+@register("tsv_bad_lines", f"SELECT CASE WHEN event_id % 9 < 3 THEN 'bad' ELSE 'good' END AS part, {_LINE} AS line FROM events")
+def q_tsv_bad_lines(spark, sf_dir):
+    """Lines of a text table that don't fit the schema are kept apart, as they were; no line is lost."""
+    lines = fx.table(spark, sf_dir, "events").select(F.expr(_LINE.replace("VARCHAR", "STRING")).alias("value"))
+    path = scratch_path(spark, "lines")
+    lines.write.text(path)
+    good, bad = io.read_tsv_quarantined(spark, path, T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string"))
+    return (good.select(F.lit("good").alias("part"), F.concat_ws("\t", *[F.col(c).cast("string") for c in good.columns]).alias("line"))
+            .unionByName(bad.select(F.lit("bad").alias("part"), "line")))

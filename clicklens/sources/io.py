@@ -66,6 +66,26 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+_BAD = "__bad_line"
+
+
+def read_tsv_quarantined(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, *,
+                         null_value: str | None = None, sep: str = "\t") -> tuple[DataFrame, DataFrame]:
+    """S2 without failing: (good rows, bad lines as they were read).
+
+    A line is bad if it has too few or too many fields, or a field that isn't of its column's type.
+    The text is parsed once, into a table that both results read, so each line is in one of them.
+    Output: ``schema``; ``line string``.
+    """
+    reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])).option("sep", sep)
+              .option("header", "false").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD))
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    parsed = written(reader.csv(path if isinstance(path, str) else list(path)), "parsed")
+    good = parsed.where(F.col(_BAD).isNull()).drop(_BAD)
+    return good, parsed.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
+
+
 def write_tsv(df: DataFrame, path: str, *, null_value: str | None = None, mode: str = "overwrite",
               sep: str = "\t", escaped: bool = False) -> str:
     """Headerless delimited text; ``null_value`` marks nulls (default
