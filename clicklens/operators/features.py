@@ -12,12 +12,15 @@ one join, which is what the SQL oracle checks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +126,13 @@ class StashEncoderModel:
         return out.drop(*drop)
 
 
+    def catalog(self, extra_inputs: Sequence[str] = ()) -> DataFrame:
+        """F8 from the fitted labels: ``idx, name`` of every entry of the vectors, extra inputs first."""
+        k = len(extra_inputs)
+        named = self.labels.select((F.col("slot") + k).cast("int").alias("idx"), F.col("feature").alias("name"))
+        extra = [(i, c) for i, c in enumerate(extra_inputs)]
+        return named.unionByName(table_from_rows(self.labels.sparkSession, extra, "idx int, name string")) if extra else named
+
     def written_labels(self) -> DataFrame:
         """The label table, written once per fitted model."""
         if "_written" not in self.__dict__:
@@ -177,14 +187,21 @@ class StashEncoder:
 def feature_catalog(df: DataFrame, features_col: str = "features") -> DataFrame:
     """F8: vector index to feature name, from the column's ML metadata.
 
-    Output: ``idx int, name string`` (T3: order by idx). The metadata lives
-    on the driver already and is bounded by the vector width.
+    Output: ``idx int, name string`` (T3: order by idx). The metadata is one text on the driver; it
+    becomes rows in Spark. Vectors made without metadata (:meth:`StashEncoderModel.wide_vectors`) have
+    their names in :meth:`StashEncoderModel.catalog`.
     """
-    meta = df.schema[features_col].metadata.get("ml_attr", {})
-    attrs = meta.get("attrs", {})
-    rows = [(int(a["idx"]), str(a.get("name", ""))) for group in attrs.values() for a in group]
-    schema = T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("name", T.StringType())])
-    return df.sparkSession.createDataFrame(sorted(rows), schema)
+    attrs = df.schema[features_col].metadata.get("ml_attr", {}).get("attrs", {})
+    one = table_from_rows(df.sparkSession, [(json.dumps(attrs),)], "attrs string")
+    groups = F.from_json("attrs", "map<string, array<struct<idx: int, name: string>>>")
+    entry = one.select(F.explode(F.flatten(F.map_values(groups))).alias("a"))
+    return entry.select("a.idx", F.coalesce("a.name", F.lit("")).alias("name")).orderBy("idx")
+
+
+def vector_rows(spark: SparkSession, vector, value: str) -> DataFrame:
+    """The entries of one model vector as rows ``idx int, <value> double``; the vector travels whole."""
+    one = spark.createDataFrame([(vector,)], T.StructType([T.StructField("v", VectorUDT())]))
+    return one.select(F.posexplode(vector_to_array("v")).alias("idx", value))
 
 
 def vector_entries(df: DataFrame, key: str, features_col: str = "features") -> DataFrame:

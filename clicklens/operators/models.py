@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicklens.operators.features import feature_catalog
+from clicklens.operators.features import feature_catalog, vector_rows
 from clicklens.session import ensure_checkpoint_dir
 from clicklens.sources.io import table_from_rows
 
@@ -104,32 +104,28 @@ def training_curve(model: LogisticRegressionModel, spark: SparkSession, name: st
                            "model string, iteration int, loss double")
 
 
+def _named(values: DataFrame, catalog: DataFrame, name: str, value: str) -> DataFrame:
+    own = F.coalesce(F.col("name"), F.concat(F.lit("f"), F.col("idx").cast("string")))
+    return values.join(catalog, "idx", "left").select("idx", own.alias(name), value)
+
+
 def coefficient_table(model: LogisticRegressionModel, encoded: DataFrame,
-                      features_col: str = "features") -> DataFrame:
-    """M8: (feature, coeff) with names from the vector metadata (F8).
+                      features_col: str = "features", catalog: DataFrame | None = None) -> DataFrame:
+    """M8: (feature, coeff) with names from the vector metadata (F8), or from ``catalog``
+    (``idx, name``, see ``StashEncoderModel.catalog``) for vectors without.
 
     Output: ``idx, feature, coeff``. Width-bounded on both sides.
     """
-    spark = encoded.sparkSession
-    coefs = model.coefficients.toArray().tolist()
-    cat = feature_catalog(encoded, features_col)
-    values = table_from_rows(spark, [(i, float(c)) for i, c in enumerate(coefs)], "idx int, coeff double")
-    return values.join(F.broadcast(cat), "idx", "left").select(
-        "idx", F.coalesce(F.col("name"), F.concat(F.lit("f"), F.col("idx").cast("string"))).alias("feature"),
-        "coeff")
+    values = vector_rows(encoded.sparkSession, model.coefficients, "coeff")
+    return _named(values, catalog if catalog is not None else feature_catalog(encoded, features_col), "feature", "coeff")
 
 
 def feature_importance(model: RandomForestClassificationModel, encoded: DataFrame,
-                       features_col: str = "features") -> DataFrame:
-    """Importance per feature, descending. Output: ``idx, name, score``."""
-    spark = encoded.sparkSession
-    imp = model.featureImportances.toArray().tolist()
-    cat = feature_catalog(encoded, features_col)
-    values = table_from_rows(spark, [(i, float(s)) for i, s in enumerate(imp)], "idx int, score double")
-    return (values.join(F.broadcast(cat), "idx", "left")
-            .select("idx", F.coalesce("name", F.concat(F.lit("f"), F.col("idx").cast("string"))).alias("name"),
-                    "score")
-            .orderBy(F.desc("score"), "idx"))
+                       features_col: str = "features", catalog: DataFrame | None = None) -> DataFrame:
+    """Importance per feature, descending; names as in :func:`coefficient_table`.
+    Output: ``idx, name, score``."""
+    values = vector_rows(encoded.sparkSession, model.featureImportances, "score")
+    return _named(values, catalog if catalog is not None else feature_catalog(encoded, features_col), "name", "score").orderBy(F.desc("score"), "idx")
 
 
 def grid_search(train: DataFrame, features_col: str = "features", label_col: str = "label", *,

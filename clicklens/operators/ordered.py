@@ -121,24 +121,21 @@ def with_previous(df: DataFrame, value: Column | str, order_col: str | Sequence[
 
 def _materialized_sort(df: DataFrame, *order) -> DataFrame:
     """Sort (range-partitioned) and write the result with its partition id and
-    in-partition id to the shared checkpoint folder. ``persist`` is not enough:
+    in-partition id to the shared scratch folder. ``persist`` is not enough:
     a pruned copy of the plan in a self-join may miss the cache and re-sort
-    into different partitions; the checkpoint files cannot change."""
-    from clicklens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
+    into different partitions; written ids cannot change."""
     srt = (df.orderBy(*order)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__mid", F.monotonically_increasing_id()))
-    return srt.checkpoint(eager=True)
+    return written(srt, "sorted")
 
 
 def global_position(df: DataFrame, *order, pos_col: str = "__pos") -> tuple[DataFrame, DataFrame]:
     """0-based position of every row in a total order, computed without a
     single-task window.
 
-    The frame is sorted once (range-partitioned by Spark) and checkpointed,
-    so its partitions are fixed; each row's position is the number of rows in
+    The frame is sorted once (range-partitioned by Spark) and written with its
+    partition ids; each row's position is the number of rows in
     earlier partitions (a table with one row per partition, prefix-summed)
     plus its rank inside its own partition (``monotonically_increasing_id``
     is contiguous within a partition). Returns ``(positioned, sorted)``.
@@ -156,7 +153,7 @@ def global_position(df: DataFrame, *order, pos_col: str = "__pos") -> tuple[Data
 
 def global_cumsum(df: DataFrame, weight: str, *order, out_col: str = "__before") -> tuple[DataFrame, DataFrame]:
     """Exclusive running sum of ``weight`` in a total order, without a
-    single-task window: sort once (range-partitioned, checkpointed), total
+    single-task window: sort once (range-partitioned, written), total
     each partition (one row per partition, prefix-summed), and add the
     running sum inside each sorted partition. Returns
     ``(with_running_sum, sorted)``."""

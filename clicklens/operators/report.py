@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from clicklens.functions.scalar import odds
 from clicklens.operators.ordered import global_cumsum, global_position
 from clicklens.schema import STASH_PREFIX, VECTOR_SUFFIX
+from clicklens.sources.io import written
 
 # Fixed values that must equal the reference's for equal results: the
 # window of the weight-against-odds view (weights in [-1, 1], odds in
@@ -27,7 +28,9 @@ LARGE_WEIGHT = 1.0
 def with_average_rank(coef: DataFrame, weight: str = "coeff", rank_col: str = "rank") -> DataFrame:
     """Rank with the largest weight first; tied rows share the mean of
     their positions (pandas ``rank(ascending=False)``). One row per distinct
-    weight is sorted; the rows before it are a running sum of the ties."""
+    weight is sorted; the rows before it are a running sum of the ties. The
+    table is written first, as ranks and rows both read it."""
+    coef = written(coef, "coefficients")
     ties = coef.groupBy(F.col(weight).alias("__w")).agg(F.count(F.lit(1)).alias("__ties"))
     before, _ = global_cumsum(ties, "__ties", F.desc("__w"))
     ranks = before.select("__w", (F.col("__before") + 1 + (F.col("__ties") - 1) / F.lit(2.0)).alias(rank_col))

@@ -27,14 +27,14 @@ from clicklens.functions import scalar
 from clicklens.operators import features as fe
 from clicklens.operators import metrics, models, split
 from clicklens.schema import CtrSchema, reference_tsv_schema
-from clicklens.session import ensure_checkpoint_dir
+from clicklens.session import scratch_scope
 from clicklens.sources import io
 
 ROW_KEY = "__row_key"
 
 
-def _roles(df: DataFrame, label: str, numeric: str | None, categorical: str | None) -> CtrSchema:
-    cols = [c for c in df.columns if c != label and not c.startswith("__")]
+def _roles(df: DataFrame, label: str, numeric: str | None, categorical: str | None, key: str | None = None) -> CtrSchema:
+    cols = [c for c in df.columns if c not in (label, key) and not c.startswith("__")]
     num = numeric.split(",") if numeric else [c for c, t in df.dtypes if c in cols and t in ("int", "bigint")]
     cat = categorical.split(",") if categorical else [c for c, t in df.dtypes if c in cols and t == "string"]
     return CtrSchema(label=label, numeric=tuple(num), categorical=tuple(cat))
@@ -71,9 +71,11 @@ def cmd_convert(spark: SparkSession, a) -> None:
 
 def cmd_encode(spark: SparkSession, a) -> None:
     """Encoding step: stash rare values (numerics as categories with
-    sentinels, or kept raw for trees) and write the assembled vectors."""
+    sentinels, or kept raw for trees) and write the assembled vectors. With a key, the
+    encoder is fitted on the rows that the training step will train on (same key and
+    fraction), so no test row counts; without one, on all rows."""
     df = io.read_parquet(spark, a.input)
-    roles = _roles(df, a.label, a.numeric, a.categorical)
+    roles = _roles(df, a.label, a.numeric, a.categorical, a.key)
     if a.numeric_raw:
         cats = list(roles.categorical)
         df = fe.impute_numeric(df, roles.numeric, sentinel=-1)
@@ -84,13 +86,14 @@ def cmd_encode(spark: SparkSession, a) -> None:
         cats = list(roles.numeric) + list(roles.categorical)
         extra = []
         sentinels = {c: roles.numeric_sentinel(c) for c in roles.numeric}
-    enc = fe.StashEncoder(cats, a.threshold, sentinels).fit(df)
+    fit_on = split.split_frames(df.filter(F.col(a.label).isNotNull()), a.key, (a.train_fraction, 1 - a.train_fraction))[0] if a.key else df
+    enc = fe.StashEncoder(cats, a.threshold, sentinels).fit(fit_on)
     out = enc.transform(df, extra_inputs=extra)
     if a.numeric_raw:
         out = fe.label_index(out.filter(F.col(a.label).isNotNull()), a.label, "label")
     io.write_parquet(out, a.output, mode="overwrite")
     width = out.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
-    _emit({"step": "encode", "width": width, "columns": len(cats)})
+    _emit({"step": "encode", "width": width, "columns": len(cats), "fitted_on": "train" if a.key else "all"})
 
 
 def _lr(spark: SparkSession, data: DataFrame, a, name: str) -> tuple:
@@ -236,8 +239,8 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"clicklens-{args.cmd}").getOrCreate()
-    ensure_checkpoint_dir(spark)
-    args.fn(spark, args)
+    with scratch_scope(spark):
+        args.fn(spark, args)
 
 
 if __name__ == "__main__":

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,7 +62,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCOPES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    """A fresh, unique path under the shared checkpoint folder, in the innermost :func:`scratch_scope`."""
+    base = _SCOPES[-1] if _SCOPES else ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables written inside are deleted at its end, also when the job fails.
+
+    Frames that read them must be written or collected before that.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scope-{uuid.uuid4().hex[:12]}"
+    _SCOPES.append(path)
+    try:
+        yield path
+    finally:
+        _SCOPES.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -73,17 +73,20 @@ def read_tsv_quarantined(spark: SparkSession, path: str | Sequence[str], schema:
                          null_value: str | None = None, sep: str = "\t") -> tuple[DataFrame, DataFrame]:
     """S2 without failing: (good rows, bad lines as they were read).
 
-    A line is bad if it has too few or too many fields, or a field that isn't of its column's type.
-    The text is parsed once, into a table that both results read, so each line is in one of them.
+    A line is bad if it is empty, has too few or too many fields, or a field that isn't of its column's
+    type; a line of empty fields is a good row of nulls (the file reader would skip it). The text is
+    parsed once, into a table that both results read, so each line is in one of them.
     Output: ``schema``; ``line string``.
     """
-    reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])).option("sep", sep)
-              .option("header", "false").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD))
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    parsed = written(reader.csv(path if isinstance(path, str) else list(path)), "parsed")
-    good = parsed.where(F.col(_BAD).isNull()).drop(_BAD)
-    return good, parsed.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
+        options["nullValue"] = null_value
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    fields = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    parsed = lines.select(F.from_csv("value", fields.simpleString(), options).alias("row"), "value")
+    bad = F.when((F.col("value") == "") | F.col(f"row.{_BAD}").isNotNull(), F.col("value"))
+    parsed = written(parsed.select(*[F.col("row")[f.name].alias(f.name) for f in schema], bad.alias(_BAD)), "parsed")
+    return parsed.where(F.col(_BAD).isNull()).drop(_BAD), parsed.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
 def write_tsv(df: DataFrame, path: str, *, null_value: str | None = None, mode: str = "overwrite",

@@ -2,6 +2,7 @@
 reference layout built from the test tables."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def test_script_chain(spark, capsys):
 
     ohe = scratch_path(spark, "ohe")
     enc = _run(capsys, ["encode", "--input", pq, "--output", ohe, "--threshold", "10"])
-    assert enc["width"] > 0
+    assert enc["width"] > 0 and enc["fitted_on"] == "all"
     coef = scratch_path(spark, "coef")
     lr = _run(capsys, ["train-lr", "--input", ohe, "--coefficients", coef])
     assert lr["log_loss"] < lr["train_baseline_log_loss"] + 0.05
@@ -59,3 +60,16 @@ def test_script_chain(spark, capsys):
                            "--predictions", scratch_path(spark, "pred")])
     assert abs(trained["log_loss"] - scored["log_loss"]) < 1e-12
     assert scored["auroc"] > 0.8
+
+
+def test_steps_leave_no_scratch_and_encoders_fit_on_training_rows(spark, capsys, tmp_path):
+    from clicklens.session import ensure_checkpoint_dir
+
+    fx.signal_impressions(spark, SF_CHECK).write.parquet(str(tmp_path / "imp"))
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    one = _run(capsys, ["encode", "--input", str(tmp_path / "imp"), "--output", str(tmp_path / "x"), "--threshold", "40", "--key", "id"])
+    every = _run(capsys, ["encode", "--input", str(tmp_path / "imp"), "--output", str(tmp_path / "y"), "--threshold", "40", "--numeric", "n1,n2,n3,n4,n5"])
+    assert one["fitted_on"] == "train" and one["width"] < every["width"]
+    lr = _run(capsys, ["train-lr", "--input", str(tmp_path / "x"), "--key", "id", "--max-iter", "3"])
+    assert lr["train_rows"] > 0 and set(os.listdir(folder)) == before
