@@ -625,10 +625,12 @@ def _parts_sql(body: str, extra: str = "", share: float = 0.8) -> str:
     return sq.signal_parts(TRAIN_CUT[share], jobs.SPLIT_SALT, body, extra)
 
 
+# The jobs keep values above this share of the training rows, so they have the same features at every scale.
+JOB_SHARE = 0.005
 _JOB_ROWS = {
-    "onehot_lr": sq.job_row("onehot_lr", sq.width_sql(FEATURES, T)),
+    "onehot_lr": sq.job_row("onehot_lr", sq.width_sql(sq.share_vocab_sql(FEATURES, JOB_SHARE, "tr"))),
     "hashed_lr": sq.job_row("hashed_lr", f"CAST({jobs.HASH_WIDTH} AS BIGINT)"),
-    "random_forest": sq.job_row("random_forest", f"{2 * len(NUMS)} + {sq.width_sql(_CATS, T)}"),
+    "random_forest": sq.job_row("random_forest", f"{2 * len(NUMS)} + {sq.width_sql(sq.vocab_sql(_CATS, T, 'tr'))}"),
 }
 
 
@@ -648,7 +650,9 @@ def _checked(m: DataFrame) -> DataFrame:
                       ((F.col("test_log_loss") < F.col("baseline_log_loss")) & (F.col("test_auroc") > 0.5)).alias("learned"))
 
 
-def _onehot_fit(spark, sf_dir, cols=FEATURES, threshold=T, sentinels=SENT, **params):
+def _onehot_fit(spark, sf_dir, cols=FEATURES, threshold=None, sentinels=SENT, **params):
+    if threshold is None:
+        params.setdefault("share", JOB_SHARE)
     return jobs.onehot_fit(fx.signal_impressions(spark, sf_dir), "id", "y", cols, threshold, sentinels, **params)
 
 

@@ -102,10 +102,16 @@ tr AS (SELECT * FROM pt WHERE in_train), te AS (SELECT * FROM pt WHERE NOT in_tr
 {body}"""
 
 
-def width_sql(cols: Sequence[str], thresholds: Mapping[str, int], src: str = "tr") -> str:
+def share_vocab_sql(cols: Sequence[str], share: float, src: str) -> str:
+    """As :func:`vocab_sql`, for values above a share of the rows."""
+    return (f"SELECT col_name, value, n, (value IS NOT NULL AND n > (SELECT CAST(floor(count(*) * {share}) AS BIGINT) FROM {src})) AS kept "
+            f"FROM ({counts_sql(cols, src)}) c")
+
+
+def width_sql(vocabulary: str) -> str:
     """One number: one-hot slots of the stashed columns."""
     return (f"(SELECT CAST(sum(w) AS BIGINT) FROM (SELECT count(*) FILTER (kept) + CAST(count(*) FILTER (NOT kept) > 0 AS INTEGER) AS w "
-            f"FROM ({vocab_sql(cols, thresholds, src)}) v GROUP BY col_name) u)")
+            f"FROM ({vocabulary}) v GROUP BY col_name) u)")
 
 
 def job_row(model: str, width: str) -> str:
