@@ -1,36 +1,47 @@
 """Benchmark decontamination with spaced seeds; DataFrame functions only.
 
-Words are lower-cased runs of letters and digits. A seed is a mask of five
-words: one contiguous mask, and four that span six words and ignore one inside.
-Training texts and benchmark items are hashed under every mask; equal hashes
-propose an alignment (item, offset in the text), which is verified word by word.
-An alignment is an overlap if some ``SPAN`` consecutive words of the item (all of
-a shorter item) agree with the text at ``SIMILARITY`` of their positions or more.
-
-Nothing is lost for items of ``SPAN`` words and more: at most 2 of 13 words
-differ, so the other 11 stand in at most three runs, and two neighbouring runs
-hold five words, which one of the masks fits. Between five words and ``SPAN``, an
-overlap needs a seed that agrees. Items below five words can't be told from
-chance and match nothing.
+Words are lower-cased runs of letters and digits. A seed is a mask of some word
+positions; the others are ignored. Training texts and benchmark items are hashed
+under every mask; equal hashes propose an alignment (item, offset in the text), which
+is verified word by word. An alignment is an overlap if some ``SPAN`` consecutive words
+of the item (all of a shorter item) agree with the text at ``SIMILARITY`` of their
+positions or more.
+
+No overlap is lost, whatever the item's length. Of ``SPAN`` words at most 2 differ, so
+the other 11 stand in at most three runs; two neighbouring runs hold five words, which
+one of the masks of five fits. Of five to twelve words at most 2 differ (1 below ten):
+two neighbouring runs hold four words, or one run does, which a mask of four fits. Of
+one to four words none may differ, and the whole item is its seed. Each item is hashed
+under the masks of its length, and texts only under masks that some item has.
 
 Plan: the text scan, the split, the position and mask generators, the hash and
 the probe of the seed table are one code-generated stage; only verified candidates
 are shuffled. The seed table is broadcast if it has at most ``BROADCAST_SEEDS`` rows;
 a larger one is joined by shuffling (id, offset, hash), never the texts' words.
 
-Defined results: null or empty texts overlap with nothing; neither do null items.
-Rows that share a doc_id are reported under that id once. A null doc_id is
-reported as null. Repeated words, ties and very long texts need no special case.
-Other columns are ignored by the search and pass through the filter.
+Defined results: null or empty texts overlap with nothing; neither do null items and
+items without a word. Rows that share a doc_id are reported under that id once. A null
+doc_id is reported as null. Repeated words, ties and very long texts need no special
+case. Other columns are ignored by the search and pass through the filter.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MASKS = ((0, 1, 2, 3, 4), (0, 2, 3, 4, 5), (0, 1, 3, 4, 5), (0, 1, 2, 4, 5), (0, 1, 2, 3, 5))
 SPAN = 13
+# (fewest and most words of an item, its masks)
+MASKS = (
+    (SPAN, 1 << 31, ((0, 1, 2, 3, 4), (0, 2, 3, 4, 5), (0, 1, 3, 4, 5), (0, 1, 2, 4, 5), (0, 1, 2, 3, 5))),
+    (5, SPAN - 1, ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4))),
+    (4, 4, ((0, 1, 2, 3),)),
+    (3, 3, ((0, 1, 2),)),
+    (2, 2, ((0, 1),)),
+    (1, 1, ((0,),)),
+)
 SIMILARITY = 0.8
 # Three numbers a row: 64 MB at most.
 BROADCAST_SEEDS = 1_000_000
@@ -40,36 +51,42 @@ def words(text: str) -> Column:
     return F.array_remove(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(at: Column) -> Column:
+def _seeds(at: Column, masks: list[tuple[int, ...]]) -> Column:
     """Hashes of all masks at a 0-based position; null where a mask runs over the end."""
     w = F.col("w")
-    out = []
-    for m, offsets in enumerate(MASKS):
-        whole = at + offsets[-1] < F.size(w)
-        out.append(F.when(whole, F.xxhash64(F.lit(m), *[F.get(w, at + o) for o in offsets])))
+    out = [F.when(at + offsets[-1] < F.size(w), F.xxhash64(F.lit(str(offsets)), *[F.get(w, at + o) for o in offsets])) for offsets in masks]
     return F.array(*out)
 
 
-def _positions(rows: DataFrame, keep: list[str]) -> DataFrame:
+def _positions(rows: DataFrame, keep: list[str], masks: list[tuple[int, ...]]) -> DataFrame:
     """One row for each position and mask: ``keep``, p, h."""
     # the outer form: the plain one adds a filter that would split every text once more
     at = rows.select(*keep, "w", F.posexplode_outer("w").alias("p", "_word"))
-    return at.select(*keep, "w", "p", F.explode(_seeds(F.col("p"))).alias("h")).where("h IS NOT NULL")
+    return at.select(*keep, "w", "p", F.explode(_seeds(F.col("p"), masks)).alias("h")).where("h IS NOT NULL")
+
+
+def _item_seeds(items: DataFrame) -> tuple[DataFrame, list[tuple[int, ...]]]:
+    """(item_id, q, n, h) of all items, and the masks that they use."""
+    n = F.size("w")
+    counts = items.agg(*[F.count_if(n.between(low, high)).alias(f"n{low}") for low, high, _ in MASKS]).first()
+    used = [(low, high, masks) for (low, high, masks), count in zip(MASKS, counts, strict=True) if count]
+    parts = [_positions(items.where(n.between(low, high)), ["item_id"], list(masks)) for low, high, masks in used or MASKS[:1]]
+    seeds = reduce(DataFrame.union, [p.select("item_id", F.col("p").alias("q"), n.alias("n"), "h") for p in parts])
+    return seeds.distinct(), sorted({m for _, _, masks in used or MASKS[:1] for m in masks})
 
 
 def candidates(docs: DataFrame, items: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """(doc_id, item_id, diag, part): the aligned words of the text, from word max(diag, 0) on."""
     texts = docs.where("text IS NOT NULL").select("doc_id", words("text").alias("w"))
-    seeds = (_positions(items, ["item_id"]).select("item_id", F.col("p").alias("q"), F.size("w").alias("n"), "h")
-             .distinct())
+    seeds, masks = _item_seeds(items)
     part = F.slice("w", F.greatest(F.col("diag"), F.lit(0)) + 1,
                    F.greatest(F.col("n") + F.least(F.col("diag"), F.lit(0)), F.lit(0)))
     keys = ["doc_id", "item_id", "diag"]
     if seeds.count() <= broadcast_seeds:
-        hits = _positions(texts, ["doc_id"]).join(F.broadcast(seeds), "h")
+        hits = _positions(texts, ["doc_id"], masks).join(F.broadcast(seeds), "h")
         return (hits.withColumn("diag", F.col("p") - F.col("q"))
                 .select(*keys, part.alias("part")).distinct())
-    hits = (_positions(texts, ["doc_id"]).select("doc_id", "p", "h").join(seeds, "h")
+    hits = (_positions(texts, ["doc_id"], masks).select("doc_id", "p", "h").join(seeds, "h")
             .select("doc_id", "item_id", (F.col("p") - F.col("q")).alias("diag"), "n").distinct())
     found = hits.withColumnRenamed("doc_id", "hit_id")
     return (texts.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")))
@@ -84,7 +101,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, similarity
     the text begins inside the item); ``n_same``: item words that agree there;
     ``similarity``: share that agrees in the best ``span`` words.
     """
-    items = benchmark.where("text IS NOT NULL").select("item_id", words("text").alias("w"))
+    items = benchmark.where("text IS NOT NULL").select("item_id", words("text").alias("w")).where(F.size("w") > 0)
     found = candidates(docs, items, broadcast_seeds)
     shift = F.greatest(-F.col("diag"), F.lit(0))
     same = F.transform("w", lambda x, j: F.coalesce(F.get("part", F.when(j >= shift, j - shift).otherwise(-1)) == x, F.lit(False)).cast("int"))
@@ -112,20 +129,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _sql() -> str:
-    leads = ", ".join(f"lead(word, {o}) OVER v AS w{o}" for o in range(1, 6))
-    hits = " UNION ".join(
-        "SELECT d.doc_id, i.item_id, d.p - i.p AS diag FROM dp d JOIN ip i ON "
-        + " AND ".join(f"d.w{o} = i.w{o}" for o in offsets) for offsets in MASKS)
-    pos = ("SELECT {0}, p, word, word AS w0, " + leads + " FROM {1} WINDOW v AS (PARTITION BY {0} ORDER BY p)")
+    # every alignment with an equal word, if enough words agree for any window to
+    hits = (f"SELECT d.doc_id, i.item_id, d.p - i.p AS diag FROM dw d JOIN iw i USING (word) JOIN size USING (item_id) "
+            f"GROUP BY d.doc_id, i.item_id, d.p - i.p, size.width HAVING count(*) >= {SIMILARITY} * size.width")
     split = ("SELECT {0}, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM (SELECT {0}, list_filter(regexp_split_to_array("
              "lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {1} WHERE text IS NOT NULL)")
     return f"""
 WITH dw AS ({split.format("doc_id", "documents")}), iw AS ({split.format("item_id", "benchmark")}),
-dp AS ({pos.format("doc_id", "dw")}), ip AS ({pos.format("item_id", "iw")}),
+size AS (SELECT item_id, count(*) AS n_words, least(count(*), {SPAN}) AS width FROM iw GROUP BY item_id),
 hits AS ({hits}),
 same AS (SELECT h.doc_id, h.item_id, h.diag, i.p, CASE WHEN d.word = i.word THEN 1 ELSE 0 END AS same
   FROM hits h JOIN iw i ON i.item_id = h.item_id LEFT JOIN dw d ON d.doc_id = h.doc_id AND d.p = h.diag + i.p),
-size AS (SELECT item_id, count(*) AS n_words, least(count(*), {SPAN}) AS width FROM iw GROUP BY item_id),
 frames AS (SELECT s.*, sum(same) OVER (PARTITION BY doc_id, item_id, diag ORDER BY p ROWS BETWEEN {SPAN - 1} PRECEDING AND CURRENT ROW) AS best FROM same s),
 aligned AS (SELECT doc_id, item_id, diag, n_words, sum(same) AS n_same, max(best) / any_value(width)::DOUBLE AS similarity,
   max(best) AS best, any_value(width) AS width FROM frames JOIN size USING (item_id) GROUP BY ALL),

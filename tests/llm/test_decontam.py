@@ -1,9 +1,13 @@
 """Decontamination against a plain scan of all alignments, and its plan."""
 
+import itertools
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
+import pyarrow as pa
 import pytest
 
 from clicklens.llm import decontam as D
@@ -19,16 +23,15 @@ def plain(docs, items):
             where[x].append(p)
         for i, u in items:
             a = words(u)
-            if i is None or len(a) < 5:
+            if i is None or not a:
                 continue
             width = min(13, len(a))
             for g, n in Counter(p - j for j, x in enumerate(a) for p in where[x]).items():
-                if n < 5:  # a seed takes five equal words
+                if n < 0.8 * width:
                     continue
                 same = [0 <= g + j < len(w) and w[g + j] == x for j, x in enumerate(a)]
-                seed = any(all(q + o < len(a) and same[q + o] for o in m) for q in range(len(a)) for m in D.MASKS)
                 best = max(sum(same[s:s + width]) for s in range(len(a) - width + 1))
-                if seed and best >= 0.8 * width:
+                if best >= 0.8 * width:
                     out[d, i] = max(out.get((d, i), (0,)), (best / width, sum(same), -g))
     return sorted((d if d is not None else -1, i, -g, n, s) for (d, i), (s, n, g) in out.items())
 
@@ -58,6 +61,32 @@ def test_overlaps(spark, limit):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.item_id, r.word_pos, r.n_same, r.similarity) for r in got.collect()) == plain(docs, items)
 
 
+@pytest.mark.parametrize("n", range(1, 15))
+def test_every_pattern_of_changes_is_found(spark, n):
+    """All ways to change words of an item of n words that leave 0.8 of them: each is proposed by a seed."""
+    most = n - math.ceil(0.8 * n)
+    a = [f"w{i}" for i in range(n)]
+    texts = [["x" if i in gone else x for i, x in enumerate(a)] for k in range(most + 2) for gone in itertools.combinations(range(n), min(k, n))]
+    docs = [(i, "begin " + " ".join(t) + " end") for i, t in enumerate(texts)]
+    got = D.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(a))], "item_id long, text string"))
+    want = plain(docs, [(1, " ".join(a))])
+    assert sorted((r.doc_id, r.item_id, r.word_pos, r.n_same, r.similarity) for r in got.collect()) == want
+    assert len(want) >= sum(math.comb(n, k) for k in range(most + 1))
+
+
+def test_very_long_text_and_sql(spark):
+    docs = [(1, "filler " * 60_000 + "Four words, in all! " + "filler " * 60_000), (2, "four words in Paris"), (3, "a b c d x"), (4, "one")]
+    items = [(1, "four words in all"), (2, "a b c d e"), (3, "one"), (4, "!"), (5, "k l m n X o p q r s")]
+    docs.append((5, "k l m n Y Z p q r s"))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    for name, rows in (("documents", docs), ("benchmark", items)):
+        con.register(name, pa.table({("doc_id" if name == "documents" else "item_id"): [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    got = sorted(tuple(r) for r in D.query(d, b).collect())
+    assert got == sorted(con.execute(D.ORACLE).fetchall())
+    assert [r[:2] for r in got] == [(1, 1), (3, 2), (4, 3), (5, 5)]
+
+
 def test_filter(spark):
     docs, items = cases()
     d = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, bad_id string")
