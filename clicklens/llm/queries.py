@@ -84,5 +84,5 @@ _ALL = (op1_quality_classifier, op2_sentencepiece, op3_warc, op4_embedding_near_
         op12_best_fit_packing, op13_periodic_runs)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLE: dict[str, str] = {"op3_warc": warc_cas.ORACLE, "op6_decontamination": decontam.ORACLE,
-                          "op11_ranked_search": ball_tree.ORACLE}
+ORACLE: dict[str, str] = {"op3_warc": warc_cas.ORACLE, "op4_embedding_near_dedup": embed_pca.ORACLE,
+                          "op6_decontamination": decontam.ORACLE, "op11_ranked_search": ball_tree.ORACLE}
