@@ -48,6 +48,16 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def shielded(df: DataFrame, working: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Callers' columns with the name of a working column under other names, and the way back.
+
+    Names are compared as Spark does, without case.
+    """
+    own = {w.lower() for w in working}
+    away = {c: f"_caller_{i}_{c}" for i, c in enumerate(df.columns) if c.lower() in own}
+    return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
+
+
 def id_crc(doc_id: str = "doc_id") -> Column:
     """CRC-32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

@@ -28,7 +28,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import id_crc, materialize, small_batches
+from clicklens.llm.common import id_crc, materialize, shielded, small_batches
 
 WORDS, FACTORS = 1 << 11, 4
 # Bound of the training sample (rows), and steps of the solver.
@@ -39,6 +39,8 @@ _SHARES = {"upper": r"[^\p{Lu}]+", "digit": r"[^0-9]+", "symbol": r"[\p{L}\p{N}\
 _SCALE = {"upper": 5.0, "digit": 10.0, "symbol": 10.0, "line": 20.0, "word_length": 2.0, "distinct_words": 3.0, "repeated": 5.0,
           "distinct_lines": 2.0, "long_text": 0.1, "meta_chars": 0.1}
 STATS = list(_SCALE)
+# Columns that with_features makes on its way; callers may have columns of these names.
+WORKING = ["features", "_text", "_meta", "_words", "_lines", "_n", "_counts", "_unit", "_scaled", *[f"_{s}" for s in STATS]]
 # Weight of the word vector beside the statistics.
 WORD_SCALE = 0.1
 
@@ -127,8 +129,9 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.concatenate(raw), -700, 700))) if raw else np.zeros(0))
 
     parts = F.unwrap_udt("features")
-    return (with_features(small_batches(docs)).withColumn("score", score(F.struct(parts["indices"].alias("indices"), parts["values"].alias("values"))))
-            .drop("features"))
+    rows, back = shielded(small_batches(docs), WORKING)
+    return (with_features(rows).withColumn("score", score(F.struct(parts["indices"].alias("indices"), parts["values"].alias("values"))))
+            .drop("features").withColumnsRenamed(back))
 
 
 def held_out() -> Column:

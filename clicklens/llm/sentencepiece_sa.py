@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import slices, small_batches
+from clicklens.llm.common import shielded, slices, small_batches
 
 SPACE = "▁"
 # Characters of text handled at a time, words kept in a task's cache, symbols above which a word uses the heap.
@@ -263,8 +263,9 @@ def with_ids_and_text(docs: DataFrame, vocabulary: Vocabulary, text: str = "text
             found = encode([None if t is None else t for t in s], vocabulary, cache)
             yield pd.DataFrame({"ids": pd.Series(found, dtype=object), "decoded": pd.Series([decode(x, vocabulary) for x in found], dtype=object)})
 
-    both = small_batches(docs).withColumn("_pieces", run(F.col(text)))
-    return both.withColumns({ids: F.col("_pieces.ids"), decoded: F.col("_pieces.decoded")}).drop("_pieces")
+    rows, back = shielded(small_batches(docs), ["_pieces"])
+    both = rows.withColumn("_pieces", run(F.col(text)))
+    return both.withColumns({ids: F.col("_pieces.ids"), decoded: F.col("_pieces.decoded")}).drop("_pieces").withColumnsRenamed(back)
 
 
 def with_text(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:

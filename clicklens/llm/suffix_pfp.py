@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicklens.llm.common import materialize, small_batches
+from clicklens.llm.common import materialize, shielded, small_batches
 
 LENGTH = 100
 GRAM = 32  # a power of two
@@ -317,12 +317,13 @@ def query(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows with repeated strings cut from their texts; n_chars follows. Bytes of a
     character cut in two go with it. A null text stays null; a text removed whole is empty."""
-    out = remove_repeats(docs)
+    rows, back = shielded(docs, ["repeats", K, SEQ, "_pfp_spans"])
+    out = remove_repeats(rows)
     text = F.when(F.col("text").isNotNull(), _decode("repeats.kept"))
     out = out.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*rows.columns).withColumnsRenamed(back)
 
 
 @F.pandas_udf(T.StringType())

@@ -31,7 +31,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import materialize
+from clicklens.llm.common import materialize, shielded
 
 # (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -115,6 +115,7 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, min_su
     """Adds host, path, rule, verdict and mined_rule (its tokens) to rows with a ``url``."""
     rule, verdict = fixed_rule(rules)
     own = ["host", "path", "rule", "verdict", "mined_rule"]
+    urls, back = shielded(urls, ["_fixed", "_tokens", "_set", "_learned"])
     kept = [c for c in urls.columns if c not in own]
     parts = (with_parts(urls).withColumns({"rule": rule, "_fixed": verdict, "_tokens": tokens()}))
     mined = materialize(mine(parts.select(F.col("_tokens").alias("tokens"), F.col("_fixed").alias("label")), min_support, min_confidence), "url-rules")
@@ -125,7 +126,7 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, min_su
                .withColumn("verdict", F.coalesce("_learned", F.lit(DEFAULT))))
     # urls of a fixed rule take no part in the join, where they would share one key
     fixed = parts.where("_fixed IS NOT NULL").withColumns({"verdict": F.col("_fixed"), "mined_rule": F.lit(None).cast("array<string>")})
-    return learned.select(*kept, *own).unionByName(fixed.select(*kept, *own))
+    return learned.select(*kept, *own).unionByName(fixed.select(*kept, *own)).withColumnsRenamed(back)
 
 
 def query(pages: DataFrame) -> DataFrame:
