@@ -1,18 +1,20 @@
 """SimHash near-duplicates, searched with BK-trees.
 
 A fingerprint is the bitwise majority of the XXH64 of all word shingles. Only
-distinct fingerprints are searched. Two fingerprints that differ in at most r
-bits agree in all but r of r+2 equal blocks, so each fingerprint is dealt to one
-bucket per pair of blocks that may agree; every pair within the radius meets in
-some bucket. A task streams its buckets one by one, builds the bucket's BK-tree
-(children keyed by their integer Hamming distance to the parent) and follows,
-for each query, only the edges whose key lies within the radius.
-
-Fingerprints grow with the input, so no tree is sent through the driver: a
-bucket above ``TILE`` fingerprints is cut into tree shards and query blocks, and
-each shard is shipped to each block of that bucket by the shuffle, so a hot
-bucket is spread over tasks. A tile gives a spanning forest of its links (at most one link for
-each fingerprint), never all pairs.
+distinct fingerprints are searched. They are dealt to shards of about ``SHARD``
+fingerprints: r+1 groups of b bits each are set apart, b being the number of bits
+that brings n fingerprints down to that size (none for a small table, which is one
+tree). Two fingerprints that differ in at most r bits agree in one group at least,
+so every pair within the radius meets in a shard, at every size. A shard is one
+BK-tree (children keyed by their integer Hamming distance to the parent), and each
+of its fingerprints walks it along the edges whose key lies within the radius of its
+distance to the node. Trees are arrays and all queries of a block walk in step.
+
+Fingerprints grow with the input, so no tree is sent through the driver: a shard
+above ``TILE`` fingerprints is cut into trees and query blocks, and each tree is sent
+to every block of that shard by the shuffle, so a hot shard is spread over tasks and
+no tree exceeds its bound. A tile gives a spanning forest of its links (at most one
+link for each fingerprint), never all pairs.
 
 Defined results: null text, empty text and white space have no words and the
 fingerprint zero, linked like any other. Repeated ids are rows of their own.
@@ -23,7 +25,6 @@ through ``with_fingerprint``. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,9 @@ from clicklens.llm.common import materialize, small_batches
 from clicklens.llm.components import connected_components
 
 SEED = 42
-# A bucket above this many fingerprints is cut into tiles; results don't depend on it.
-TILE = 2048
+# Fingerprints that a shard should hold, and above which it is cut into tiles; results depend on neither.
+SHARD, TILE = 4096, 16384
+_QUERIES = 256
 _CHUNK = 1 << 16
 
 
@@ -73,43 +75,54 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text") -> D
 
 
 class BKTree:
-    """Nodes are [value, {distance to the parent: child}]."""
-
-    def __init__(self) -> None:
-        self.root: list | None = None
-
-    def add(self, value: int) -> None:
-        if self.root is None:
-            self.root = [value, {}]
-            return
-        node = self.root
-        while True:
-            d = (node[0] ^ value).bit_count()
-            child = node[1].get(d)
-            if d == 0:
-                return
-            if child is None:
-                node[1][d] = [value, {}]
-                return
-            node = child
-
-    def within(self, value: int, radius: int) -> Iterator[int]:
-        todo = [self.root] if self.root else []
-        while todo:
-            at, children = todo.pop()
-            d = (at ^ value).bit_count()
-            if d <= radius:
-                yield at
-            for k in range(max(1, d - radius), d + radius + 1):
-                if k in children:
-                    todo.append(children[k])
-
-
-def tile_links(tree_values: list[int], queries: list[int], radius: int) -> list[tuple[int, int]]:
+    """Distinct 64-bit values as a tree of arrays: ``child[i, d]`` is the child of node i at distance d, or -1.
+
+    Node i holds ``values[i]``. The tree is the one that inserting the values in their
+    order gives: of the values that arrive at a free place together, the first takes it.
+    """
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.values = np.asarray(values, np.uint64)
+        self.child = np.full((len(self.values), 65), -1, np.int32)
+        waiting = np.arange(1, len(self.values))
+        at = np.zeros(len(waiting), np.int64)
+        while len(waiting):
+            place = at * 65 + np.bitwise_count(self.values[at] ^ self.values[waiting])
+            places, first = np.unique(place, return_index=True)
+            self.child.reshape(-1)[places] = waiting[first]
+            left = np.ones(len(waiting), bool)
+            left[first] = False
+            at, waiting = self.child.reshape(-1)[place[left]].astype(np.int64), waiting[left]
+
+    def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(query, node) numbers of all pairs within the radius, and how many nodes were visited."""
+        queries = np.asarray(queries, np.uint64)
+        found_q, found_n, visited = [], [], 0
+        steps = np.arange(-radius, radius + 1)
+        for begin in range(0, len(queries) if len(self.values) else 0, _QUERIES):
+            q = np.arange(begin, min(begin + _QUERIES, len(queries)))
+            node = np.zeros(len(q), np.int64)
+            while len(q):
+                visited += len(q)
+                d = np.bitwise_count(queries[q] ^ self.values[node]).astype(np.int64)
+                hit = d <= radius
+                found_q.append(q[hit])
+                found_n.append(node[hit])
+                keys = d[:, None] + steps
+                after = self.child[node[:, None], np.clip(keys, 0, 64)]
+                row, col = np.nonzero((after >= 0) & (keys > 0) & (keys <= 64))
+                q, node = q[row], after[row, col].astype(np.int64)
+        if not found_q:
+            return np.empty(0, np.int64), np.empty(0, np.int64), visited
+        return np.concatenate(found_q), np.concatenate(found_n), visited
+
+
+def tile_links(tree_values: np.ndarray, queries: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between queries and tree values."""
-    tree = BKTree()
-    for v in tree_values:
-        tree.add(v)
+    tree = BKTree(tree_values)
+    at, node, _ = tree.within(queries, radius)
+    a, b = np.asarray(queries, np.uint64)[at], tree.values[node]
+    other = a != b
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -119,31 +132,32 @@ def tile_links(tree_values: list[int], queries: list[int], radius: int) -> list[
         return x
 
     out = []
-    for q in queries:
-        for v in tree.within(q, radius):
-            a, b = root(q), root(v)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((q, v))
+    for q, v in zip(a[other].tolist(), b[other].tolist(), strict=True):
+        x, y = root(q), root(v)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((q, v))
     return out
 
 
-def _block_keys(fp: Column, radius: int) -> Column:
-    """One (which blocks, their bits) entry for each choice of blocks that may agree."""
-    n = radius + 2
-    edges = [64 * i // n for i in range(n + 1)]
-    masks = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(n)]
-    keys = []
-    for c, kept in enumerate(combinations(range(n), 2)):
-        mask = sum(masks[i] for i in kept)
-        mask -= (mask >> 63) << 64
-        keys.append(F.struct(F.lit(c).alias("c"), fp.bitwiseAND(F.lit(mask)).alias("key")))
-    return F.array(*keys)
+def shard_bits(n: int, radius: int, shard: int = SHARD) -> int:
+    """Bits of a group so that n fingerprints make shards of at most about ``shard``."""
+    return min(max(0, (max(n - 1, 0) // shard).bit_length()), 64 // (radius + 1))
 
 
-def fingerprint_links(fps: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
+def _shard_keys(fp: Column, radius: int, bits: int) -> Column:
+    """One (group, its bits) entry for each group; with no bits all share one shard."""
+    if not bits:
+        return F.array(F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("key")))
+    width = 64 // (radius + 1)
+    return F.array(*(F.struct(F.lit(g).alias("c"), F.shiftrightunsigned(fp, g * width).bitwiseAND(F.lit((1 << bits) - 1).cast("long")).alias("key"))
+                     for g in range(radius + 1)))
+
+
+def fingerprint_links(fps: DataFrame, radius: int = 2, tile: int = TILE, shard: int = SHARD) -> DataFrame:
     """Distinct ``fingerprint`` rows -> (src, dst) links whose components are those of all links."""
-    dealt = (fps.select("fingerprint", F.explode(_block_keys(F.col("fingerprint"), radius)).alias("b"))
+    bits = shard_bits(fps.count(), radius, shard)
+    dealt = (fps.select("fingerprint", F.explode(_shard_keys(F.col("fingerprint"), radius, bits)).alias("b"))
              .select("b.c", "b.key", "fingerprint"))
     sizes = (dealt.groupBy("c", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
              .select("c", "key", F.ceil(F.col("n") / tile).cast("int").alias("k")))
@@ -163,11 +177,11 @@ def fingerprint_links(fps: DataFrame, radius: int = 2, tile: int = TILE) -> Data
             new = np.ones(len(part), bool)
             new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
             cuts = [*np.flatnonzero(new).tolist(), len(part)]
-            fp, role = part["fingerprint"].to_numpy().view(np.uint64).tolist(), part["role"].to_numpy()
+            fp, role = part["fingerprint"].to_numpy().view(np.uint64), part["role"].to_numpy()
             found: list[tuple[int, int]] = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 mid = a + int((role[a:b] == 0).sum())
-                found += tile_links(fp[a:mid], fp[mid:b] or fp[a:mid], radius)
+                found += tile_links(fp[a:mid], fp[mid:b] if mid < b else fp[a:mid], radius)
             pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             return pd.DataFrame({"src": pairs[:, 0], "dst": pairs[:, 1]})
 
@@ -191,7 +205,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 2, tile: int = TILE) -> Data
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fingerprint long, component_id): the smallest doc_id reachable over links."""
     rows = materialize(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fingerprint"), "simhash")
-    distinct = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
+    distinct = materialize(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     comps = connected_components(fingerprint_links(distinct, radius))
     roots = (distinct.join(comps, distinct.fingerprint == comps.node, "left")
              .select("fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("root")))

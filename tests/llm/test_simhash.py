@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -51,11 +52,11 @@ def test_fingerprint(text):
     assert S.fingerprint_of(text) == plain_fingerprint(text)
 
 
-@pytest.mark.parametrize("tile", [7, 2048])
-def test_links_reach_all_pairs(spark, tile):
+@pytest.mark.parametrize(("tile", "shard"), [(7, 2048), (8192, 2048), (8192, 20), (5, 2)])
+def test_links_reach_all_pairs(spark, tile, shard):
     values = sorted(set(near_values(300)))
     signed = [v - ((v >> 63) << 64) for v in values]
-    links = S.fingerprint_links(spark.createDataFrame([(v,) for v in signed], "fingerprint long"), 2, tile)
+    links = S.fingerprint_links(spark.createDataFrame([(v,) for v in signed], "fingerprint long"), 2, tile, shard)
     for a, b in [(r.src, r.dst) for r in links.collect()]:
         assert ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2
     found = {r.node: r.component for r in connected_components(links).collect()}
@@ -63,13 +64,40 @@ def test_links_reach_all_pairs(spark, tile):
     assert [found.get(v, v) for v in signed] == want
 
 
-def test_bk_tree_follows_only_near_edges():
-    values = near_values(400, 9)
-    tree = S.BKTree()
-    for v in values:
-        tree.add(v)
-    for q in values[:50]:
-        assert sorted(tree.within(q, 2)) == sorted({v for v in values if (v ^ q).bit_count() <= 2})
+def plain_visits(values, query, radius):
+    """Found values and visited nodes of a tree of dictionaries, built by inserting one by one."""
+    root = [values[0], {}]
+    for v in values[1:]:
+        node = root
+        while (d := (node[0] ^ v).bit_count()) in node[1]:
+            node = node[1][d]
+        node[1][d] = [v, {}]
+    todo, found, visited = [root], [], 0
+    while todo:
+        at, children = todo.pop()
+        visited += 1
+        d = (at ^ query).bit_count()
+        found += [at] if d <= radius else []
+        todo += [c for k, c in children.items() if abs(k - d) <= radius]
+    return sorted(found), visited
+
+
+@pytest.mark.parametrize("radius", [0, 2, 5])
+def test_bk_tree_follows_only_near_edges(radius):
+    values = list(dict.fromkeys(near_values(400, 9)))
+    tree = S.BKTree(np.array(values, np.uint64))
+    for q in values[:40] + [0, (1 << 64) - 1]:
+        _, nodes, visited = tree.within(np.array([q], np.uint64), radius)
+        found, want = plain_visits(values, q, radius)
+        assert sorted(tree.values[nodes].tolist()) == found == sorted(v for v in values if (v ^ q).bit_count() <= radius)
+        assert visited == want <= len(values)
+    at, nodes, _ = tree.within(np.array(values, np.uint64), radius)
+    assert len(at) == sum((a ^ b).bit_count() <= radius for a in values for b in values)
+    assert len(S.BKTree(np.array([], np.uint64)).within(np.array(values, np.uint64), 2)[0]) == 0
+
+
+def test_shards_hold_whole_trees():
+    assert [S.shard_bits(n, 2, 2048) for n in (0, 1, 2048, 2049, 4096, 4097, 10**6, 10**12)] == [0, 0, 0, 1, 1, 2, 9, 21]
 
 
 def test_query_and_filter(spark):
