@@ -45,6 +45,7 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 DEFAULT = "allow"
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.8
 LABEL = "label="
+HOT = 1024
 
 
 def _rest(url: Column) -> Column:
@@ -168,11 +169,17 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, min_su
     labelled = parts.select(F.col("_tokens").alias("tokens"), F.col("_fixed").alias("label"))
     items = materialize(condense(labelled, min_support), "url-items")
     mined = materialize(rules_of(labelled, items, min_support, min_confidence), "url-rules")
-    sets = parts.where("_fixed IS NULL").select(F.col("_tokens").alias("tokens")).distinct()
-    best = match(sets, mined, items).select(F.col("tokens").alias("_set"), F.col("label").alias("_learned"), F.col("rule_tokens").alias("mined_rule"))
+    # sets that hold more than 1 / HOT of the urls, fewer than HOT of them, are joined by broadcast: none is a hot key
+    sets = materialize(parts.where("_fixed IS NULL").groupBy(F.col("_tokens").alias("tokens")).agg(F.count(F.lit(1)).alias("n")), "url-sets")
+    best = match(sets.select("tokens"), mined, items).select(F.col("tokens").alias("_set"), F.col("label").alias("_learned"), F.col("rule_tokens").alias("mined_rule"))
+    hot = sets.where(F.col("n") * HOT > (sets.agg(F.sum("n")).first()[0] or 0)).select("tokens")
+    best = materialize(best, "url-best")
+    hot_best = hot.join(best, F.col("tokens") == F.col("_set"), "left").select(F.col("tokens").alias("_set"), "_learned", "mined_rule")
     parts = parts.drop("verdict", "mined_rule")
-    learned = (parts.where("_fixed IS NULL").join(best, F.col("_tokens") == F.col("_set"), "left")
-               .withColumn("verdict", F.coalesce("_learned", F.lit(DEFAULT))))
+    open_urls, same = parts.where("_fixed IS NULL"), F.col("_tokens") == F.col("_set")
+    often = open_urls.join(F.broadcast(hot_best), same)
+    others = open_urls.join(F.broadcast(hot_best.select("_set")), same, "left_anti").join(best, same, "left")
+    learned = often.unionByName(others).withColumn("verdict", F.coalesce("_learned", F.lit(DEFAULT)))
     # urls of a fixed rule take no part in the join, where they would share one key
     fixed = parts.where("_fixed IS NOT NULL").withColumns({"verdict": F.col("_fixed"), "mined_rule": F.lit(None).cast("array<string>")})
     return learned.select(*kept, *own).unionByName(fixed.select(*kept, *own)).withColumnsRenamed(back)

@@ -94,3 +94,11 @@ def test_copies_of_a_long_url(spark):
     rows = [long] * 100 + [f"http://good.test/{i % 3}/x" for i in range(100)] + [long.replace("bad", "c"), "http://d.test/1/x"]
     got = {r.url: (r.rule, r.verdict) for r in U.judge(spark.createDataFrame([(u,) for u in rows], "url string"), rules).collect()}
     assert got[long] == ("bad.test/", "block") and got[long.replace("bad", "c")] == (None, "block") and got["http://d.test/1/x"] == (None, "allow")
+
+
+def test_hot_sets_are_judged_alike(spark, monkeypatch):
+    df = spark.createDataFrame([(u, i) for i, u in enumerate([*urls(), None, "x"] + urls()[:1] * 200)], "url string, id int")
+    want = sorted(map(str, U.judge(df).collect()))
+    for hot in (1, 8):  # no set, and a few, are joined by broadcast
+        monkeypatch.setattr(U, "HOT", hot)
+        assert sorted(map(str, U.judge(df).collect())) == want
