@@ -4,17 +4,18 @@ Letters are lower-cased; white space and all that is no letter is symbol 0, mark
 left out, and every other letter is its code point (those above 65,535 share 8,448
 symbols that no letter has), so a 4-gram is a 64-bit key and any alphabet keeps its
 letters apart. Counts come from every training text in one pass: each task counts its
-texts' 4-grams, Spark sums them in a hash table of 2**24 slots for each language, which
-bounds what one language's model takes; 4-grams that share a slot are counted as one.
+texts' 4-grams, and Spark sums them by language and 4-gram, each 4-gram by itself.
 Lower orders use continuation counts, which follow from the 4-gram types alone.
 
 A language's model is a set of arrays of its own: for each order hashed keys, sorted by
-hash, beside log probabilities, and contexts with their back-off weights. They are built
-from a group of languages at a time and written to the shared folder, one file a
-language. Tasks score the distinct 4-grams of a batch language by language, with a
-running minimum, so memory follows the largest language and not their number; files
-are kept in a cache of bounded size. A text goes to the language of the lowest
-cross-entropy per symbol.
+hash, beside log probabilities, and contexts with their back-off weights. Tasks build
+them, each from a group of languages or from a part of a large one, and write them to
+the shared folder. The 4-grams of a part share their middle two symbols' hash, so it
+holds all that orders 3 and 4 need; a large language's bigrams are in each of its parts.
+Tasks score the distinct 4-grams of a batch part by part and language by language, with
+a running minimum, so memory follows neither the number of languages nor the size of
+one; files are kept in a cache of bounded size. A text goes to the language of the
+lowest cross-entropy per symbol.
 
 Rejection is calibrated on texts as if they were new: a second pass over all
 training texts gives the mean H and variance V of the code length of a symbol in
@@ -50,14 +51,14 @@ from clicklens.session import scratch_path
 ORDER = 4
 BITS = 16
 UNKNOWN = "und"
-# Slots of a language's hash table of 4-gram counts, and most 4-gram types that the driver builds models from at a time.
-SLOTS = 1 << 24
-GROUP_TYPES = 1 << 24
+# 4-gram types that a task builds models from; a language of more has several parts.
+GROUP_TYPES = 1 << 20
 # Bytes of models that a task keeps; beyond, they are read again.
 CACHE_BYTES = 1 << 28
 # Calibration of the rejection.
 SLACK, Z, RHO = 1.5, 4.0, 8.0
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_DEAL = 1_640_531_527  # times 32 bits, it stays below 2**63
 _DROP = 0xFFFF
 _PIECE = 1 << 20
 
@@ -179,10 +180,11 @@ def _trained(rows: DataFrame) -> DataFrame:
     return small_batches(rows).where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
 
 
-def count_grams(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+def count_grams(rows: DataFrame, slots: int | None = None) -> DataFrame:
     """(text, lang) -> (lang, gram, n, alone) over all rows with both values; ``alone``: all its texts share a sketch.
 
-    4-grams of one language that share one of the ``slots`` are one row."""
+    Every 4-gram of a language is a row. Only a caller that gives ``slots`` gets at most so
+    many rows a language, where 4-grams that share a slot are one row; no model is built so."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             for lang, texts in part.groupby("lang")["text"]:
@@ -195,7 +197,7 @@ def count_grams(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
                     yield pd.DataFrame({"lang": lang, "gram": kinds.view(np.int64), "n": np.bincount(code), "low": low, "high": high})
 
     return (_trained(rows).mapInPandas(count, "lang string, gram long, n long, low long, high long")
-            .groupBy("lang", F.pmod(F.xxhash64("gram"), F.lit(slots)).alias("slot"))
+            .groupBy("lang", (F.col("gram") if slots is None else F.pmod(F.xxhash64("gram"), F.lit(slots))).alias("slot"))
             .agg(F.min("gram").alias("gram"), F.sum("n").alias("n"), (F.min("low") == F.max("high")).alias("alone")).drop("slot"))
 
 
@@ -205,6 +207,8 @@ def _hashed(keys: np.ndarray) -> np.ndarray:
 
 def _find(sorted_hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = _hashed(keys)
+    if not len(sorted_hashes):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
     at = np.searchsorted(sorted_hashes, h)
     at[at == len(sorted_hashes)] = 0
     return at, sorted_hashes[at] == h
@@ -215,25 +219,43 @@ def _tail(keys: np.ndarray, order: int) -> np.ndarray:
     return keys & np.uint64((1 << BITS * order) - 1)
 
 
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a model that each key is in, by its middle two symbols."""
+    middle = keys.astype(np.uint64) >> np.uint64(BITS) & np.uint64((1 << 2 * BITS) - 1)
+    return (middle * np.uint64(_DEAL) >> np.uint64(20)) % np.uint64(parts)
+
+
+def _part_column(parts: Column) -> Column:
+    """:func:`_part` of the column ``gram``."""
+    middle = F.shiftright("gram", BITS).bitwiseAND(F.lit((1 << 2 * BITS) - 1).cast("long"))
+    return F.pmod(F.shiftright(middle * F.lit(_DEAL).cast("long"), 20), parts).cast("int")
+
+
+def _discount(once: float, twice: float) -> float:
+    return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+
+
 class KneserNey:
     """Sorted hash arrays of one language; ``levels[n]`` and ``contexts[n]`` are for order n.
 
-    ``alphabet``: how many symbols an unseen one is taken from."""
+    ``alphabet``: how many symbols an unseen one is taken from. If the 4-grams are only a part
+    of the language's, ``bigrams`` (keys and continuation counts) and ``discounts`` (by order) of
+    the whole language are given."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray, alone: np.ndarray, alphabet: int) -> None:
+    def __init__(self, keys: np.ndarray, n: np.ndarray, alone: np.ndarray, alphabet: int,
+                 bigrams: tuple[np.ndarray, np.ndarray] | None = None, discounts: dict[int, float] | None = None) -> None:
         order = np.argsort(keys)
         keys, n = np.asarray(keys, np.uint64)[order], np.asarray(n, np.float64)[order]
         self.base, self.alone = np.float32(-np.log(alphabet)), keys[np.asarray(alone, bool)[order]]
         raw = {ORDER: (keys, n)}
         for m in range(ORDER - 1, 0, -1):  # how many symbols come before: types of one order more
             below, kinds = np.unique(_tail(raw[m + 1][0], m), return_counts=True)
-            raw[m] = (below, kinds.astype(np.float64))
+            raw[m] = (below, kinds.astype(np.float64)) if m != 2 or bigrams is None else bigrams
         self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.contexts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for m in range(1, ORDER + 1):
             types, count = raw[m]
-            once, twice = float((count == 1).sum()), float((count == 2).sum())
-            d = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+            d = (discounts or {}).get(m) or _discount(float((count == 1).sum()), float((count == 2).sum()))
             ctx, at = np.unique(types >> np.uint64(BITS), return_inverse=True)
             total, kinds = np.bincount(at, count), np.bincount(at)
             weight = d * kinds / total
@@ -246,8 +268,8 @@ class KneserNey:
         cost = -self.log(keys, ORDER).astype(np.float64)
         once = n == 1  # without its own text such a 4-gram is unseen, as it would be in a new text
         cost[once] = -self.backed_off(keys[once], ORDER)
-        self.mean = float(np.average(cost, weights=n))
-        self.var = float(np.average((cost - self.mean) ** 2, weights=n))
+        self.mean = float(np.average(cost, weights=n)) if len(n) else 0.0
+        self.var = float(np.average((cost - self.mean) ** 2, weights=n)) if len(n) else 0.0
 
     def log(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Log probability of each key's last symbol given those before."""
@@ -298,37 +320,52 @@ class Models:
     """The languages' models by file, in sorted order, with the calibration of each."""
 
     def __init__(self, folder: str | None = None) -> None:
-        self.folder, self.langs, self.mean, self.var = folder, [], [], []
-        self._cache: dict[int, KneserNey] = {}
-
-    def add(self, lang: str, model: KneserNey) -> None:
-        """Adds the next language; they come in sorted order."""
-        if self.folder:
-            write_file(f"{self.folder}/{len(self.langs)}.npz", model.to_bytes())
-        else:
-            self._cache[len(self.langs)] = model
+        self.folder, self.langs, self.parts, self.mean, self.var = folder, [], [], [], []
+        self._cache: dict[tuple[int, int], KneserNey] = {}
+
+    def add(self, lang: str, model: KneserNey | None = None, parts: int = 1) -> None:
+        """Adds the next language; they come in sorted order. Without ``model`` its parts are in files."""
+        if model is not None:
+            self._cache[len(self.langs), 0] = model
         self.langs.append(lang)
-        self.mean.append(model.mean)
-        self.var.append(model.var)
+        self.parts.append(parts)
+        self.mean.append(model.mean if model is not None else 0.0)
+        self.var.append(model.var if model is not None else 0.0)
+
+    def path(self, j: int, part: int) -> str:
+        return f"{self.folder}/{j}-{part}.npz"
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "_cache": {} if self.folder else self._cache}
 
-    def model(self, j: int) -> KneserNey:
-        if j not in self._cache:
-            new = KneserNey.from_bytes(read_file(f"{self.folder}/{j}.npz"))
+    def model(self, j: int, part: int = 0) -> KneserNey:
+        if (j, part) not in self._cache:
+            new = KneserNey.from_bytes(read_file(self.path(j, part)))
             if new.size() + sum(m.size() for m in self._cache.values()) > CACHE_BYTES:
                 self._cache.clear()
-            self._cache[j] = new
-        return self._cache[j]
+            self._cache[j, part] = new
+        return self._cache[j, part]
+
+    def logs(self, j: int, keys: list[np.ndarray], as_new: bool = False) -> list[np.ndarray]:
+        """Log probabilities in language j of the keys of each array, by one part of its model at a time."""
+        out = [np.empty(len(k), np.float32) for k in keys]
+        where = [_part(k, self.parts[j]) for k in keys] if self.parts[j] > 1 else []
+        for part in range(self.parts[j]):
+            own = [np.flatnonzero(w == part) for w in where] or [slice(None)] * len(keys)
+            if where and not any(len(at) for at in own):
+                continue
+            model = self.model(j, part)
+            for held, k, at in zip(out, keys, own, strict=True):
+                held[at] = model.as_new(k[at]) if as_new else model.log(k[at])
+        return out
 
     def code_lengths(self, texts: list[str], lang: str) -> pd.DataFrame:
         """sketch, n, cost and squares (sums over the symbols) of the texts of ``lang`` that have symbols."""
-        model = self.model(self.langs.index(lang))
+        j = self.langs.index(lang)
         sums, sketch = np.zeros((len(texts), 3)), np.zeros(len(texts), np.int64)
         for own, keys, sizes, sketches in _chunks(texts):
             code, kinds = pd.factorize(keys)
-            cost, begins = -model.as_new(kinds).astype(np.float64), np.cumsum(sizes) - sizes
+            cost, begins = -self.logs(j, [kinds], as_new=True)[0].astype(np.float64), np.cumsum(sizes) - sizes
             sums[own] += np.stack([sizes, np.add.reduceat(cost[code], begins), np.add.reduceat((cost * cost)[code], begins)], axis=1)
             sketch[own] = sketches.view(np.int64)
         some = sums[:, 0] > 0
@@ -347,9 +384,9 @@ class Models:
         n = np.maximum(size, 1)
         temper = 4 * np.sqrt(n)  # the text's evidence counts by the root of its length
         for j in range(len(self.langs)):
-            model, total = self.model(j), np.zeros(count)
-            for own, code, kinds, begins in parts:
-                total[own] -= np.add.reduceat(model.log(kinds).astype(np.float64)[code], begins)
+            total = np.zeros(count)
+            for (own, code, _, begins), logs in zip(parts, self.logs(j, [kinds for _, _, kinds, _ in parts]), strict=True):
+                total[own] -= np.add.reduceat(logs.astype(np.float64)[code], begins)
             h = total / n
             with np.errstate(invalid="ignore", over="ignore"):
                 less = h < low
@@ -375,20 +412,60 @@ def _groups(sizes: Iterable[tuple[str, int]], limit: int) -> Iterator[list[str]]
         yield own
 
 
+def _continued(grams: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, n): the types of an order, from those of one order more."""
+    return grams.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * order) - 1).cast("long")).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _whole_counts(counts: DataFrame, large: list[str]) -> tuple[DataFrame, dict[str, int], dict[str, dict[int, float]]]:
+    """Bigrams of the languages ``large`` with continuation counts, how many each has, and the discounts of orders 3 and 4."""
+    fours = counts.where(F.col("lang").isin(large))
+    threes = _continued(fours, 3)
+    twos = materialize(_continued(threes, 2), "langid-bigrams")
+    seen = {m: {r["lang"]: _discount(r["once"], r["twice"]) for r in rows.groupBy("lang").agg(
+        F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect()} for m, rows in ((3, threes), (4, fours))}
+    sizes = {r["lang"]: r["n"] for r in twos.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return twos, sizes, {lang: {m: seen[m][lang] for m in seen} for lang in large}
+
+
 def train(rows: DataFrame) -> Models:
-    """Fits on all rows (text, lang) that have both. The driver builds the arrays of a group of
-    languages at a time, of at most ``GROUP_TYPES`` 4-gram types (one language has at most ``SLOTS``)."""
+    """Fits on all rows (text, lang) that have both. A task builds the arrays of a group of small languages,
+    or of a part of a large one, from about ``GROUP_TYPES`` 4-gram types; the driver sees one row a language."""
     spark = rows.sparkSession
     counts = materialize(count_grams(rows), "langid-counts")
-    sizes = [(r["lang"], r["n"]) for r in counts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
+    sizes = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     alphabet = counts.select(F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))).distinct().count() + 1
     models = Models(scratch_path(spark, "langid-models"))
     make_folder(models.folder)
-    for group in _groups(sizes, GROUP_TYPES):
-        found = dict(iter(counts.where(F.col("lang").isin(group)).toPandas().groupby("lang")))
+    large = sorted(lang for lang, n in sizes.items() if n > GROUP_TYPES)
+    twos, bigrams, discounts = _whole_counts(counts, large) if large else (None, {}, {})
+    dealt, groups = [], 0
+    for group in _groups(sizes.items(), GROUP_TYPES):
+        # never more copies of bigrams than 4-grams
+        parts = -(-sizes[group[0]] // max(GROUP_TYPES, bigrams[group[0]])) if group[0] in bigrams else 1
         for lang in group:
-            own = found[lang]
-            models.add(lang, KneserNey(own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy(), own["alone"].to_numpy(bool), alphabet))
+            dealt.append((lang, len(models.langs), groups, parts))
+            models.add(lang, parts=parts)
+        groups += parts
+
+    def build(own: pd.DataFrame) -> pd.DataFrame:
+        done = []
+        for (j, part), types in own.groupby(["j", "part"]):
+            four, two = types[types["four"]], types[~types["four"]]
+            whole = (two["gram"].to_numpy().view(np.uint64), two["n"].to_numpy(np.float64)) if models.parts[j] > 1 else None
+            model = KneserNey(four["gram"].to_numpy().view(np.uint64), four["n"].to_numpy(), four["alone"].to_numpy(bool), alphabet,
+                              whole, discounts.get(models.langs[j]))
+            write_file(models.path(j, part), model.to_bytes())
+            done.append((j, part))
+        return pd.DataFrame(done, columns=["j", "part"])
+
+    if dealt:
+        deal = F.broadcast(spark.createDataFrame(dealt, "lang string, j int, first int, parts int"))
+        types = counts.join(deal, "lang").select("j", "first", _part_column(F.col("parts")).alias("part"), "gram", "n", "alone", F.lit(True).alias("four"))
+        if large:
+            types = types.unionByName(twos.join(deal, "lang").select(
+                "j", "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "gram", "n", F.lit(False).alias("alone"), F.lit(False).alias("four")))
+        types.groupBy((F.col("first") + F.col("part")).alias("group")).applyInPandas(build, "j int, part int").write.format("noop").mode("overwrite").save()
     calibrate(rows, models)
     return models
 

@@ -53,6 +53,31 @@ def test_counts(spark, monkeypatch):
     assert len(few) <= 6 and sum(r.n for r in few) == sum(want.values())
 
 
+def test_every_gram_is_a_row(spark):
+    """So many 4-grams that some would share one of 2**24 slots: none takes another's count."""
+    letters = np.random.default_rng(6).integers(0x4E00, 0x9F00, (1000, 200))
+    rows = [("".join(map(chr, row)), "zh") for row in letters.tolist()]
+    want = Counter(k for t, _ in rows for k in grams(t))
+    got = {r.gram % (1 << 64): r.n for r in L.count_grams(spark.createDataFrame(rows, "text string, lang string")).collect()}
+    assert len(want) > 190_000 and got == want
+
+
+def test_large_languages_in_parts(spark, monkeypatch):
+    """Models of several parts give the log probabilities of a whole one."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang IN ('en', 'de')")
+    whole = L.train(docs)
+    monkeypatch.setattr(L, "GROUP_TYPES", 500)
+    dealt = L.train(docs)
+    assert whole.langs == dealt.langs == ["de", "en"] and whole.parts == [1, 1] and min(dealt.parts) > 2
+    rng = np.random.default_rng(5)
+    keys = np.concatenate([L._grams([r.text for r in docs.collect()])[0][:20_000], *[
+        np.array(rng.choice([0, 97, 101, 110, 0x4E2D], (400, 4)), np.uint64) @ np.array([1 << 48, 1 << 32, 1 << 16, 1], np.uint64)]])
+    for j in range(2):
+        for as_new in (False, True):
+            assert np.allclose(whole.logs(j, [keys, keys[:0]], as_new)[0], dealt.logs(j, [keys, keys[:0]], as_new)[0], atol=1e-5)
+    assert np.allclose(whole.mean, dealt.mean) and np.allclose(whole.var, dealt.var)
+
+
 ALPHABET = 30
 AA, BB = "abca abcb aabb cab " * 3, "xyzx yyzx zzyx " * 4
 
