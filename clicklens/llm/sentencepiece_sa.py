@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from clicklens.llm.common import shielded, slices, small_batches
 
 SPACE = "▁"
-# Characters of text handled at a time, words kept in a task's cache, symbols above which a word uses the heap.
-BATCH, CACHE, LONG = 1 << 20, 600_000, 48
+# Characters of text handled at a time, and of new words that are indexed at a time; words kept in a task's cache;
+# symbols above which a word uses the heap.
+BATCH, INDEXED, CACHE, LONG = 1 << 20, 1 << 17, 600_000, 48
 _EDGE = 64  # more than the longest piece's bytes
 
 
@@ -230,8 +231,8 @@ def encode(texts: list[str | None], vocabulary: Vocabulary, cache: dict[str, byt
         if len(cache) > CACHE:
             cache.clear()
         new = list(set().union(*words).difference(cache))
-        if new:
-            cache.update(zip(new, encode_words(new, vocabulary), strict=True))
+        for c, d in slices(new, INDEXED):
+            cache.update(zip(new[c:d], encode_words(new[c:d], vocabulary), strict=True))
         out += [None if t is None else np.frombuffer(b"".join(map(cache.__getitem__, ws)), "<i4")
                 for t, ws in zip(texts[a:b], words, strict=True)]
     return out

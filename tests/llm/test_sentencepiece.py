@@ -40,6 +40,16 @@ def test_limits_change_nothing(library, monkeypatch, long, batch, cache):
     assert [x.tolist() for x in S.encode(every, S.load(PATH), {})] == library.encode(every)
 
 
+def test_new_words_are_indexed_in_slices(library, monkeypatch):
+    """The first batch of a task, all of whose words are new, takes no more memory than a slice."""
+    sizes, whole = [], S.encode_words
+    monkeypatch.setattr(S, "INDEXED", 500)
+    monkeypatch.setattr(S, "encode_words", lambda words, v: sizes.append(sum(map(len, words))) or whole(words, v))
+    every = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(200)]
+    assert [x.tolist() for x in S.encode(every, S.load(PATH), {})] == library.encode(every)
+    assert len(sizes) > 50 and max(sizes) <= 500
+
+
 def test_query(spark, library):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(-1, None), (-2, ""), (None, "x"), (-1, None)], "doc_id long, text string")
