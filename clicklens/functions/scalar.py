@@ -6,7 +6,6 @@ generation; the reference's Python UDFs for the same values are not needed.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +43,11 @@ def log_loss_clipped(label, prob, eps: float = CLIP_EPSILON) -> Column:
 
 
 def vector_element(vec, i: int) -> Column:
-    """Element i of an ML vector, null when out of range."""
-    return F.get(vector_to_array(_c(vec)), int(i))
+    """Element i of an ML vector, null when out of range. A sparse vector isn't made dense."""
+    v = F.unwrap_udt(_c(vec))
+    at = F.array_position(v["indices"], int(i))
+    sparse = F.when(F.lit(int(i)) < v["size"], F.when(at > 0, F.get(v["values"], (at - 1).cast("int"))).otherwise(0.0)) if i >= 0 else F.lit(None).cast("double")
+    return F.when(v["type"] == 0, sparse).otherwise(F.get(v["values"], int(i)))
 
 
 def odds(weight) -> Column:
