@@ -37,6 +37,20 @@ RF_DEPTH = 5
 RF_BINS = 32
 
 
+# Bytes of a task's part of a forest's rows: Spark ML holds each row as one int a feature and one a tree.
+TREE_BYTES = 64 << 20
+
+
+def spread_for_trees(data: DataFrame, features_col: str, trees: int) -> DataFrame:
+    """The training frame of a forest, in so many partitions that each task reads about ``TREE_BYTES``
+    at a level, whatever the number of rows and features; a frame below that stays as it is."""
+    one = data.select(features_col).first()
+    if one is None or one[0] is None:
+        return data
+    size = data.count() * (len(one[0]) + trees) * 4
+    return data if size <= TREE_BYTES else data.repartition(max(-(-size // TREE_BYTES), data.sparkSession.sparkContext.defaultParallelism))
+
+
 def _training_frame(train: DataFrame, features_col: str, label_col: str, persist: bool):
     """Features + double label, persisted so the iterations do not recompute
     the encoding. (Repartitioning small inputs to all cores was measured
@@ -80,7 +94,7 @@ def train_rf(train: DataFrame, features_col: str = "features", label_col: str =
                                 maxDepth=max_depth, maxBins=max_bins, seed=seed, bootstrap=bootstrap,
                                 featureSubsetStrategy=feature_subset,
                                 cacheNodeIds=True, checkpointInterval=checkpoint_interval)
-    data, _ = _training_frame(train, features_col, label_col, True)
+    data, _ = _training_frame(spread_for_trees(train, features_col, num_trees), features_col, label_col, True)
     try:
         return rf.fit(data)
     finally:
@@ -165,6 +179,10 @@ def fit_grid(train: DataFrame, test: DataFrame, candidates: Sequence[tuple[dict,
     Output: the parameters, ``auroc``; one row a candidate.
     """
     ensure_checkpoint_dir(train.sparkSession)
+    forests = [(est.getFeaturesCol(), est.getNumTrees()) for _, est in candidates if est.hasParam("numTrees")]
+    if forests:
+        features, trees = max(forests, key=lambda f: f[1])
+        train = spread_for_trees(train, features, trees)
     frames = [f.withColumn(label_col, F.col(label_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK) for f in (train, test)]
     try:
         rows = [(*params.values(), evaluator_auroc(est.fit(frames[0]).transform(frames[1]), label_col)) for params, est in candidates]

@@ -13,3 +13,17 @@ def test_elements_of_sparse_vectors(spark):
     df = spark.createDataFrame(rows, T.StructType([T.StructField("v", VectorUDT())]))
     got = df.select(*[scalar.vector_element("v", i).alias(f"e{i}".replace("-", "m")) for i in (0, 1, 7, -1)]).collect()
     assert [tuple(r) for r in got] == [(1.5, 0.0, 2.5, None), (0.0, 0.0, None, None), (3.0, 4.0, None, None), (None, None, None, None)]
+
+
+def test_parts_of_a_forest(spark, monkeypatch):
+    rows = [(Vectors.sparse(100, [i % 100], [1.0]), float(i % 100 > 50)) for i in range(1000)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])).coalesce(1)
+    assert models.spread_for_trees(df, "features", 10) is df
+    monkeypatch.setattr(models, "TREE_BYTES", 10_000)
+    spread = models.spread_for_trees(df, "features", 10)
+    assert spread.rdd.getNumPartitions() == 44 and spread.count() == 1000
+    seen = []
+    whole = models._training_frame
+    monkeypatch.setattr(models, "_training_frame", lambda data, *a: seen.append(data.rdd.getNumPartitions()) or whole(data, *a))
+    assert models.train_rf(df, num_trees=10).getNumTrees == 10 and seen == [44]
+    assert models.spread_for_trees(df.where("false"), "features", 10).count() == 0
