@@ -110,9 +110,9 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     never true for null); ``null_to_stash=False`` leaves null as null (the
     indexer's invalid bucket, i.e. no active slot). Keep lists of at most
     ``inset_cap`` values are tested with ``isin``, longer ones by a broadcast
-    join each, and all beyond ``broadcast_cap`` together in one shuffle.
-    ``keys`` tell rows apart in that shuffle; without them the frame is
-    written once with a row number.
+    join each, one beyond ``broadcast_cap`` by a join on its values, several
+    together in one shuffle. ``keys`` tell rows apart in that shuffle; without
+    them the frame is written once with a row number.
     """
     sizes = dict(sizes) if sizes is not None else kept_counts(vocab)
     inset_cols = [c for c in cols if sizes.get(c, 0) <= inset_cap]
@@ -133,10 +133,15 @@ def apply_stash(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
     wide_cols = [c for c in cols if c not in inset_values and c not in broadcast_cols]
     if wide_cols:
         own = vocab.filter(F.col("col_name").isin(wide_cols))
-        out = df if keys else wide.numbered(df)
-        out, found = wide.kept_flags(out, list(keys or [wide.ROW]), wide_cols, own.filter("kept"),
-                                     sum(sizes.get(c, 0) for c in wide_cols), wide.hot_pairs(own))
-        flags = dict(zip(wide_cols, found))
+        hot = wide.hot_pairs(own)
+        if len(wide_cols) == 1:
+            out, found = wide.kept_flag(df, wide_cols[0], own.filter("kept"), hot.get(wide_cols[0], []))
+            flags = {wide_cols[0]: found}
+        else:
+            out = df if keys else wide.numbered(df)
+            out, found = wide.kept_flags(out, list(keys or [wide.ROW]), wide_cols, own.filter("kept"),
+                                         sum(sizes.get(c, 0) for c in wide_cols), hot)
+            flags = dict(zip(wide_cols, found))
     keeps = []
     for i, c in enumerate(cols):
         kname = f"__keep{i}"

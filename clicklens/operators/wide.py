@@ -119,6 +119,22 @@ def kept_flags(df: DataFrame, keys: Sequence[str], cols: Sequence[str], kept: Da
     return out, flags
 
 
+def kept_flag(df: DataFrame, col: str, kept: DataFrame, hot: list[str]) -> tuple[DataFrame, Column]:
+    """The frame with a mark, and whether the value of ``col`` is in ``kept``, for one column: one exchange of the frame.
+
+    Rows with a null or a hot value need no line of the list. Their key is null, and they stay
+    spread by the partition that they come from.
+    """
+    text = F.col(col).cast("string")
+    is_hot = F.coalesce(text.isin(hot), F.lit(False)) if hot else F.lit(False)
+    key = F.when(~is_hot, text)
+    rows = df.withColumns({"__value": key, "__salt": F.when(key.isNull(), F.spark_partition_id() + 1).otherwise(0)})
+    lines = kept.select(F.col("value").alias("__listed"), F.lit(0).alias("__own"))
+    same = (F.col("__value") == F.col("__listed")) & (F.col("__salt") == F.col("__own"))
+    out = rows.join(lines.hint("merge"), same, "left").drop("__value", "__salt", "__own")
+    return out, F.col("__listed").isNotNull() | is_hot
+
+
 def sparse_vectors(df: DataFrame, numbers: Sequence[Column], slots: Sequence[Column], width: int, output_col: str) -> DataFrame:
     """Vectors of ``numbers`` (null: NaN) followed by a 0/1 part of ``width`` from one slot a column (null: none).
 

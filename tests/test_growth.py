@@ -27,3 +27,21 @@ def test_parts_of_a_forest(spark, monkeypatch):
     monkeypatch.setattr(models, "_training_frame", lambda data, *a: seen.append(data.rdd.getNumPartitions()) or whole(data, *a))
     assert models.train_rf(df, num_trees=10).getNumTrees == 10 and seen == [44]
     assert models.spread_for_trees(df.where("false"), "features", 10).count() == 0
+
+
+def test_one_long_list_is_one_join(spark, monkeypatch):
+    """A single column with a long list: no written copy of the frame; nulls and hot values keep apart."""
+    def refused(*_):
+        raise AssertionError("the frame was written")
+
+    monkeypatch.setattr(wide, "numbered", refused)
+    values = [None] * 50 + ["hot"] * 60 + ["", "x"] * 3 + [f"v{i // 3}" for i in range(90)] + ["once"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").repartition(5)
+    kept, sizes = vocab.fit_vocabulary(df, ["v"], 2, with_sizes=True)
+    for null_to_stash in (True, False):
+        plain, joined = (vocab.apply_stash(df, kept, ["v"], {"v": "stash_v"}, sizes=sizes, null_to_stash=null_to_stash, drop_input=False, **caps)
+                         for caps in ({}, {"inset_cap": 0, "broadcast_cap": 0}))
+        assert joined.columns == plain.columns == ["i", "v", "v_t"]
+        assert sorted(joined.collect(), key=lambda r: r.i) == sorted(plain.collect(), key=lambda r: r.i) and joined.count() == len(values)
+    hot = wide.hot_pairs(kept.where(F.col("col_name") == "v"))
+    assert hot == {"v": ["hot"]}
